@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from spendwatch.functions.sqltext import ident, text
 
 MAX_CATEGORIES = 1_000
 
@@ -21,10 +22,9 @@ def fit_categories(
     present = [c for c in columns if c in df.columns]
     if not present:
         return {}
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in present])
-    ).alias("pair")
-    distinct = df.select(pairs).select("pair.name", "pair.value").filter("value IS NOT NULL").distinct()
+    pairs = ", ".join(f"{text(c)}, cast({ident(c)} as string)" for c in present)
+    listed = df.selectExpr(f"stack({len(present)}, {pairs}) AS (name, value)")
+    distinct = listed.filter("value IS NOT NULL").distinct()
     rows = distinct.limit(limit * len(present) + 1).collect()
     values = {c: sorted(r["value"] for r in rows if r["name"] == c) for c in present}
     for name, found in values.items():
@@ -39,59 +39,41 @@ def one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]], drop_first:
     NULL and unseen values are 0 everywhere; ``drop_first`` makes the first
     value the baseline.
     """
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in categories]
+    kept = [ident(c) for c in df.columns if c not in categories]
     made = [
-        F.coalesce((F.col(name) == value).cast("tinyint"), F.lit(0).cast("tinyint")).alias(f"{name}_{value}")
+        f"cast(coalesce({ident(name)} = {text(value)}, false) as tinyint) AS {ident(f'{name}_{value}')}"
         for name, values in categories.items()
         for value in (values[1:] if drop_first else values)
     ]
-    return df.select(*kept, *made)
+    return df.selectExpr(*kept, *made)
 
 
-def as_float(column: Column) -> Column:
+def as_float(name: str) -> str:
     """NULL to 0, booleans to 0/1, everything to 32-bit float."""
-    return F.coalesce(column.cast("float"), F.lit(0.0).cast("float"))
+    return f"coalesce(cast({ident(name)} as float), cast(0 as float)) AS {ident(name)}"
 
 
 def to_matrix(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """All columns but ``keep`` as 32-bit floats without NULLs."""
     keep = set(keep)
-    return df.select(
-        *[F.col(f"`{c}`") if c in keep else as_float(F.col(f"`{c}`")).alias(c) for c in df.columns]
-    )
+    return df.selectExpr(*[ident(c) if c in keep else as_float(c) for c in df.columns])
 
 
 def align(df: DataFrame, names: Sequence[str], keep: Iterable[str] = ()) -> DataFrame:
     """Exactly ``names`` in order as floats: absent ones 0, others dropped."""
     present = set(df.columns)
-    kept = [F.col(f"`{c}`") for c in keep]
-    made = [
-        (as_float(F.col(f"`{n}`")) if n in present else F.lit(0.0).cast("float")).alias(n) for n in names
-    ]
-    return df.select(*kept, *made)
+    made = [as_float(n) if n in present else f"cast(0 as float) AS {ident(n)}" for n in names]
+    return df.selectExpr(*[ident(c) for c in keep], *made)
 
 
 def column_ranges(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Minimum and maximum of many columns in one pass, one row per column."""
     columns = list(columns)
     parts = [
-        agg.alias(f"{kind}_{i}")
-        for i, c in enumerate(columns)
-        for kind, agg in (("lo", F.min(c).cast("double")), ("hi", F.max(c).cast("double")))
+        f"cast({kind}({ident(c)}) as double) AS {kind}_{i}" for i, c in enumerate(columns) for kind in ("min", "max")
     ]
-    rows = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column_name"),
-                    F.col(f"lo_{i}").alias("min_value"),
-                    F.col(f"hi_{i}").alias("max_value"),
-                )
-                for i, c in enumerate(columns)
-            ]
-        )
-    ).alias("r")
-    return df.agg(*parts).select(rows).select("r.*")
+    items = ", ".join(f"{text(c)}, min_{i}, max_{i}" for i, c in enumerate(columns))
+    return df.selectExpr(*parts).selectExpr(f"stack({len(columns)}, {items}) AS (column_name, min_value, max_value)")
 
 
 # Bounds strictly inside which a 64-bit column is narrowed.
@@ -113,4 +95,6 @@ def downcast(df: DataFrame) -> DataFrame:
         for name, kind in df.dtypes
         if name in narrow or kind == "double"
     }
-    return df.select(*[F.col(f"`{c}`").cast(casts[c]).alias(c) if c in casts else F.col(f"`{c}`") for c in df.columns])
+    return df.selectExpr(
+        *[f"cast({ident(c)} as {casts[c]}) AS {ident(c)}" if c in casts else ident(c) for c in df.columns]
+    )

@@ -112,7 +112,7 @@ def grow_tree(x: np.ndarray, tree: int, columns: Sequence[int], depth_limit: int
         if not varying:
             out.append((tree, node, -1, 0.0, len(rows), depth + average_path(len(rows))))
             continue
-        feature = min(varying, key=lambda c: unit_draw(f"{seed}:feature", tree, node, c))
+        feature = varying[int(unit_draw(f"{seed}:feature", tree, node) * len(varying))]
         share = unit_draw(f"{seed}:split", tree, node)
         split = float(low[feature] + share * (high[feature] - low[feature]))
         if split >= high[feature]:
@@ -152,7 +152,10 @@ def fit_nodes(
 
     slim = pool.select(key, *[F.col(f"`{n}`") for n in names])
     dealt = deal_rows(slim, key, pool_rows, trees, used, bootstrap, seed)
-    nodes = dealt.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
+    # Tree blocks are small, so an unpinned shuffle would be coalesced into one
+    # task that grows every tree.
+    tasks = min(trees, matrix.sparkSession.sparkContext.defaultParallelism)
+    nodes = dealt.repartition(tasks, "tree").groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
     return nodes, used
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendwatch.functions.sqltext import ident, text
 from spendwatch.operators.quantiles import exact_quantiles, long_form
 
 # Quartiles of a description, bins of a histogram, points of a curve.
@@ -58,23 +59,11 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
 
 def table_profile(df: DataFrame) -> DataFrame:
     """Per column: type, rows, non-null and null counts, from one pass."""
-    names = df.columns
-    counts = df.agg(F.count("*").alias("rows"), *[F.count(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
-    rows = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column_name"),
-                    F.lit(kind).alias("data_type"),
-                    F.col("rows").alias("n_rows"),
-                    F.col(f"c{i}").alias("n_present"),
-                    (F.col("rows") - F.col(f"c{i}")).alias("n_missing"),
-                )
-                for i, (c, kind) in enumerate(df.dtypes)
-            ]
-        )
-    ).alias("r")
-    return counts.select(rows).select("r.*")
+    counts = df.selectExpr("count(*) AS n", *[f"count({ident(c)}) AS c{i}" for i, c in enumerate(df.columns)])
+    items = ", ".join(f"{text(c)}, {text(kind)}, n, c{i}, n - c{i}" for i, (c, kind) in enumerate(df.dtypes))
+    return counts.selectExpr(
+        f"stack({len(df.columns)}, {items}) AS (column_name, data_type, n_rows, n_present, n_missing)"
+    )
 
 
 def density_histogram(df: DataFrame, column: str, label: str, bins: int = HISTOGRAM_BINS) -> DataFrame:

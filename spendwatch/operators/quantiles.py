@@ -16,6 +16,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spendwatch.functions.sqltext import ident, text
+
 GATHER_BELOW = 1_000_000
 INTERVALS = 4_096
 MAX_TARGETS = 10_000
@@ -23,12 +25,9 @@ MAX_TARGETS = 10_000
 
 def long_form(df: DataFrame, columns: Iterable[str], by: Sequence[str] = ()) -> DataFrame:
     """Rows ``(by…, column_name, value)`` without NULL or NaN values."""
-    items = F.explode(
-        F.array(
-            *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
-        )
-    ).alias("item")
-    rows = df.select(*by, items).select(*by, "item.column_name", "item.value")
+    columns = list(columns)
+    items = ", ".join(f"{text(c)}, cast({ident(c)} as double)" for c in columns)
+    rows = df.selectExpr(*[ident(c) for c in by], f"stack({len(columns)}, {items}) AS (column_name, value)")
     return rows.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from spendwatch.functions.sqltext import ident, number, text
 
 
 @dataclass(frozen=True)
@@ -20,24 +21,13 @@ class Scaler:
 
 def scaler_table(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row per feature from a single aggregation; a constant column gets 1."""
-    parts: list[Column] = []
-    for i, name in enumerate(names):
-        value = F.col(f"`{name}`").cast("double")
-        parts += [F.avg(value).alias(f"m{i}"), F.stddev_pop(value).alias(f"s{i}")]
-    rows = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("position"),
-                    F.lit(name).alias("feature"),
-                    F.col(f"m{i}").alias("mean"),
-                    F.when(F.col(f"s{i}") == 0, F.lit(1.0)).otherwise(F.col(f"s{i}")).alias("deviation"),
-                )
-                for i, name in enumerate(names)
-            ]
-        )
-    ).alias("r")
-    return df.agg(*parts).select(rows).select("r.*")
+    value = [f"cast({ident(n)} as double)" for n in names]
+    parts = [f"{f}({v}) AS {f}_{i}" for i, v in enumerate(value) for f in ("avg", "stddev_pop")]
+    items = ", ".join(
+        f"{i}, {text(n)}, avg_{i}, if(stddev_pop_{i} = 0, cast(1 as double), stddev_pop_{i})"
+        for i, n in enumerate(names)
+    )
+    return df.selectExpr(*parts).selectExpr(f"stack({len(names)}, {items}) AS (position, feature, mean, deviation)")
 
 
 def fit_scaler(df: DataFrame, names: Sequence[str]) -> Scaler:
@@ -54,7 +44,7 @@ def apply_scaler(df: DataFrame, scaler: Scaler | None, keep: Iterable[str] = ())
     if scaler is None:
         return df
     scaled = [
-        ((F.col(f"`{n}`").cast("double") - F.lit(m)) / F.lit(s)).cast("float").alias(n)
-        for n, m, s in zip(scaler.names, scaler.means, scaler.deviations, strict=True)
+        f"cast((cast({ident(n)} as double) - {number(m)}) / {number(d)} as float) AS {ident(n)}"
+        for n, m, d in zip(scaler.names, scaler.means, scaler.deviations, strict=True)
     ]
-    return df.select(*[F.col(f"`{c}`") for c in keep], *scaled)
+    return df.selectExpr(*[ident(c) for c in keep], *scaled)

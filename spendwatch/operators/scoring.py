@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from spendwatch.functions import decisions
 from spendwatch.operators.encode import align, fit_categories, one_hot, to_matrix
@@ -15,6 +15,7 @@ from spendwatch.operators.features import CATEGORICAL_COLUMNS, drop_columns
 from spendwatch.operators.iforest import Forest, fit_forest, with_scores
 from spendwatch.operators.sampling import sample_exact, split_exact
 from spendwatch.operators.scale import Scaler, apply_scaler, fit_scaler
+from spendwatch.session import cut_lineage
 
 CORRUPT = "_corrupt_record"
 
@@ -58,7 +59,10 @@ def prepare_training(
     training rows only, so both parts share one column set.
     """
     sampled = featured if fraction >= 1 else sample_exact(featured, key, fraction, seed=f"{seed}:sample")
-    parts = split_exact(sampled, key, share, f"{seed}:split")
+    # Fitting reads the sample several times; without this each pass would
+    # redo the join and the client means over the whole table.
+    stored = cut_lineage(sampled)
+    parts = split_exact(stored, key, share, f"{seed}:split")
     categories = fit_categories(parts.filter("NOT is_test"), categorical)
     flags = parts.withColumnRenamed("is_test", "_is_test")
     encoded = one_hot(drop_columns(flags.withColumn("_row_key", F.col(key)), keep_ids), categories)
@@ -107,16 +111,16 @@ def score(df: DataFrame, detector: Detector, keep: Iterable[str]) -> DataFrame:
     )
 
 
-def record_schema(detector: Detector, key: str, key_type: str = "bigint") -> StructType:
+def record_schema(detector: Detector, key: str) -> StructType:
     """Schema of one JSON record: key, raw categories, numeric features."""
-    schema = StructType().add(key, key_type)
+    schema = StructType([StructField(key, LongType())])
     encoded = {f"{c}_{v}" for c, values in detector.categories.items() for v in values}
     for name in detector.categories:
         schema.add(StructField(name, StringType()))
     for name in detector.features:
         if name not in encoded:
             schema.add(StructField(name, DoubleType()))
-    return schema.add(CORRUPT, "string")
+    return schema.add(StructField(CORRUPT, StringType()))
 
 
 def parse_records(text: DataFrame, column: str, schema: StructType) -> DataFrame:

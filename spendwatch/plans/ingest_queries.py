@@ -264,7 +264,7 @@ def build(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "client_mean",
-    """SELECT event_id AS id, user_id AS client_id, round(avg(value) OVER (PARTITION BY user_id), 6) AS client_mean
+    """SELECT event_id AS id, user_id AS client_id, round(avg(value) OVER (PARTITION BY user_id), 8) AS client_mean
        FROM events""",
 )
 def client_mean(spark: SparkSession, folder: str) -> DataFrame:
@@ -272,13 +272,13 @@ def client_mean(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_id").alias("id"), F.col("user_id").alias("client_id"), "value"
     )
     out = features.group_stats(rows, ["client_id"], {"client_mean": F.avg("value")})
-    return out.select("id", "client_id", F.round("client_mean", 6).alias("client_mean"))
+    return out.select("id", "client_id", F.round("client_mean", 8).alias("client_mean"))
 
 
 @query(
     "client_mean_window",
     """SELECT o_orderkey AS id, o_custkey AS client_id,
-              round(avg(o_totalprice) OVER (PARTITION BY o_custkey), 4) AS client_mean,
+              round(avg(o_totalprice) OVER (PARTITION BY o_custkey), 6) AS client_mean,
               count(*) OVER (PARTITION BY o_custkey) AS client_rows FROM orders""",
 )
 def client_mean_window(spark: SparkSession, folder: str) -> DataFrame:
@@ -288,7 +288,7 @@ def client_mean_window(spark: SparkSession, folder: str) -> DataFrame:
     )
     stats = {"client_mean": F.avg("o_totalprice"), "client_rows": F.count("*")}
     out = features.group_stats(rows, ["client_id"], stats)
-    return out.select("id", "client_id", F.round("client_mean", 4).alias("client_mean"), "client_rows")
+    return out.select("id", "client_id", F.round("client_mean", 6).alias("client_mean"), "client_rows")
 
 
 @query(
