@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendwatch.functions.decisions import ANOMALY
+from spendwatch.functions.sqltext import ident, number
 from spendwatch.operators.sampling import sample_exact
 
 # Rows used for a silhouette, and decimals of the metrics.
@@ -17,6 +18,7 @@ SILHOUETTE_ROWS = 5_000
 RATE_DECIMALS = 5
 METRIC_DECIMALS = 4
 MAX_CLUSTERS = 10_000
+MAX_SILHOUETTE_CLUSTERS = 64
 
 
 def anomaly_summary(df: DataFrame, label: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
@@ -32,66 +34,69 @@ def anomaly_summary(df: DataFrame, label: str = "prediction", by: Sequence[str]
 
 
 def _moments(df: DataFrame, features: Sequence[str], cluster: str) -> DataFrame:
-    """Per cluster: size, centroid and summed squared norms, one pass."""
-    sums = [F.sum(F.col(f"`{f}`").cast("double")).alias(f"s{i}") for i, f in enumerate(features)]
-    norm = sum(F.pow(F.col(f"`{f}`").cast("double"), 2) for f in features)
+    """Per cluster: size, summed squared norm and feature sums, one pass."""
+    value = [f"cast({ident(f)} as double)" for f in features]
+    norm = " + ".join(f"{v} * {v}" for v in value)
+    sums = ", ".join(f"sum({v})" for v in value)
     return df.groupBy(F.col(cluster).alias("cluster")).agg(
-        F.count("*").alias("n"), F.sum(norm).alias("sq"), F.array(*sums).alias("sums")
+        F.count("*").alias("n"), F.expr(f"sum({norm})").alias("sq"), F.expr(f"array({sums})").alias("sums")
     )
 
 
-def _centroids(df: DataFrame, features: Sequence[str], cluster: str) -> list:
-    """Cluster sizes and centroids; one row per cluster, count checked."""
-    rows = _moments(df, features, cluster).limit(MAX_CLUSTERS + 1).collect()
-    if len(rows) > MAX_CLUSTERS:
-        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
+def _bounded(groups: DataFrame, limit: int) -> list:
+    """One row per cluster on the driver, after checking how many there are."""
+    rows = groups.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} clusters")
     return rows
 
 
 def _residuals(df: DataFrame, features: Sequence[str], cluster: str) -> DataFrame:
-    """Per cluster: centroid, squared and plain distances of its rows to it.
+    """Per cluster: size, centroid, and squared and mean plain distance to it.
 
     Distances are taken from the centroid rather than from expanded squares,
     which would cancel badly for tight clusters far from the origin.
     """
-    centers = _moments(df, features, cluster).select(
-        F.col("cluster").alias("_cluster"),
-        *[(F.col("sums")[i] / F.col("n")).alias(f"_c{i}") for i in range(len(features))],
+    centers = _moments(df, features, cluster).selectExpr(
+        "cluster AS _cluster", "transform(sums, s -> s / n) AS _center"
     )
-    squared = sum(
-        F.pow(F.col(f"`{f}`").cast("double") - F.col(f"_c{i}"), 2) for i, f in enumerate(features)
-    )
-    joined = df.join(centers, F.col(cluster) == F.col("_cluster"))
-    return joined.groupBy("_cluster", *[f"_c{i}" for i in range(len(features))]).agg(
-        F.count("*").alias("n"), F.sum(squared).alias("ss"), F.avg(F.sqrt(squared)).alias("spread")
+    squared = " + ".join(f"pow(cast({ident(f)} as double) - _center[{i}], 2)" for i, f in enumerate(features))
+    joined = df.join(centers, F.col(cluster) == F.col("_cluster")).withColumn("_d2", F.expr(squared))
+    return joined.groupBy(F.col("_cluster").alias("cluster")).agg(
+        F.count("*").alias("n"),
+        F.any_value("_center").alias("center"),
+        F.sum("_d2").alias("ss"),
+        F.avg(F.sqrt("_d2")).alias("spread"),
     )
 
 
 def calinski_harabasz(df: DataFrame, features: Sequence[str], cluster: str = "prediction") -> DataFrame:
-    """Between-cluster over within-cluster dispersion, per degree of freedom."""
-    parts = _residuals(df, features, cluster)
-    weighted = [F.sum(F.col("n") * F.col(f"_c{i}")) / F.sum("n") for i in range(len(features))]
-    # Between-cluster dispersion from weighted squares of the centroids.
-    squares = [F.sum(F.col("n") * F.col(f"_c{i}") * F.col(f"_c{i}")) for i in range(len(features))]
-    between = sum(sq - F.sum("n") * w * w for sq, w in zip(squares, weighted, strict=True))
-    k = F.count("*")
-    score = F.when(
-        F.sum("ss") == 0, F.lit(1.0)
-    ).otherwise(F.try_divide(between * (F.sum("n") - k), F.sum("ss") * (k - 1)))
-    return parts.agg(k.alias("clusters"), F.sum("n").alias("n_rows"), F.round(score, METRIC_DECIMALS).alias("score"))
+    """Between-cluster over within-cluster dispersion, per degree of freedom.
+
+    The rows are reduced to one record per cluster by Spark; what remains is
+    arithmetic on those few records.
+    """
+    rows = _bounded(_residuals(df, features, cluster), MAX_CLUSTERS)
+    k, n = len(rows), sum(r["n"] for r in rows)
+    score = None
+    if k > 1:
+        size = np.array([r["n"] for r in rows], dtype=float)
+        centers = np.array([r["center"] for r in rows], dtype=float)
+        overall = (size[:, None] * centers).sum(axis=0) / n
+        between = float((size * ((centers - overall) ** 2).sum(axis=1)).sum())
+        within = float(sum(r["ss"] for r in rows))
+        score = 1.0 if within == 0 else round(between * (n - k) / (within * (k - 1)), METRIC_DECIMALS)
+    return df.sparkSession.createDataFrame([(k, n, score)], "clusters bigint, n_rows bigint, score double")
 
 
 def davies_bouldin(df: DataFrame, features: Sequence[str], cluster: str = "prediction") -> DataFrame:
     """Mean over clusters of the worst spread-to-separation ratio.
 
-    The rows are reduced to one record per cluster by Spark; the comparison of
-    those few centroids is a k-by-k matrix, so k is checked.
+    As above: the comparison of the few centroids is a k-by-k matrix.
     """
-    rows = _residuals(df, features, cluster).limit(MAX_CLUSTERS + 1).collect()
-    if len(rows) > MAX_CLUSTERS:
-        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
+    rows = _bounded(_residuals(df, features, cluster), MAX_CLUSTERS)
     k = len(rows)
-    centers = np.array([[r[f"_c{i}"] for i in range(len(features))] for r in rows], dtype=float).reshape(k, -1)
+    centers = np.array([r["center"] for r in rows], dtype=float).reshape(k, -1)
     spread = np.array([r["spread"] for r in rows], dtype=float)
     worst = []
     for i in range(k):
@@ -120,7 +125,7 @@ def silhouette_rows(
     sample = sample_exact(df, key, n=rows, seed=seed).select(
         F.col(key).alias("key"),
         F.col(cluster).cast("string").alias("cluster"),
-        F.array(*[F.col(f"`{f}`").cast("double") for f in features]).alias("x"),
+        F.expr("array(" + ", ".join(f"cast({ident(f)} as double)" for f in features) + ")").alias("x"),
     )
     held = sample.toPandas()
     points = np.array(held["x"].tolist(), dtype=float).reshape(len(held), len(features))
@@ -170,28 +175,23 @@ def silhouette_squared(df: DataFrame, features: Sequence[str], cluster: str) ->
     The mean squared distance from a row to a cluster follows from the
     cluster's size, sums and squared norms, so no pair of rows is formed.
     """
-    groups = _centroids(df, features, cluster)
+    groups = _bounded(_moments(df.filter(F.col(cluster).isNotNull()), features, cluster), MAX_SILHOUETTE_CLUSTERS)
     # Shift to the global centroid first: expanded squares cancel less there.
     n_all = sum(g["n"] for g in groups)
     center = [sum(g["sums"][i] for g in groups) / max(n_all, 1) for i in range(len(features))]
-    shifted = df.select(
-        F.col(cluster).alias("cluster"),
-        *[(F.col(f"`{f}`").cast("double") - center[i]).alias(f"x{i}") for i, f in enumerate(features)],
+    shifted = df.filter(F.col(cluster).isNotNull()).selectExpr(
+        f"{ident(cluster)} AS cluster",
+        *[f"cast({ident(f)} as double) - {number(c)} AS x{i}" for i, (f, c) in enumerate(zip(features, center, strict=True))],
     )
     names = [f"x{i}" for i in range(len(features))]
-    moments = [m for m in _centroids(shifted, names, "cluster") if m["cluster"] is not None]
-    norm = sum(F.pow(F.col(x), 2) for x in names)
+    moments = _bounded(_moments(shifted, names, "cluster"), MAX_SILHOUETTE_CLUSTERS)
+    scored = shifted.withColumn("norm", F.expr(" + ".join(f"{x} * {x}" for x in names)))
 
-    def mean_to(m) -> object:
-        dot = sum(F.col(x) * (m["sums"][i] / m["n"]) for i, x in enumerate(names))
-        return norm - 2 * dot + m["sq"] / m["n"]
-
-    same = F.lit(None).cast("double")
-    alone = F.lit(False)
-    others = []
+    same, alone, others = F.lit(None).cast("double"), F.lit(False), []
     for m in moments:
+        dot = " + ".join(f"{x} * {number(m['sums'][i] / m['n'])}" for i, x in enumerate(names))
+        spread = F.expr(f"norm - 2 * ({dot}) + {number(m['sq'] / m['n'])}")
         here = F.col("cluster") == F.lit(m["cluster"])
-        spread = mean_to(m)
         same = F.when(here, spread * m["n"] / max(m["n"] - 1, 1)).otherwise(same)
         alone = F.when(here, F.lit(m["n"] == 1)).otherwise(alone)
         others.append(F.when(~here, spread))
@@ -199,5 +199,6 @@ def silhouette_squared(df: DataFrame, features: Sequence[str], cluster: str) ->
     value = F.when(alone, F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(nearest - same, F.greatest(nearest, same)), F.lit(0.0))
     )
-    scored = shifted.filter(F.col("cluster").isNotNull()).select(value.alias("s"))
-    return scored.agg(F.count("*").alias("n_rows"), F.round(F.avg("s"), METRIC_DECIMALS).alias("score"))
+    return scored.select(value.alias("s")).agg(
+        F.count("*").alias("n_rows"), F.round(F.avg("s"), METRIC_DECIMALS).alias("score")
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from spendwatch.operators.quantiles import exact_quantiles
 from spendwatch.plans import forest_sql
 from spendwatch.plans.catalog import query
 from spendwatch.plans.datasets import SQL_FEATURED, featured, sql_draw, table
-from spendwatch.session import scratch_path
+from spendwatch.session import cut_lineage, scratch_path
 from spendwatch.sources import registry
 
 KINDS = ("click", "error", "purchase", "signup", "view")
@@ -72,26 +74,15 @@ def trained(spark: SparkSession, folder: str) -> tuple[scoring.Detector, DataFra
     return scoring.train(matrix, categories, RUN, **iforest.PRODUCTION_FOREST), matrix
 
 
-def explored(spark: SparkSession, folder: str) -> DataFrame:
-    """Exploration forest on all rows, unscaled: ``row_key``, features, scores and label."""
-    rows = features.drop_columns(featured(spark, folder).withColumn("row_key", F.col("id_transaction")))
-    categories = encode.fit_categories(table_kinds(spark, folder), features.CATEGORICAL_COLUMNS)
-    matrix = scoring.prepare_matrix(featured(spark, folder), "id_transaction", categories)
+def explored(spark: SparkSession, folder: str, keep: Sequence[str] = ()) -> DataFrame:
+    """All rows labelled by the exploration forest, which is fitted on them unscaled."""
+    rows = cut_lineage(featured(spark, folder))
+    categories = encode.fit_categories(rows, features.CATEGORICAL_COLUMNS)
+    matrix = scoring.prepare_matrix(rows, "id_transaction", categories)
     names = scoring.matrix_features(matrix)
     forest = iforest.fit_forest(matrix, "row_key", names, **iforest.EXPLORATION_FOREST)
-    return iforest.with_scores(matrix, forest).withColumn(
-        "prediction", decisions.label_from_decision(F.col("decision"))
-    )
-
-
-def table_kinds(spark: SparkSession, folder: str) -> DataFrame:
-    """The two category columns without the rest of the feature work."""
-    from spendwatch.plans.datasets import primary
-
-    return primary(spark, folder).select(*features.CATEGORICAL_COLUMNS)
-
-
-_NODE_COLUMNS = "tree, node, feature, round(split, 4) AS split, size, round(path, 6) AS path"
+    detector = scoring.Detector("isolation_forest", RUN, names, categories, None, forest)
+    return scoring.score(rows, detector, keep=["id_transaction", *keep])
 
 
 @query(
@@ -118,11 +109,11 @@ def iforest_eda(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "filter_anomalies",
-    SQL_EXPLORED + " SELECT row_key, round(path_length, 6) AS path_length FROM e_scored WHERE prediction = -1",
+    SQL_EXPLORED + " SELECT row_key AS id_transaction, round(path_length, 6) AS path_length FROM e_scored WHERE prediction = -1",
 )
 def filter_anomalies(spark: SparkSession, folder: str) -> DataFrame:
     flagged = explored(spark, folder).filter(F.col("prediction") == decisions.ANOMALY)
-    return flagged.select("row_key", F.round("path_length", 6).alias("path_length"))
+    return flagged.select("id_transaction", F.round("path_length", 6).alias("path_length"))
 
 
 @query(
@@ -267,8 +258,9 @@ def _grid_sql() -> str:
 @query("iforest_grid", _grid_sql())
 def iforest_grid(spark: SparkSession, folder: str) -> DataFrame:
     """Forests over a grid of sizes, each read at several contamination levels."""
-    categories = encode.fit_categories(table_kinds(spark, folder), features.CATEGORICAL_COLUMNS)
-    matrix = scoring.prepare_matrix(featured(spark, folder), "id_transaction", categories)
+    rows = cut_lineage(featured(spark, folder))
+    categories = encode.fit_categories(rows, features.CATEGORICAL_COLUMNS)
+    matrix = scoring.prepare_matrix(rows, "id_transaction", categories)
     names = scoring.matrix_features(matrix)
     out = None
     for size, trees in _GRID:
