@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("ingest_queries", "model_queries", "eval_queries", "stream_queries", "density_queries")
+_MODULES = (
+    "ingest_queries",
+    "model_queries",
+    "eval_queries",
+    "stream_queries",
+    "density_queries",
+    "analytics_queries",
+)
 
 
 def load_catalog() -> tuple[dict, dict]:
