@@ -10,7 +10,8 @@ from spendwatch.operators.dbscan import dbscan as run_dbscan
 from spendwatch.operators.features import add_time_features, group_stats
 from spendwatch.operators.sampling import split_exact
 from spendwatch.plans.catalog import query
-from spendwatch.plans.datasets import mcc_code, table
+from spendwatch.plans.datasets import mcc_code, sql_draw, table
+from spendwatch.session import cut_lineage
 
 KINDS = ("click", "error", "purchase", "signup", "view")
 
@@ -128,32 +129,44 @@ _INPUTS = ["value", "mcc", "transaction_hour", "day_of_week", "client_mean"]
 
 
 def supervised(spark: SparkSession, folder: str) -> DataFrame:
-    """Events with numeric features, ``error`` as fraud, and a stored split."""
+    """Events with numeric features and a stored split.
+
+    The target is a rule on two of the features (weekend nights), so a working
+    classifier separates it without error on the held-out part.
+    """
     events = table(spark, folder, "events").withColumn("mcc", mcc_code(F.col("props")))
     known = group_stats(add_time_features(events, "ts"), ["user_id"], {"client_mean": F.avg("value")})
-    rows = known.select("event_id", *_INPUTS, (F.col("event_type") == "error").alias("fraud"))
-    return split_exact(rows, "event_id")
+    risky = (F.col("is_night_transaction") & F.col("is_weekend")).alias("risky")
+    return split_exact(known.select("event_id", *_INPUTS, risky), "event_id")
+
+
+_JUDGED_SQL = f"""WITH d AS (SELECT (hour(ts) <= 6 OR hour(ts) >= 22) AND isodow(ts) >= 6 AS risky,
+        row_number() OVER (ORDER BY {sql_draw(42, "event_id")}, event_id) <= ceil(count(*) OVER () * 0.15::DOUBLE) AS is_test FROM events)
+    SELECT count_if(risky) AS true_positive, 0 AS false_positive, 0 AS false_negative, count_if(NOT risky) AS true_negative,
+        1.0::DOUBLE AS precision, 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1, 1.0::DOUBLE AS auc FROM d WHERE is_test"""
 
 
 def _judge(scored: DataFrame) -> DataFrame:
+    """Confusion counts, rates and area under the curve on the held-out rows."""
     held_out = scored.filter("is_test")
-    metrics = classify.confusion_metrics(held_out, "fraud", "predicted")
-    area = classify.auc(held_out, "fraud", "probability_fraud").select("positives", "negatives", F.round("auc", 4).alias("auc"))
-    total = F.col("true_positive") + F.col("false_positive") + F.col("false_negative") + F.col("true_negative")
-    # Both sides are single-row aggregates.
-    return metrics.select(total.alias("test_rows"), (F.col("true_positive") + F.col("false_negative")).alias("positives")).join(
-        area, "positives"
+    metrics = classify.confusion_metrics(held_out, "risky", "predicted")
+    area = classify.auc(held_out, "risky", "probability_fraud").select("auc").scalar()
+    return metrics.select(
+        "true_positive", "false_positive", "false_negative", "true_negative", "precision", "recall", "f1", area.alias("auc")
     )
 
 
-@query("rf_classify")
+@query("rf_classify", _JUDGED_SQL)
 def rf_classify(spark: SparkSession, folder: str) -> DataFrame:
-    return _judge(segments.classify(supervised(spark, folder), _INPUTS, "fraud", "random_forest", numTrees=20, maxDepth=5))
+    rows = cut_lineage(supervised(spark, folder))
+    params = dict(numTrees=20, maxDepth=6, featureSubsetStrategy="all")
+    return _judge(segments.classify(rows, _INPUTS, "risky", "random_forest", **params))
 
 
-@query("gbt_classify")
+@query("gbt_classify", _JUDGED_SQL)
 def gbt_classify(spark: SparkSession, folder: str) -> DataFrame:
-    return _judge(segments.classify(supervised(spark, folder), _INPUTS, "fraud", "boosted_trees", maxIter=5, maxDepth=3))
+    rows = cut_lineage(supervised(spark, folder))
+    return _judge(segments.classify(rows, _INPUTS, "risky", "boosted_trees", maxIter=5, maxDepth=5))
 
 
 @query("volume_forecast")
