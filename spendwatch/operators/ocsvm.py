@@ -36,9 +36,6 @@ class FourierMap:
     weights: np.ndarray
     shifts: np.ndarray
 
-    def apply(self, x: np.ndarray) -> np.ndarray:
-        return math.sqrt(2.0 / len(self.shifts)) * np.cos(x @ self.weights + self.shifts)
-
 
 @dataclass(frozen=True)
 class OneClassSvm:
@@ -48,6 +45,10 @@ class OneClassSvm:
     intercept: float
 
 
+def project(x: np.ndarray, weights: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+    return math.sqrt(2.0 / len(shifts)) * np.cos(x @ weights + shifts)
+
+
 def fourier_map(features: int, components: int = COMPONENTS, gamma: float = GAMMA, seed: object = 42) -> FourierMap:
     """Projection drawn from hashes, so it is the same on every run and engine."""
     weights = np.zeros((features, components))
@@ -62,14 +63,16 @@ def fourier_map(features: int, components: int = COMPONENTS, gamma: float = GAMM
 
 def decision(df: DataFrame, model: OneClassSvm) -> Column:
     """Signed distance to the boundary; below 0 is anomalous."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays only: executors need not know this package's classes.
+    fourier = model.fourier
+    shared = df.sparkSession.sparkContext.broadcast((fourier.weights, fourier.shifts, model.weights, model.intercept))
 
     @F.pandas_udf("double")
     def margin(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        svm = shared.value
+        directions, shifts, weights, intercept = shared.value
         for columns in batches:
             x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            yield pd.Series(svm.fourier.apply(x) @ svm.weights + svm.intercept - 1.0)
+            yield pd.Series(project(x, directions, shifts) @ weights + intercept - 1.0)
 
     return margin(*[F.col(ident(f)) for f in model.features])
 
@@ -97,13 +100,13 @@ def fit_ocsvm(
     context = df.sparkSession.sparkContext
 
     def evaluate(weights: np.ndarray, intercept: float) -> tuple[float, float, np.ndarray]:
-        shared = context.broadcast((fourier, weights, intercept))
+        shared = context.broadcast((fourier.weights, fourier.shifts, weights, intercept))
 
         def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            mapping, w, b = shared.value
+            directions, shifts, w, b = shared.value
             sums = np.zeros(len(w) + 3)
             for batch in batches:
-                z = mapping.apply(batch.to_numpy(dtype=float))
+                z = project(batch.to_numpy(dtype=float), directions, shifts)
                 slack = 1.0 - z @ w - b
                 active = slack > 0
                 sums += np.concatenate([[len(z), slack[active].sum(), active.sum()], z[active].sum(axis=0)])

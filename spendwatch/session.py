@@ -52,6 +52,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives the loss of any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared folder and go on from the written table.
+
+    The result survives the loss of any executor, and later passes read only
+    the columns they need, with sizes the optimizer knows.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
