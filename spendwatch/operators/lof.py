@@ -56,11 +56,10 @@ def fit_lof(
     density = cut_lineage(_density(lists, reach).withColumnRenamed("qid", "rid").join(reach, "rid"))
     factors = _factor(lists, density).withColumnRenamed("qid", "rid")
     fitted = cut_lineage(refs.join(density, "rid").join(factors, "rid"))
-    # Every copy of a point counts in the quantile.
-    copies = fitted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("w").cast("int")))).select(
-        "grp", (-F.col("factor")).alias("score")
-    )
-    offsets = exact_quantiles(copies, ["score"], [contamination], ["grp"]).select("grp", F.col("quantile").alias("offset"))
+    # Every copy of a point counts in the quantile, as a weight.
+    scores = fitted.select("grp", (-F.col("factor")).alias("score"), "w")
+    cuts = exact_quantiles(scores, ["score"], [contamination], ["grp"], weight="w")
+    offsets = cuts.select("grp", F.col("quantile").alias("offset"))
     return LofModel(fitted, offsets, k)
 
 

@@ -37,23 +37,28 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     gather_below: int = GATHER_BELOW,
+    weight: str | None = None,
 ) -> DataFrame:
-    """Rows ``(by…, column_name, prob, quantile)`` with linear interpolation."""
-    rows = long_form(df, columns, by)
+    """Rows ``(by…, column_name, prob, quantile)`` with linear interpolation.
+
+    ``weight`` names a column of whole numbers saying how often a row counts.
+    """
+    rows = long_form(df, columns, [*by, weight] if weight else by)
     keys = [*by, "column_name"]
+    copies = F.col(weight) if weight else F.lit(1)
     largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] if by else df.count()
     if (largest or 0) <= gather_below:
-        values = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs]))
+        values = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs]), copies)
         found = rows.groupBy(*keys).agg(values.alias("q"))
         return found.select(
             *keys, F.explode(F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("prob"), "q")).alias("z")
         ).select(*keys, F.col("z.prob").alias("prob"), F.col("z.q").alias("quantile"))
 
     # One group identifier per (by…, column_name), so narrowing has one key.
-    tagged = rows.select(F.struct(*keys).alias("key"), "value").withColumn("group_id", F.to_json("key"))
-    sizes = tagged.groupBy("group_id").agg(F.count("*").alias("n"), F.first("key").alias("key")).collect()
+    tagged = rows.select(F.struct(*keys).alias("key"), "value", copies.alias("copies")).withColumn("group_id", F.to_json("key"))
+    sizes = tagged.groupBy("group_id").agg(F.sum("copies").alias("n"), F.first("key").alias("key")).collect()
     wanted = {r["group_id"]: sorted({f((r["n"] - 1) * p) for p in probs for f in (math.floor, math.ceil)}) for r in sizes}
-    at = _narrow(tagged.select("group_id", "value"), wanted, gather_below)
+    at = _narrow(tagged.select("group_id", "value", "copies"), wanted, gather_below)
     out = []
     for r in sizes:
         for p in probs:
@@ -66,7 +71,7 @@ def exact_quantiles(
 
 def value_at_ranks(values: DataFrame, ranks: Sequence[int], gather_below: int = GATHER_BELOW) -> dict[int, float]:
     """The values at 0-based ``ranks`` of a single ``value`` column."""
-    tagged = values.select(F.lit("all").alias("group_id"), F.col("value").cast("double").alias("value"))
+    tagged = values.select(F.lit("all").alias("group_id"), F.col("value").cast("double").alias("value"), F.lit(1).alias("copies"))
     found = _narrow(tagged, {"all": list(ranks)}, gather_below)
     return {rank: found["all", rank] for rank in ranks}
 
@@ -78,7 +83,7 @@ def _narrow(rows: DataFrame, wanted: dict[str, list[int]], gather_below: int) ->
         raise ValueError("too many groups for exact quantiles; aggregate them first")
     done: dict[tuple[str, int], float] = {}
     bounds = {r["group_id"]: r for r in rows.groupBy("group_id").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("n")).collect()}
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("copies").alias("n")).collect()}
     targets = {(g, r): (bounds[g]["lo"], bounds[g]["hi"], 0, bounds[g]["n"]) for g, r in targets}
 
     while True:
@@ -95,7 +100,7 @@ def _narrow(rows: DataFrame, wanted: dict[str, list[int]], gather_below: int) ->
         # The targets are at most MAX_TARGETS rows, so broadcasting is safe.
         inside = rows.join(F.broadcast(table), "group_id").filter("value >= lo AND value <= hi")
         if max(n for _, _, _, n in targets.values()) <= gather_below:
-            counted = inside.groupBy("group_id", "rank", "before", "value").count()
+            counted = inside.groupBy("group_id", "rank", "before", "value").agg(F.sum("copies").alias("count"))
             order = Window.partitionBy("group_id", "rank").orderBy("value")
             reached = counted.withColumn("upto", F.col("before") + F.sum("count").over(order))
             hits = reached.filter("upto > rank").groupBy("group_id", "rank").agg(F.min("value").alias("value"))
@@ -105,7 +110,7 @@ def _narrow(rows: DataFrame, wanted: dict[str, list[int]], gather_below: int) ->
             F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * INTERVALS), F.lit(INTERVALS - 1)
         )
         counts = inside.groupBy("group_id", "rank", slot.alias("slot")).agg(
-            F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
+            F.sum("copies").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
         )
         running = Window.partitionBy("group_id", "rank").orderBy("slot")
         upto = counts.withColumn("upto", F.sum("n").over(running))

@@ -53,39 +53,46 @@ def regress(df: DataFrame, features: Sequence[str], target: str, seed: int = 42,
 def collaborative_offers(df: DataFrame, client: str, item: str, weight: str, top: int, seed: int = 42, **params) -> DataFrame:
     """Top items per client from implicit-feedback matrix factorization."""
     model = ALS(userCol=client, itemCol=item, ratingCol=weight, implicitPrefs=True, seed=seed, **params).fit(df)
-    offers = model.recommendForAllUsers(top).select(client, F.posexplode("recommendations").alias("position", "r"))
-    return offers.select(client, (F.col("position") + 1).alias("position"), F.col(f"r.{item}").alias(item), F.col("r.rating").alias("score"))
+    named = lambda factors, name: factors.select(F.col("id").alias(name), F.col("features").alias("vector"))
+    return top_items(named(model.userFactors, client), named(model.itemFactors, item), client, item, "vector", top, cosine=False)
 
 
 def content_offers(profiles: DataFrame, items: DataFrame, client: str, item: str, vector: str, top: int) -> DataFrame:
-    """Top items per client by cosine between client profile and item vector.
+    """Top items per client by cosine between client profile and item vector."""
+    return top_items(profiles, items, client, item, vector, top, cosine=True)
+
+
+def top_items(
+    profiles: DataFrame, items: DataFrame, client: str, item: str, vector: str, top: int, cosine: bool
+) -> DataFrame:
+    """The ``top`` items of each client by inner product or cosine.
 
     The item catalogue is checked to be small and shipped to the tasks, each of
-    which keeps only the ``top`` items of a client; no client-item pair is
-    emitted otherwise. Equal cosines are ordered by item.
+    which keeps only the best items of a client; no client-item pair is emitted
+    otherwise. Equal scores are ordered by item.
     """
     rows = items.select(item, vector).limit(MAX_ITEMS + 1).collect()
     if len(rows) > MAX_ITEMS:
         raise ValueError(f"more than {MAX_ITEMS} items")
     rows.sort(key=lambda r: r[item])
     names = np.array([r[item] for r in rows])
-    unit = _unit(np.array([r[vector] for r in rows], dtype=float))
-    shared = profiles.sparkSession.sparkContext.broadcast((names, unit))
+    scale = _unit if cosine else np.asarray
+    shared = profiles.sparkSession.sparkContext.broadcast((names, scale(np.array([r[vector] for r in rows], dtype=float))))
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         order, catalogue = shared.value
         for batch in batches:
-            mine = _unit(np.stack(batch[vector].to_numpy()).astype(float))
+            mine = scale(np.stack(batch[vector].to_numpy()).astype(float))
             for start in range(0, len(batch), 1024):
-                cosine = np.round(mine[start : start + 1024] @ catalogue.T, 9)
-                first = np.argsort(-cosine, axis=1, kind="stable")[:, :top]
+                scores = np.round(mine[start : start + 1024] @ catalogue.T, 9)
+                first = np.argsort(-scores, axis=1, kind="stable")[:, :top]
                 count, width = first.shape
                 yield pd.DataFrame(
                     {
                         client: np.repeat(batch[client].to_numpy()[start : start + 1024], width),
                         "position": np.tile(np.arange(1, width + 1), count),
                         item: order[first].ravel(),
-                        "score": np.take_along_axis(cosine, first, axis=1).ravel(),
+                        "score": np.take_along_axis(scores, first, axis=1).ravel(),
                     }
                 )
 

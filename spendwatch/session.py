@@ -46,9 +46,22 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_handed_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this process wrote to the shared folder, once its results are no longer read."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _handed_out:
+        path = jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

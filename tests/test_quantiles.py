@@ -28,6 +28,15 @@ def test_quantiles_match_numpy(spark, gather_below):
             assert np.allclose([got[g, c, p] for p in PROBS], want, rtol=1e-12)
 
 
+@pytest.mark.parametrize("gather_below", [10**9, 5])
+def test_weighted_quantiles_count_copies(spark, gather_below):
+    rows = spark.range(200).select((F.col("id") * 1.5).alias("v"), (F.col("id") % 4).alias("w"))
+    data = rows.toPandas()
+    want = np.percentile(np.repeat(data.v, data.w), [100 * p for p in PROBS])
+    got = exact_quantiles(rows.filter("w > 0"), ["v"], PROBS, (), gather_below, "w").orderBy("prob").collect()
+    assert np.allclose([r["quantile"] for r in got], want)
+
+
 def test_values_at_ranks_by_narrowing(spark):
     rows = _skewed(spark, 5_000).select(F.col("v").alias("value")).filter("value IS NOT NULL")
     ordered = np.sort([r["value"] for r in rows.collect()])
