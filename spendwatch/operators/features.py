@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendwatch.functions import cleaning, timeparts
+from spendwatch.operators.ingest import join_users
+from spendwatch.operators.skew import spread_join
 
 # The model's feature list, in order, and its version.
 FEATURE_SCHEMA_VERSION = "v1.0"
@@ -52,6 +54,7 @@ DROPPED_COLUMNS = (
     "merchant_id",
     "errors",
 )
+TIME_FEATURES = ("transaction_hour", "day_of_week", "month", "is_weekend", "is_night_transaction")
 ID_COLUMNS = ("id_transaction", "client_id")
 CATEGORICAL_COLUMNS = ("use_chip", "gender")
 
@@ -85,14 +88,14 @@ def group_stats(df: DataFrame, keys: Iterable[str], stats: dict[str, Column]) ->
 
     Aggregate then left-join instead of a window: the aggregate combines
     map-side, so a group holding a third of the rows costs one row per input
-    partition, where a window would pull that whole group into one task. The
-    join side has one row per group and AQE splits the skewed fact side. Rows
-    with a NULL key get NULL, as a data-frame group-transform gives.
+    partition, where a window would pull that whole group into one task; the
+    join spreads such groups. Rows with a NULL key get NULL, as a data-frame
+    group-transform gives.
     """
     keys = list(keys)
     known = df.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
     totals = known.groupBy(*keys).agg(*[expr.alias(name) for name, expr in stats.items()])
-    return df.join(totals, keys, "left").select(*df.columns, *stats)
+    return spread_join(df, totals, keys, "left").select(*[F.col(f"`{c}`") for c in df.columns], *stats)
 
 
 def add_spending_ratio(df: DataFrame, client: str = "client_id", amount: str = "amount") -> DataFrame:
@@ -107,6 +110,22 @@ def build_features(df: DataFrame, strict_dates: bool = True) -> DataFrame:
     return add_spending_ratio(add_time_features(clean(df, strict_dates)))
 
 
+def join_and_build(transactions: DataFrame, users: DataFrame, strict_dates: bool = True) -> DataFrame:
+    """As ``build_features(join_users(transactions, users))`` with one shuffle of the transactions.
+
+    The client means are taken from the transactions alone (user rows only
+    repeat or drop whole clients, which leaves a mean unchanged), attached to
+    the per-client user rows, and both reach the transactions in one join.
+    """
+    tx = add_time_features(clean(transactions, strict_dates))
+    means = tx.filter("client_id IS NOT NULL").groupBy("client_id").agg(F.avg("amount").alias("_client_mean"))
+    profiles = clean(users, strict_dates).join(means.withColumnRenamed("client_id", "_mean_of"), F.col("id") == F.col("_mean_of"), "left")
+    joined = join_users(tx, profiles.drop("_mean_of"))
+    ratio = F.try_divide(F.col("amount"), F.col("_client_mean") + 1).alias("amount_vs_avg")
+    raw = [c for c in joined.columns if c not in TIME_FEATURES and c != "_client_mean"]
+    return joined.select(*[F.col(f"`{c}`") for c in (*raw, *TIME_FEATURES)], ratio)
+
+
 def drop_columns(df: DataFrame, keep_ids: bool = False, extra: Iterable[str] = ()) -> DataFrame:
     """Remove columns that are not model inputs; absent names are ignored.
 

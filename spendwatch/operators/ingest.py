@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendwatch.operators.skew import spread_join
+
 
 def join_users(
     transactions: DataFrame,
@@ -17,8 +19,7 @@ def join_users(
 
     Names present on both sides get ``_transaction`` / ``_user`` and the
     redundant user key is dropped. ``null_safe`` also pairs NULL keys, as a
-    data-frame merge would. No join hint: the optimizer broadcasts users when
-    their size allows it, and otherwise AQE splits skewed client partitions.
+    data-frame merge would. Clients holding many rows are spread over tasks.
     """
     both = set(transactions.columns) & set(users.columns)
     left = transactions.select(
@@ -27,11 +28,10 @@ def join_users(
     right = users.select(
         *[F.col(c).alias(f"{c}_user") if c in both else F.col(c) for c in users.columns]
     )
-    left_key = F.col(f"{key}_transaction" if key in both else key)
+    left_name = f"{key}_transaction" if key in both else key
     right_name = f"{user_key}_user" if user_key in both else user_key
-    right_key = F.col(right_name)
-    condition = left_key.eqNullSafe(right_key) if null_safe else left_key == right_key
-    return left.join(right, condition, "inner").drop(right_name)
+    keyed = right.withColumnRenamed(right_name, left_name)
+    return spread_join(left, keyed, [left_name], "inner", null_safe)
 
 
 def add_mcc_description(transactions: DataFrame, mcc: DataFrame) -> DataFrame:

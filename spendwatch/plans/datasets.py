@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendwatch.functions.cleaning import format_money
-from spendwatch.operators.features import build_features
+from spendwatch.operators.features import join_and_build
 from spendwatch.operators.ingest import join_users
 
 
@@ -48,7 +48,7 @@ def primary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def featured(spark: SparkSession, folder: str) -> DataFrame:
-    return build_features(primary(spark, folder))
+    return join_and_build(raw_transactions(spark, folder), raw_users(spark, folder))
 
 
 SQL_PRIMARY = """
