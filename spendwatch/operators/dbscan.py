@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from spendwatch.functions.sqltext import ident
 from spendwatch.operators.components import connected_components
+from spendwatch.operators.skew import spread_join
 from spendwatch.session import cut_lineage
 
 NOISE = -1
@@ -55,7 +56,7 @@ def dbscan(df: DataFrame, key: str, features: Sequence[str], eps: float, min_pts
     points = rows.groupBy(*xs).agg(F.min("id").alias("pid"), F.count("*").alias("w"))
     points = points.withColumns({c: F.floor(F.col(x) / side) for c, x in zip(cell, xs, strict=True)})
     sizes = points.groupBy(*cell).agg(F.sum("w").alias("in_cell"))
-    points = cut_lineage(points.join(sizes, cell))
+    points = cut_lineage(spread_join(points, sizes, cell))
 
     dense = points.filter(F.col("in_cell") >= min_pts)
     sparse = points.filter(F.col("in_cell") < min_pts)
@@ -64,7 +65,7 @@ def dbscan(df: DataFrame, key: str, features: Sequence[str], eps: float, min_pts
     )
     qs = [f"q{x}" for x in xs]
     counted = (
-        around.join(points.select(*cell, *xs, "w"), cell)
+        spread_join(points.select(*cell, *xs, "w"), around, cell)
         .filter(_squared(qs, xs) <= eps * eps)
         .groupBy("pid")
         .agg(F.sum("w").alias("near"))
@@ -76,11 +77,11 @@ def dbscan(df: DataFrame, key: str, features: Sequence[str], eps: float, min_pts
     edges = _linked_cells(core, core_cells, xs, cell, side, eps, measure_below)
     components = connected_components(core_cells.select("node"), edges)
     named = core_cells.join(components, "node").select(*cell, F.col("component").alias("cluster"))
-    core_named = cut_lineage(core.join(named, cell))
+    core_named = cut_lineage(spread_join(core, named, cell))
 
     # Border points lie in sparse cells only.
     border = (
-        around.join(core_named.select(*cell, *xs, "cluster"), cell)
+        spread_join(core_named.select(*cell, *xs, "cluster"), around, cell)
         .filter(_squared(qs, xs) <= eps * eps)
         .groupBy("pid")
         .agg(F.min("cluster").alias("border_cluster"))
@@ -95,7 +96,7 @@ def dbscan(df: DataFrame, key: str, features: Sequence[str], eps: float, min_pts
             F.coalesce("cluster", "border_cluster", F.lit(NOISE)).alias("cluster"),
         )
     )
-    return rows.join(labelled, xs).select("id", "is_core", "cluster")
+    return spread_join(rows, labelled, xs).select("id", "is_core", "cluster")
 
 
 def _boxes(core: DataFrame, xs: Sequence[str], side: float, level: int) -> DataFrame:

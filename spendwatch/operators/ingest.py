@@ -36,7 +36,7 @@ def join_users(
 
 def add_mcc_description(transactions: DataFrame, mcc: DataFrame) -> DataFrame:
     """Left join of the code lookup; unknown codes keep a NULL description."""
-    return transactions.join(mcc, "mcc", "left")
+    return spread_join(transactions, mcc, ["mcc"], "left")
 
 
 def label_coverage(ids: DataFrame, labels: DataFrame) -> DataFrame:

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from spendwatch.functions.decisions import NORMAL, label_from_decision
 from spendwatch.functions.sqltext import ident
-from spendwatch.operators.neighbors import BLOCK_ROWS, CELL_ROWS, distances, distinct_points, nearest
+from spendwatch.operators.neighbors import BLOCK_ROWS, CELL_ROWS, MAX_GROUPS, distances, distinct_points, nearest
 from spendwatch.operators.quantiles import exact_quantiles
+from spendwatch.operators.skew import held, spread_join
 from spendwatch.session import cut_lineage
 
 # Parameters of the two detectors, and the density guard.
@@ -68,13 +69,13 @@ def _density(lists: DataFrame, reach: DataFrame) -> DataFrame:
     pairs = lists.select("qid", F.explode("near").alias("n")).select("qid", "n.d", "n.rid", "n.w")
     seen = F.greatest("k_distance", "d")
     mean = F.sum(F.col("w") * seen) / F.sum("w")
-    return pairs.join(reach, "rid").groupBy("qid").agg((1 / (mean + DENSITY_GUARD)).alias("density"))
+    return spread_join(pairs, reach.select("rid", "k_distance"), ["rid"]).groupBy("qid").agg((1 / (mean + DENSITY_GUARD)).alias("density"))
 
 
 def _factor(lists: DataFrame, density: DataFrame) -> DataFrame:
     """Mean density of the neighbours over a point's own density."""
     pairs = lists.select("qid", F.explode("near").alias("n")).select("qid", "n.rid", "n.w")
-    theirs = pairs.join(density.select("rid", "density"), "rid")
+    theirs = spread_join(pairs, density.select("rid", "density"), ["rid"])
     mean = theirs.groupBy("qid").agg((F.sum(F.col("w") * F.col("density")) / F.sum("w")).alias("mean_density"))
     own = density.select(F.col("rid").alias("qid"), "density")
     return mean.join(own, "qid").select("qid", (F.col("mean_density") / F.col("density")).alias("factor"))
@@ -82,9 +83,10 @@ def _factor(lists: DataFrame, density: DataFrame) -> DataFrame:
 
 def fitted_labels(points: DataFrame, model: LofModel) -> DataFrame:
     """``(id, grp, factor, prediction)`` of the rows the model was fitted on."""
-    scored = model.points.select("grp", "x", "factor").join(model.offsets, "grp")
+    scored = model.points.select("grp", "x", "factor").join(held(model.offsets, MAX_GROUPS, "groups"), "grp")
     label = label_from_decision(-F.col("factor") - F.col("offset"))
-    return points.join(scored, ["grp", "x"]).select("id", "grp", "factor", label.alias("prediction"))
+    labelled = scored.select("grp", "x", "factor", label.alias("prediction"))
+    return spread_join(points, labelled, ["grp", "x"]).select("id", "grp", "factor", "prediction")
 
 
 def score_lof(
@@ -102,7 +104,7 @@ def score_lof(
     own = _density(lists, known.select("rid", "k_distance")).withColumnRenamed("qid", "rid")
     both = known.select("rid", "density")
     pairs = lists.select("qid", F.explode("near").alias("n")).select("qid", "n.rid", "n.w")
-    mean = pairs.join(both, "rid").groupBy("qid").agg(
+    mean = spread_join(pairs, both, ["rid"]).groupBy("qid").agg(
         (F.sum(F.col("w") * F.col("density")) / F.sum("w")).alias("mean_density")
     )
     factor = mean.join(own.withColumnRenamed("rid", "qid"), "qid").select(
@@ -110,11 +112,12 @@ def score_lof(
     )
     scored = (
         distinct.join(factor, distinct["rid"] == factor["qid"], "left")
-        .join(model.offsets, "grp", "left")
+        .join(held(model.offsets, MAX_GROUPS, "groups"), "grp", "left")
         .select("grp", "x", "score", (F.col("score") - F.col("offset")).alias("decision"))
     )
     label = F.coalesce(label_from_decision(F.col("decision")), F.lit(NORMAL))
-    return points.join(scored, ["grp", "x"]).select("id", "grp", "score", "decision", label.alias("prediction"))
+    labelled = scored.select("grp", "x", "score", "decision", label.alias("prediction"))
+    return spread_join(points, labelled, ["grp", "x"]).select("id", "grp", "score", "decision", "prediction")
 
 
 def nearest_centroid(df: DataFrame, features: Sequence[str], centroids: dict[int, Sequence[float]]) -> Column:

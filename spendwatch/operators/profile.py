@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from spendwatch.functions.sqltext import ident, text
 from spendwatch.operators.quantiles import exact_quantiles, long_form
+from spendwatch.operators.skew import held
 
 # Quartiles of a description, bins of a histogram, points of a curve.
 QUARTILES = (0.25, 0.5, 0.75)
 HISTOGRAM_BINS = 100
 CURVE_POINTS = 200
 CURVE_CUT = 3.0
+MAX_LABELS = 1_000
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -69,15 +71,15 @@ def table_profile(df: DataFrame) -> DataFrame:
 def density_histogram(df: DataFrame, column: str, label: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bins between each label's extremes; areas sum to one.
 
-    Only occupied bins are listed. The extremes have one row per label and are
-    joined to the rows without a shuffle of the rows when they are small.
+    Only occupied bins are listed.
     """
     known = df.select(F.col(label).alias("label"), F.col(column).cast("double").alias("value")).filter(
         "value IS NOT NULL AND label IS NOT NULL"
     )
-    edges = known.groupBy("label").agg(
+    extremes = known.groupBy("label").agg(
         F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("n")
     )
+    edges = held(extremes, MAX_LABELS, "labels")
     counted = known.groupBy("label", "value").agg(F.count("*").alias("c"))
     width = (F.col("hi") - F.col("lo")) / bins
     placed = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("value") - F.col("lo")) / width)).otherwise(0)
@@ -122,13 +124,13 @@ def density_curve(
     )
     width = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
     grid = (
-        stats.filter("sd > 0")
+        held(stats.filter("sd > 0"), MAX_LABELS, "labels")
         .withColumn("h", width)
         .withColumn("start", F.col("lo") - cut * F.col("h"))
         .withColumn("step", (F.col("hi") + cut * F.col("h") - F.col("start")) / (points - 1))
         .select("label", "n", "h", "start", "step")
     )
-    weighted = known.groupBy("label", "value").agg(F.count("*").alias("w")).join(grid, "label")
+    weighted = known.groupBy("label", "value").agg(F.count("*").alias("w")).join(F.broadcast(grid), "label")
     reach = F.lit(KERNEL_REACH) * F.col("h")
     first = F.greatest(F.ceil((F.col("value") - reach - F.col("start")) / F.col("step")), F.lit(0)).cast("int")
     last = F.least(F.floor((F.col("value") + reach - F.col("start")) / F.col("step")), F.lit(points - 1)).cast("int")

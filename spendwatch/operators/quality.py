@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from spendwatch.functions.decisions import ANOMALY
 from spendwatch.functions.sqltext import ident, number
 from spendwatch.operators.sampling import sample_exact
+from spendwatch.operators.skew import held
 
 # Rows used for a silhouette, and decimals of the metrics.
 SILHOUETTE_ROWS = 5_000
@@ -57,9 +58,8 @@ def _residuals(df: DataFrame, features: Sequence[str], cluster: str) -> DataFram
     Distances are taken from the centroid rather than from expanded squares,
     which would cancel badly for tight clusters far from the origin.
     """
-    centers = _moments(df, features, cluster).selectExpr(
-        "cluster AS _cluster", "transform(sums, s -> s / n) AS _center"
-    )
+    means = _moments(df, features, cluster).selectExpr("cluster AS _cluster", "transform(sums, s -> s / n) AS _center")
+    centers = held(means, MAX_CLUSTERS, "clusters")
     squared = " + ".join(f"pow(cast({ident(f)} as double) - _center[{i}], 2)" for i, f in enumerate(features))
     joined = df.join(centers, F.col(cluster) == F.col("_cluster")).withColumn("_d2", F.expr(squared))
     return joined.groupBy(F.col("_cluster").alias("cluster")).agg(

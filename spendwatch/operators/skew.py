@@ -28,6 +28,18 @@ def fits_broadcast(df: DataFrame) -> bool:
     return estimate <= spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
 
 
+def held(df: DataFrame, limit: int, what: str) -> DataFrame:
+    """A per-group table with at most ``limit`` rows, computed once and broadcast.
+
+    The optimizer sizes an aggregate by its input, so on a large table it would
+    shuffle every row to meet a handful of groups.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} {what}")
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def heavy_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys holding more than one row in ``HEAVY_SHARE``."""
     counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))

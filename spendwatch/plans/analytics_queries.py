@@ -9,6 +9,7 @@ from spendwatch.operators import classify, segments
 from spendwatch.operators.dbscan import dbscan as run_dbscan
 from spendwatch.operators.features import add_time_features, group_stats
 from spendwatch.operators.sampling import split_exact
+from spendwatch.operators.skew import spread_join
 from spendwatch.plans.catalog import query
 from spendwatch.plans.datasets import mcc_code, sql_draw, table
 from spendwatch.session import cut_lineage
@@ -63,9 +64,9 @@ def spend_by_category_region(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "customer")
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", F.col("r_name").alias("region"))
+        .select(F.col("c_custkey").alias("o_custkey"), F.col("r_name").alias("region"))
     )
-    joined = table(spark, folder, "orders").join(places, F.col("o_custkey") == F.col("c_custkey"))
+    joined = spread_join(table(spark, folder, "orders"), places, ["o_custkey"])
     totals = joined.groupBy(F.col("o_orderpriority").alias("category"), "region").agg(
         F.count("*").alias("transactions"), F.sum("o_totalprice").alias("spend")
     )
