@@ -10,11 +10,19 @@ from pyspark.sql import functions as F
 from spendwatch.functions.decisions import ANOMALY, NORMAL
 from spendwatch.operators.quality import anomaly_summary
 
+# Detector types that can be trained.
+KNOWN_TYPES = ("isolation_forest", "lof", "one_class_svm")
+
 # Cores assumed in per-core rates, and seconds in an hour.
 CORES = 4
 HOUR = 3600
 
 
+def known_types(asked: Sequence[str]) -> list[str]:
+    """The trainable detector types among those asked for; other names are ignored."""
+    return [name for name in asked if name in KNOWN_TYPES]
+
+
 def compare_models(scored: DataFrame, model: str = "model_name", label: str = "prediction") -> DataFrame:
     """One metric row per model from the union of their predictions."""
     return anomaly_summary(scored, label, by=[model]).drop("distinct_labels")

@@ -29,6 +29,7 @@ SUB_SAMPLE = 256
 
 MAX_SUB_SAMPLE = 65_536
 POOL_ROWS = 262_144
+CACHE_ROWS = 4_096
 EULER = 0.5772156649015329
 NODE_SCHEMA = "tree int, node int, feature int, split double, size int, path double"
 PATH_DECIMALS = 9
@@ -163,7 +164,7 @@ def _tables(forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Complete binary layouts, so that every row takes the same number of steps."""
     depth = max(node.bit_length() - 1 for _, node, *_ in forest.nodes)
     width = 1 << depth
-    feature = np.zeros((forest.trees, 2 * width), dtype=np.int32)
+    feature = np.zeros((forest.trees, 2 * width), dtype=np.int64)
     split = np.full((forest.trees, 2 * width), np.inf)
     path = np.zeros((forest.trees, width))
     for tree, node, column, at, _, length in forest.nodes:
@@ -177,15 +178,19 @@ def _tables(forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
 
 
 def path_lengths(x: np.ndarray, feature: np.ndarray, split: np.ndarray, path: np.ndarray, depth: int) -> np.ndarray:
-    """Mean path length over the trees for a block of rows."""
+    """Mean path length over the trees, for blocks of rows small enough to stay in cache."""
     total = np.zeros(len(x))
-    rows = np.arange(len(x))
     width = 1 << depth
-    for t in range(len(feature)):
-        node = np.ones(len(x), dtype=np.int64)
-        for _ in range(depth):
-            node = 2 * node + (x[rows, feature[t][node]] > split[t][node])
-        total += path[t][node - width]
+    for start in range(0, len(x), CACHE_ROWS):
+        block = np.ascontiguousarray(x[start : start + CACHE_ROWS])
+        flat, first = block.ravel(), np.arange(len(block)) * block.shape[1]
+        sums = total[start : start + CACHE_ROWS]
+        for t in range(len(feature)):
+            node = np.ones(len(block), dtype=np.int64)
+            for _ in range(depth):
+                above = flat.take(first + feature[t].take(node)) > split[t].take(node)
+                node = 2 * node + above
+            sums += path[t].take(node - width)
     return np.round(total / len(feature), PATH_DECIMALS)
 
 

@@ -143,6 +143,16 @@ def test_single_records_missing_features_and_failures(spark):
     assert (opened["prediction"], opened["prediction_label"], opened["success"]) == (1, "NORMAL", False)
 
 
+def test_a_model_without_scaler_is_served_unscaled(spark, tmp_path):
+    rows, matrix, _ = _detector(spark)
+    categories = {"use_chip": ["Chip Transaction", "Online Transaction"], "gender": ["Female", "Male"]}
+    bare = scoring.train(matrix, categories, "r", scaled=False, trees=10, contamination=0.05)
+    registry.save_detector(spark, bare, str(tmp_path / "m"), "r")
+    restored = registry.load_detector(spark, str(tmp_path / "m"), "isolation_forest", "r")
+    assert restored.scaler is None and not registry.status(restored)["has_scaler"]
+    assert scoring.score(rows, restored, ["id_transaction"]).count() == 2_000
+
+
 def test_artifact_listing(spark, tmp_path):
     for name in ("isolation_forest_1.joblib", "lof_1.joblib", "old.pkl"):
         (tmp_path / name).write_bytes(b"x")

@@ -116,3 +116,7 @@ def test_one_class_svm_learns_the_bulk(spark):
     scored = rows.select("a", ocsvm.decision(rows, model).alias("d")).collect()
     bulk = np.mean([r["d"] < 0 for r in scored if r["a"] < 4])
     assert bulk < 0.25 and all(r["d"] < 0 for r in scored if r["a"] > 4)
+
+
+def test_unknown_detector_types_are_ignored():
+    assert detectors.known_types(["lof", "prophet", "isolation_forest"]) == ["lof", "isolation_forest"]
