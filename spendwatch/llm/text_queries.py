@@ -6,9 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendwatch.llm.catalog import query, table
 from spendwatch.llm.contamination import scan
+from spendwatch.llm.divergence import quality
 
 
 @query("op3_decontamination")
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = scan(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op4_quality_rules")
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality(table(spark, folder, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "character_distance", "common_distance")
