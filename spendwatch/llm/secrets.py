@@ -1,0 +1,118 @@
+"""Secrets by corpus-wide ownership frequency, in DataFrame functions only.
+
+Base patterns give assignments, access keys and hexadecimal runs. Their values,
+and long mixed tokens outside of them, are candidates. Over the whole corpus
+each candidate's hash is counted by distinct documents (the repositories) and
+distinct sources (the owners): a value that several owners hold is a copied
+example, one that a single owner holds and that looks random is live. Live
+values are added as spans of kind ``live``.
+
+Places are found inside the row: what a pattern matches and what lies between
+matches alternate, so the lengths of both give code-point offsets. Only
+candidates are exploded, and they are counted as distinct (hash, owner) pairs
+first, so a value that a third of all rows hold is combined before it is
+shuffled.
+
+Null and empty texts have no spans. A null source is an owner of its own. A
+document without an id counts as a document of its own per source. Repeated
+ids and rows are separate rows; they count as one repository.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from spendwatch.llm.scratch import written
+
+# The base patterns.
+VALUE = "[A-Za-z0-9+/_.=-]+"
+ASSIGN = f"(?i:password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?({VALUE})"
+ACCESS = "AKIA[A-Z0-9]+"
+HEXES = "[0-9a-f]{32,}"  # the runs of 32 and more among all maximal runs
+MIN_VALUE = 8
+MIN_ACCESS = 16
+#: Mixed tokens of this many characters are candidates too.
+LOOSE = "(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]*[0-9])(?=[A-Za-z0-9_-]*[a-z])(?=[A-Za-z0-9_-]*[A-Z])[A-Za-z0-9_-]{24,64}(?![A-Za-z0-9_-])"
+#: A live value has at least this many characters, among them digits and letters, and this many different ones.
+LIVE_LENGTH = 16
+LIVE_DIFFERENT = 8
+KINDS = ["assign", "access", "hex", "live"]
+SPAN = "array<struct<start:bigint,kind:int,stop:bigint,value:string>>"
+
+
+def _found(text: str, pattern: str, kind: int, group: int = 0) -> Column:
+    """Spans of all matches as ``start, kind, stop, value``; ``value`` is the given group."""
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
+    steps = F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.greatest(F.size(hits), F.lit(1))).alias("gap"), hits.alias("hit"), values.alias("value"))
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPAN).alias("spans"))
+
+    def add(state: Column, step: Column) -> Column:
+        begin = state["at"] + F.char_length(step["gap"])
+        end = begin + F.char_length(step["hit"])
+        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("stop"), step["value"].alias("value"))
+        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).cast(SPAN).alias("spans"))
+
+    return F.when(F.col(text).rlike(pattern), F.aggregate(steps, start, add)["spans"]).otherwise(F.array().cast(SPAN))
+
+
+def _spelled(spans: Column) -> Column:
+    """``kind:start:end`` by start, then kind, joined by commas."""
+    names = F.array(*map(F.lit, KINDS))
+    return F.array_join(F.transform(F.sort_array(spans), lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+
+def _looks_random(value: Column) -> Column:
+    different = F.size(F.array_distinct(F.split(value, "")))
+    return (F.char_length(value) >= LIVE_LENGTH) & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (different >= LIVE_DIFFERENT)
+
+
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", keep: list[str] | None = None) -> DataFrame:
+    """Per row of ``docs``: its ``keep`` columns (default the id, as ``doc_id``), base counts, spans and live values.
+
+    Added columns are ``n_assign, n_access, n_hex, base_sha256, spans, n_live,
+    n_shared, live``; with ``keep`` each has a leading underscore.
+    """
+    kept = [F.col(id_col).alias("doc_id")] if keep is None else [F.col(f"`{c}`") for c in keep]
+    rows = docs.select(F.struct(*kept).alias("row"), F.col(id_col).cast("string").alias("repo"), F.col(owner_col).cast("string").alias("owner"), F.coalesce(text_col, F.lit("")).alias("text"))
+    rows = rows.select(
+        "row", "repo", "owner",
+        F.filter(_found("text", ASSIGN, 0, 1), lambda s: F.char_length(s["value"]) >= MIN_VALUE).alias("assign"),
+        F.filter(_found("text", ACCESS, 1), lambda s: F.char_length(s["value"]) >= MIN_ACCESS).alias("access"),
+        _found("text", HEXES, 2).alias("hex"),
+        _found("text", LOOSE, 3).alias("loose"),
+    )
+    # the value stands at the end of an assignment
+    values = F.transform(
+        F.concat("assign", "access", "hex", "loose"),
+        lambda s: F.struct((s["stop"] - F.char_length(s["value"])).alias("start"), F.lit(3).alias("kind"), s["stop"].alias("stop"), s["value"].alias("value")),
+    )
+    stage = written(rows.withColumn("candidates", F.array_distinct(values)).withColumn("base", F.concat("assign", "access", "hex")).withColumn("key", F.monotonically_increasing_id()))
+
+    every = stage.filter(F.size("candidates") > 0).select("key", "repo", "owner", F.explode("candidates").alias("span")).withColumn("hash", F.sha2("span.value", 256))
+    owners = every.select("hash", "owner").distinct().groupBy("hash").agg(F.count("*").alias("n_owners"))
+    repos = every.select("hash", "owner", "repo").distinct().groupBy("hash").agg(F.count("*").alias("n_repos"))
+    known = owners.join(repos, "hash")
+    verdict = every.join(known, "hash").withColumn("is_live", (F.col("n_owners") == 1) & _looks_random(F.col("span.value")))
+    per_row = verdict.groupBy(F.col("key").alias("_key")).agg(
+        F.sort_array(F.collect_list(F.when(F.col("is_live"), F.col("span")))).alias("live"),
+        F.count(F.when(F.col("n_owners") > 1, 1)).alias("n_shared"),
+    )
+    joined = stage.join(per_row, F.col("key") == F.col("_key"), "left")
+    live = F.coalesce("live", F.array().cast(SPAN))
+    added = {
+        "n_assign": F.size("assign").cast("bigint"), "n_access": F.size("access").cast("bigint"), "n_hex": F.size("hex").cast("bigint"),
+        "base_sha256": F.sha2(_spelled(F.col("base")), 256), "spans": _spelled(F.concat("base", live)),
+        "n_live": F.size(live).cast("bigint"), "n_shared": F.coalesce("n_shared", F.lit(0)),
+        "live": F.array_distinct(F.transform(live, lambda s: s["value"])),
+    }
+    own = [F.col("row").getField(n).alias(n) for n in (["doc_id"] if keep is None else keep)]
+    return joined.select(*own, *(c.alias(n if keep is None else f"_{n}") for n, c in added.items()))
+
+
+def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
+    """All rows and columns of ``docs`` with every live value in the text replaced by ``mark``."""
+    found = scan_secrets(docs, keep=docs.columns)
+    clean = F.aggregate("_live", F.col("text"), lambda text, value: F.replace(text, value, F.lit(mark)))
+    return found.select(*[(clean if c == "text" else F.col(f"`{c}`")).alias(c) for c in docs.columns])

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spendwatch.llm.catalog import query, table
 from spendwatch.llm.contamination import scan
 from spendwatch.llm.divergence import quality
+from spendwatch.llm.secrets import scan_secrets
 
 
 @query("op3_decontamination")
@@ -19,3 +20,9 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality(table(spark, folder, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "character_distance", "common_distance")
+
+
+@query("op10_secrets")
+def secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_secrets(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_shared")
