@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spendwatch.llm.catalog import query, table
 from spendwatch.llm.contamination import scan
 from spendwatch.llm.divergence import quality
+from spendwatch.llm.extraction import extract
 from spendwatch.llm.secrets import scan_secrets
 
 
@@ -26,3 +27,8 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = scan_secrets(table(spark, folder, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_shared")
+
+
+@query("op1_html_extraction")
+def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(table(spark, folder, "pages"))
