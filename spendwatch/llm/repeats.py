@@ -24,18 +24,19 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendwatch.llm.scratch import written
-from spendwatch.llm.textblocks import Words, blocks
+from spendwatch.llm.textblocks import Words, blocks, mix
 
 #: Words in a repeat, and in an anchor: ``REPEAT >= 2 * BLOCK - 1``.
 REPEAT = 13
 BLOCK = 7
 #: Text bytes whose windows meet in one bucket.
 BUCKET_BYTES = 8 << 20
+#: Buckets per shard of documents that results return to.
+SHARD_BUCKETS = 4
 #: Text bytes in which a task settles repeats by itself.
 TASK_BYTES = 4 << 20
 ANCHOR = np.uint32(1 << 31)
@@ -64,6 +65,32 @@ def _packed(bucket: np.ndarray, owner: np.ndarray, values: np.ndarray, owners: n
     return out
 
 
+def _dealt(owner: np.ndarray, values: np.ndarray, shards: int) -> pa.Table:
+    """``shard, payload``: the values packed by a hash of their owner's id, one row per shard."""
+    shard = (mix(owner[:, 0].astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+    order = np.lexsort((*owner.T[::-1], shard))
+    shard, owner, values = shard[order], owner[order], values[order]
+    first = np.ones(len(owner), bool)
+    first[1:] = np.any(owner[1:] != owner[:-1], axis=1)
+    rows = _packed(shard, np.cumsum(first) - 1, values, owner[first].astype("<i8"))
+    return pa.table({"shard": pa.array([k for k, _ in rows], pa.int64()), "payload": pa.array([p for _, p in rows], pa.binary())})
+
+
+def _gathered(dealt: DataFrame, names: list[str], values: str, kind: str) -> DataFrame:
+    """One row per owner with all its values, from rows of ``_dealt``. A shard holds about ``SHARD_BUCKETS`` buckets' worth of documents."""
+    width = len(names)
+
+    def gather(table: pa.Table) -> pa.Table:
+        owner, value = _unpacked(table.column("payload").to_pylist(), width, kind)
+        order = np.lexsort(owner.T[::-1])
+        owner, value = owner[order], value[order]
+        edge, lists = _lists(owner, value.view("i" + kind[2:]))
+        return pa.table({**{n: pa.array(owner[edge, k]) for k, n in enumerate(names)}, values: lists})
+
+    schema = ", ".join(f"{n} bigint" for n in names) + f", {values} array<{'int' if kind == '<u4' else 'bigint'}>"
+    return dealt.groupBy("shard").applyInArrow(gather, schema)
+
+
 def _unpacked(payloads: Iterable[bytes], width: int, kind: str) -> tuple[np.ndarray, np.ndarray]:
     """Owners and values of all payloads, one owner row per value."""
     owners, values = [], []
@@ -93,7 +120,7 @@ def _groups(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchor_hits(docs: DataFrame, buckets: int, repeat: int = REPEAT, block: int = BLOCK) -> DataFrame:
-    """``id, hits``: per document and bucket the anchors' hashes that other documents share. Reads ``_id, _text``."""
+    """``id, hits``: per document the hashes of windows that may be shared anchors. Reads ``_id, _text``."""
 
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in blocks(batches, "_text", TASK_BYTES):
@@ -119,36 +146,33 @@ def anchor_hits(docs: DataFrame, buckets: int, repeat: int = REPEAT, block: int
             value = short[start] | np.where(marked, ANCHOR, np.uint32(0))
             rows = _packed((window[start] % np.uint64(buckets)).astype(np.int64), row, value.astype("<u4"), known.astype("<i8")[:, None])
             local = np.flatnonzero(several)
-            local = local[np.argsort(doc[local], kind="stable")]
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b for b, _ in rows], pa.int32()), pa.array([p for _, p in rows], pa.binary()), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.list_(pa.int32()))],
-                    names=["bucket", "payload", "id", "hits"],
-                )
-            if len(local):
-                edge, lists = _lists(own[local][:, None], short[local].astype(np.int32))
-                owner = own[local][edge]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((owner % buckets).astype(np.int32)), pa.nulls(len(edge), pa.binary()), pa.array(owner), lists], names=["bucket", "payload", "id", "hits"]
-                )
+            settled = _dealt(own[local][:, None], short[local].astype("<u4"), buckets)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([*(b for b, _ in rows), *settled.column("shard").to_pylist()], pa.int64()),
+                    pa.array([p for _, p in rows] + [None] * settled.num_rows, pa.binary()),
+                    pa.array([None] * len(rows) + settled.column("payload").to_pylist(), pa.binary()),
+                ],
+                names=["bucket", "payload", "settled"],
+            )
 
     def meet(table: pa.Table) -> pa.Table:
-        settled = table.filter(pc.is_null(table.column("payload"))).select(["id", "hits"])
+        known_owner, known_value = _unpacked(table.column("settled").drop_null().to_pylist(), 1, "<u4")
         owner, value = _unpacked(table.column("payload").drop_null().to_pylist(), 1, "<u4")
         order = np.argsort(value & LOW31, kind="stable")
-        owner, value = owner[order, 0], value[order]
+        owner, value = owner[order], value[order]
         start, group = _groups(value & LOW31)
         hit = np.zeros(0, np.int64)
         if len(start):
-            shared = np.minimum.reduceat(owner, start) != np.maximum.reduceat(owner, start)
+            shared = np.minimum.reduceat(owner[:, 0], start) != np.maximum.reduceat(owner[:, 0], start)
             marked = np.bitwise_or.reduceat(value, start) >= ANCHOR
             hit = np.flatnonzero((shared & marked)[group])
-            hit = hit[np.argsort(owner[hit], kind="stable")]
-        edge, lists = _lists(owner[hit][:, None], (value[hit] & LOW31).astype(np.int32))
-        return pa.concat_tables([settled, pa.table({"id": pa.array(owner[hit][edge]), "hits": lists}).cast(settled.schema)])
+        return _dealt(np.concatenate([known_owner, owner[hit]]), np.concatenate([known_value, value[hit] & LOW31]), shards)
 
-    probes = docs.mapInArrow(probe, "bucket int, payload binary, id bigint, hits array<int>")
-    return probes.groupBy("bucket").applyInArrow(meet, "id bigint, hits array<int>")
+    shards = max(1, buckets // SHARD_BUCKETS)
+    probes = docs.mapInArrow(probe, "bucket bigint, payload binary, settled binary")
+    met = probes.groupBy("bucket").applyInArrow(meet, "shard bigint, payload binary")
+    return _gathered(met, ["id"], "hits", "<u4")
 
 
 def _member(owner: np.ndarray, value: np.ndarray, lists: list[list[int] | None]) -> np.ndarray:
@@ -253,8 +277,9 @@ def extended(docs: DataFrame, buckets: int, repeat: int = REPEAT, block: int = B
     return docs.mapInArrow(extend, STAGE)
 
 
-def later_windows(stage: DataFrame) -> DataFrame:
+def later_windows(stage: DataFrame, buckets: int) -> DataFrame:
     """``id, digest, later``: hashes of the full windows that a smaller id also has."""
+    shards = max(1, buckets // SHARD_BUCKETS)
 
     def compare(table: pa.Table) -> pa.Table:
         owner, value = _unpacked(table.column("payload").to_pylist(), 2, "<u8")
@@ -262,11 +287,10 @@ def later_windows(stage: DataFrame) -> DataFrame:
         owner, value = owner[order], value[order]
         start, group = _groups(value)
         hit = np.flatnonzero(owner[:, 0] > np.minimum.reduceat(owner[:, 0], start)[group]) if len(start) else np.zeros(0, np.int64)
-        hit = hit[np.lexsort((owner[hit, 1], owner[hit, 0]))]
-        edge, lists = _lists(owner[hit], value[hit].astype(np.int64))
-        return pa.table({"id": pa.array(owner[hit, 0][edge]), "digest": pa.array(owner[hit, 1][edge]), "later": lists})
+        return _dealt(owner[hit], value[hit], shards)
 
-    return stage.filter("kind = 1").select("bucket", "payload").groupBy("bucket").applyInArrow(compare, "id bigint, digest bigint, later array<bigint>")
+    found = stage.filter("kind = 1").select("bucket", "payload").groupBy("bucket").applyInArrow(compare, "shard bigint, payload binary")
+    return _gathered(found, ["id", "digest"], "later", "<u8")
 
 
 def removed_words(docs: DataFrame, repeat: int = REPEAT, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -280,11 +304,10 @@ def removed_words(docs: DataFrame, repeat: int = REPEAT, block: int = BLOCK, id_
     only = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
     size = only.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0)).alias("n")).first()["n"]
     buckets = max(8, -(-size // BUCKET_BYTES))
-    hits = written(anchor_hits(only, buckets, repeat, block))
-    hits = hits.groupBy(F.col("id").alias("_hit")).agg(F.flatten(F.collect_list("hits")).alias("hits"))
+    hits = written(anchor_hits(only, buckets, repeat, block)).withColumnRenamed("id", "_hit")
     met = only.join(hits, F.col("_id") == F.col("_hit"), "left").select("_id", F.xxhash64("_text").alias("_digest"), "_text", "hits")
     stage = written(extended(met, buckets, repeat, block))
-    later = later_windows(stage).groupBy(F.col("id").alias("_i"), F.col("digest").alias("_d")).agg(F.flatten(F.collect_list("later")).alias("later"))
+    later = written(later_windows(stage, buckets)).withColumnRenamed("id", "_i").withColumnRenamed("digest", "_d")
     open_docs = stage.filter("kind = 0 AND text IS NOT NULL").select("id", "digest", "text", "near")
     open_docs = open_docs.join(later, (F.col("id") == F.col("_i")) & (F.col("digest") == F.col("_d")), "left").select("id", F.col("text").alias("_text"), "near", "later")
 
