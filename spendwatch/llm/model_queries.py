@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendwatch.llm import personal
 from spendwatch.llm.catalog import query, table
 from spendwatch.llm.factorise import ACCEPT, held_out, scored, train
 
@@ -15,3 +16,8 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     machine = train(docs, table(spark, folder, "labels"))
     score = F.col("_score")
     return scored(docs, machine, ["doc_id"]).select("doc_id", held_out().alias("held_out"), score.alias("score"), (score >= ACCEPT).cast("int").alias("predicted"))
+
+
+@query("op6_personal_data")
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.find_personal(table(spark, folder, "documents"), personal.trained())
