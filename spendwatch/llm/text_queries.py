@@ -8,7 +8,7 @@ from spendwatch.llm.catalog import query, table
 from spendwatch.llm.contamination import scan
 from spendwatch.llm.divergence import quality
 from spendwatch.llm.extraction import extract
-from spendwatch.llm.secrets import scan_secrets
+from spendwatch.llm.ownership import scan_secrets
 
 
 @query("op3_decontamination")
