@@ -90,19 +90,18 @@ def _original_spans(raw: bytes, hit: np.ndarray) -> list[dict[str, int]]:
 
 
 def scan(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text_col: str = "text", keep: list[str] | None = None,
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[str] | None = None, text_col: str = "text", item_col: str = "item_id",
+    item_text_col: str = "text",
 ) -> DataFrame:
-    """Per row of ``docs``: its ``keep`` columns (default the id, as ``doc_id``), counts, items and spans of benchmark passages."""
+    """Per row of ``docs``: ``row``, a struct of its ``keep`` columns (default: all), and counts, items and spans of benchmark passages."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     parts = -(-total // AUTOMATON_BYTES) or 1
     numbered = items.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(parts)))
 
-    kept = [F.col(id_col).alias("doc_id")] if keep is None else [F.col(f"`{c}`") for c in keep]
-    names = ["doc_id"] if keep is None else keep
-    carried = docs.select(F.struct(*kept).alias("row"), F.col(text_col).alias("text"), F.array().cast("array<bigint>").alias("places"), F.array().cast("array<string>").alias("items"))
+    kept = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns])
+    carried = docs.select(kept.alias("row"), F.col(text_col).alias("text"), F.array().cast("array<bigint>").alias("places"), F.array().cast("array<string>").alias("items"))
     row_type = carried.schema["row"].dataType.simpleString()
     for part in range(parts):
         held = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in numbered.filter(F.col("part") == part).select("item", "text").collect()])
@@ -134,8 +133,7 @@ def scan(
                     yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), pa.array(places, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], names=["row", "text", "places", "items"])
 
         carried = carried.mapInArrow(look, f"row {row_type}, {SCHEMA}" if last else carried.schema)
-    own = [F.col("row").getField(n).alias(n) for n in names]
-    return carried.select(*own, *(F.col(n).alias(n if keep is None else f"_{n}") for n in _NAMES))
+    return carried
 
 
 _TYPES = (
@@ -147,4 +145,4 @@ _NAMES = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any benchmark passage, with the columns of ``docs``."""
-    return scan(docs, benchmark, window, keep=docs.columns).filter(~F.col("_contaminated")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return scan(docs, benchmark, window).filter(~F.col("contaminated")).select("row.*")

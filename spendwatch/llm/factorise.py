@@ -181,20 +181,19 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
     return fit(edges, np.concatenate(held["bucket"].tolist()).astype(np.int64), np.concatenate(held["value"].tolist()), np.stack(held["stats"].tolist()), label)
 
 
-def scored(docs: DataFrame, machine: Machine, keep: list[str]) -> DataFrame:
-    """The ``keep`` columns of every row of ``docs`` with its ``_score``."""
+def scored(docs: DataFrame, machine: Machine, keep: list[str] | None = None) -> DataFrame:
+    """Per row of ``docs``: ``row``, a struct of its ``keep`` columns (default: all), and ``score``."""
     held = docs.sparkSession.sparkContext.broadcast((machine.bias, machine.linear, machine.factors, machine.mean, machine.scale))  # of fixed size
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("text").alias("_text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"), F.col("text").alias("_text"))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here = Machine(*held.value)
         for part, texts in blocks(batches, "_text"):
             yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(here.score(texts))], names=["row", "score"])
 
-    made = rows.mapInArrow(score, f"row {rows.schema['row'].dataType.simpleString()}, score double")
-    return made.select(*[F.col("row").getField(c).alias(c) for c in keep], F.col("score").alias("_score"))
+    return rows.mapInArrow(score, f"row {rows.schema['row'].dataType.simpleString()}, score double")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, at_least: float = ACCEPT) -> DataFrame:
     """The documents whose score is high enough, with the columns of ``docs``."""
-    return scored(docs, train(docs, labels), docs.columns).filter(F.col("_score") >= at_least).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return scored(docs, train(docs, labels)).filter(F.col("score") >= at_least).select("row.*")

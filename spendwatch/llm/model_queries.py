@@ -14,8 +14,9 @@ from spendwatch.llm.factorise import ACCEPT, held_out, scored, train
 def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     machine = train(docs, table(spark, folder, "labels"))
-    score = F.col("_score")
-    return scored(docs, machine, ["doc_id"]).select("doc_id", held_out().alias("held_out"), score.alias("score"), (score >= ACCEPT).cast("int").alias("predicted"))
+    return scored(docs, machine, ["doc_id"]).select(
+        "row.doc_id", held_out("row.doc_id").alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted")
+    )
 
 
 @query("op6_personal_data")

@@ -265,3 +265,23 @@ def _full_sets(only: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.list_(pa.int64()))], names=["doc", "shingles"])
 
     return only.join(one, only["_id"].eqNullSafe(one["_least"])).select("doc", "_text").mapInArrow(fill, "doc binary, shingles array<bigint>")
+
+
+def one_of_each(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """One row of each group of near copies, with the columns of ``docs``.
+
+    The row with the group's smallest id stays. Rows with equal ids are told
+    apart by a number given when the rows are first written; of several rows
+    with the smallest id the first stays. Rows without words are in no group,
+    and rows whose group has no id at all keep one of them.
+    """
+    numbered = written(docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("number")))
+    # the row number is the id of the join, so that every row is a node of its own
+    links = near_copies(numbered.select("number", F.col("row.text").alias("text")), size, percent, id_col="number")
+    groups = links.select(F.col("doc_id").alias("node"), F.col("component_id").alias("group"), (F.col("n_shingles") > 0).alias("filled"))
+    placed = written(numbered.select("number", "id").join(groups, F.col("number") == F.col("node")).select("number", "id", "group", "filled"))
+    # smallest id first; a null id last
+    order = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("d"), F.col("number").alias("r"))
+    first = placed.filter("filled").groupBy("group").agg(F.min(order)["r"].alias("kept")).select("kept")
+    kept = first.union(placed.filter("NOT filled").select("number"))
+    return numbered.join(kept, F.col("number") == F.col("kept"), "left_semi").select("row.*")

@@ -69,13 +69,13 @@ def _looks_random(value: Column) -> Column:
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", keep: list[str] | None = None) -> DataFrame:
-    """Per row of ``docs``: its ``keep`` columns (default the id, as ``doc_id``), base counts, spans and live values.
+    """Per row of ``docs``: ``row``, a struct of its ``keep`` columns (default: all), base counts, spans and live values.
 
-    Added columns are ``n_assign, n_access, n_hex, base_sha256, spans, n_live,
-    n_shared, live``; with ``keep`` each has a leading underscore.
+    The added columns are ``n_assign, n_access, n_hex, base_sha256, spans,
+    n_live, n_shared, live``.
     """
-    kept = [F.col(id_col).alias("doc_id")] if keep is None else [F.col(f"`{c}`") for c in keep]
-    rows = docs.select(F.struct(*kept).alias("row"), F.col(id_col).cast("string").alias("repo"), F.col(owner_col).cast("string").alias("owner"), F.coalesce(text_col, F.lit("")).alias("text"))
+    kept = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns])
+    rows = docs.select(kept.alias("row"), F.col(id_col).cast("string").alias("repo"), F.col(owner_col).cast("string").alias("owner"), F.coalesce(text_col, F.lit("")).alias("text"))
     rows = rows.select(
         "row", "repo", "owner",
         F.filter(_found("text", ASSIGN, 0, 1), lambda s: F.char_length(s["value"]) >= MIN_VALUE).alias("assign"),
@@ -107,12 +107,11 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "n_live": F.size(live).cast("bigint"), "n_shared": F.coalesce("n_shared", F.lit(0)),
         "live": F.array_distinct(F.transform(live, lambda s: s["value"])),
     }
-    own = [F.col("row").getField(n).alias(n) for n in (["doc_id"] if keep is None else keep)]
-    return joined.select(*own, *(c.alias(n if keep is None else f"_{n}") for n, c in added.items()))
+    return joined.select("row", *(c.alias(n) for n, c in added.items()))
 
 
 def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """All rows and columns of ``docs`` with every live value in the text replaced by ``mark``."""
-    found = scan_secrets(docs, keep=docs.columns)
-    clean = F.aggregate("_live", F.col("text"), lambda text, value: F.replace(text, value, F.lit(mark)))
-    return found.select(*[(clean if c == "text" else F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    clean = F.aggregate("live", F.col("row.text"), lambda text, value: F.replace(text, value, F.lit(mark)))
+    columns = [clean.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
+    return scan_secrets(docs).select(*columns)

@@ -13,8 +13,8 @@ from spendwatch.llm.ownership import scan_secrets
 
 @query("op3_decontamination")
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    found = scan(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    found = scan(table(spark, folder, "documents"), table(spark, folder, "benchmark"), keep=["doc_id"])
+    return found.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 @query("op4_quality_rules")
@@ -25,8 +25,8 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op10_secrets")
 def secrets(spark: SparkSession, folder: str) -> DataFrame:
-    found = scan_secrets(table(spark, folder, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_shared")
+    found = scan_secrets(table(spark, folder, "documents"), keep=["doc_id"])
+    return found.select("row.doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_shared")
 
 
 @query("op1_html_extraction")
