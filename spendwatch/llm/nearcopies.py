@@ -1,21 +1,20 @@
 """Near copies by a chosen-path similarity join.
 
-Each different shingle set is one node of the join, with a signature of minwise
-tokens. An independent tree starts from one chosen coordinate: documents whose
-minwise token there is equal share a node. A node above ``SMALL`` documents
-branches: it chooses ``BRANCHES`` further coordinates by a hash of its own path
-and a document goes to one child for each. A small node is compared
-exhaustively inside a task, on one byte per token; what agrees is confirmed on
-the full sets. A link of similarity s survives one tree with probability
-s * x, where x is 1 for a small root and 1 - (1 - s x)^2 one level deeper: 0.82 at
-the threshold of 0.85 at any depth, so twelve independent trees miss such a link
-about once in 10^9.
-
-All pairs of a group are never written. The first round links documents to one
-leader per node; the second looks only at pairs that the first left in
-different components. A node that stays large at the deepest level shares
-``LEVELS`` minwise tokens: its documents meet its leader, then those outside
-its main component meet the others.
+Each different shingle set is one class, with a signature of minwise tokens. An
+independent tree starts from one chosen coordinate: classes whose minwise token
+there is equal share a node. A node above ``SMALL`` classes branches: it chooses
+``BRANCHES`` further coordinates by a hash of its own path, and a class goes to
+one child for each. From ``FIRST_LEVELS`` on only nodes above ``LARGE`` branch.
+A link of similarity s survives one tree with probability s x, where x is 1 for
+a root that is small and 1 - (1 - s x)^2 one level deeper: at least 0.82 at the
+threshold of 0.85, so ten independent trees miss such a link about once in 10^7.
+
+Nodes are compared exhaustively inside tasks. In a small node the signatures
+give the groups worth confirming; equal groups of several trees become one. A
+larger leaf is dealt to blocks of bounded total size, and every two blocks meet
+in one task. There the full sets are compared by one product of incidence
+matrices, and only a spanning forest of the true links leaves the task: never
+the pairs of a group.
 
 Documents with one shingle set are one class, linked with themselves. A text
 without words has an empty set and stays alone, whatever its copies. A null id
@@ -37,11 +36,18 @@ from spendwatch.llm.textblocks import Words, blocks, mix
 from spendwatch.operators.components import connected_components
 
 TOKENS = 64
-TREES = 12
+TREES = 10
 BRANCHES = 2
-LEVELS = 5
-#: Documents that are compared exhaustively in one node.
+#: Classes of one node that are compared by signature at once.
 SMALL = 48
+#: Levels at which nodes above ``SMALL`` branch, and all levels.
+FIRST_LEVELS = 3
+LEVELS = 8
+LARGE = 4_096
+#: Shingles in one block of a larger leaf.
+BLOCK_SHINGLES = 400_000
+#: Columns multiplied at once.
+COLUMNS = 4_096
 #: Equal tokens that make a pair worth confirming. A pair at the threshold of
 #: 0.85 has fewer than this with probability below 10^-7.
 AGREE = 38
@@ -62,9 +68,9 @@ def shingle_sets(words: Words, size: int) -> list[np.ndarray]:
 
 
 def set_class(shingles: np.ndarray) -> bytes:
-    """The same 24 bytes for equal sets, different ones for different sets."""
+    """The same 16 bytes for equal sets, different ones for different sets."""
     other = mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
-    return np.array([shingles.sum(), other.sum(), len(shingles)], ">u8").tobytes()
+    return np.array([shingles.sum(), other.sum() * np.uint64(31) + np.uint64(len(shingles))], ">u8").tobytes()
 
 
 def signatures(docs: DataFrame, size: int, tokens: int = TOKENS) -> DataFrame:
@@ -99,15 +105,15 @@ def signatures(docs: DataFrame, size: int, tokens: int = TOKENS) -> DataFrame:
     return docs.mapInArrow(sign, f"id {kind}, n_shingles bigint, cls binary, sig array<int>, bytes binary")
 
 
-def nodes_of_trees(classes: DataFrame, trees: int, levels: int, small: int) -> tuple[DataFrame, DataFrame]:
-    """Rows ``key, doc`` of the small nodes with several documents, and of those still large at the last level.
+def leaves_of_trees(classes: DataFrame, trees: int = TREES) -> DataFrame:
+    """``key, doc, n``: the leaves with several classes, and their sizes.
 
     ``classes`` has ``doc, sig``. Node sizes are counted with partial sums and
-    joined back, so a node that holds most documents is never gathered.
+    joined back, so a node that holds most classes is never gathered.
     """
 
     def child(key, choice: int):
-        # the coordinate is chosen by the node's path, so it is the same for all its documents
+        # the coordinate is chosen by the node's path, so it is the same for all its classes
         place = F.pmod(F.xxhash64(key, F.lit(choice)), F.lit(TOKENS))
         return F.xxhash64(key, F.lit(choice), F.element_at("sig", place.cast("int") + 1))
 
@@ -115,95 +121,129 @@ def nodes_of_trees(classes: DataFrame, trees: int, levels: int, small: int) -> t
     roots = F.array(*[F.xxhash64(F.lit(t), F.element_at("sig", t * step + 1)) for t in range(trees)])
     rows = classes.select("doc", F.explode(roots).alias("key"))
     done = None
-    for level in range(levels):
-        sizes = rows.groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("_n")).filter("_n > 1")
-        sized = written(rows.join(sizes, F.col("key") == F.col("_k")).select("key", "doc", "_n"))
-        leaves = sized.filter(F.col("_n") <= small).select("key", "doc")
+    for level in range(1, LEVELS + 1):
+        sizes = rows.groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("n")).filter("n > 1")
+        sized = written(rows.join(sizes, F.col("key") == F.col("_k")).select("key", "doc", "n"))
+        most = SMALL if level < FIRST_LEVELS else LARGE
+        leaves = sized if level == LEVELS else sized.filter(F.col("n") <= most)
         done = leaves if done is None else done.union(leaves)
-        large = sized.filter(F.col("_n") > small).select("key", "doc")
-        if level == levels - 1 or large.isEmpty():
-            return done, large
+        large = sized.filter(F.col("n") > most)
+        if level == LEVELS or large.isEmpty():
+            break
         children = F.array(*[child(F.col("key"), c) for c in range(BRANCHES)])
-        rows = large.join(classes, "doc").select("doc", F.explode(children).alias("key"))
-    raise AssertionError
-
-
-def compare_nodes(nodes: DataFrame, agree: int, across: bool) -> DataFrame:
-    """``a, b, equal``: pairs inside nodes with at least ``agree`` equal tokens.
-
-    ``nodes`` has ``key, doc, bytes`` and, if ``across``, ``comp``. Without
-    ``across``, the pairs of each document with the node's first document, and
-    each document that has any partner with itself. With it, all pairs of
-    different components.
-    """
+        rows = large.select("key", "doc").join(classes, "doc").select("doc", F.explode(children).alias("key"))
+    return done
+
+
+def _runs(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of whole runs of equal keys from batches sorted by key."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = batch.column(key)
+        if held and keys[-1] == held[0].column(key)[0]:  # the run goes on
+            held.append(batch)
+            continue
+        table = pa.Table.from_batches([*held, batch], batch.schema)
+        keys = table.column(key).to_numpy(zero_copy_only=False)
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if cut:
+            yield table.slice(0, cut)
+        held = table.slice(cut).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _forest(count: int, pairs: Iterable[tuple[int, int]]) -> tuple[list[int], list[tuple[int, int]]]:
+    """Root of each of ``count`` items, and the pairs that joined two trees."""
+    parent, used = list(range(count)), []
+    for a, b in pairs:
+        while parent[a] != a:
+            parent[a] = a = parent[parent[a]]
+        while parent[b] != b:
+            parent[b] = b = parent[parent[b]]
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            used.append((a, b))
+    for k in range(count):
+        parent[k] = parent[parent[k]]
+    return parent, used
+
+
+def similar_groups(leaves: DataFrame, marks: DataFrame, agree: int = AGREE) -> DataFrame:
+    """``cell, doc``: groups of classes of small leaves that at least ``agree`` equal tokens connect, each group once."""
+
+    def group(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs((b for b in batches if b.num_rows), "key"):
+            keys = table.column("key").to_numpy()
+            names = table.column("doc").to_pylist()
+            sig = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(len(keys), -1)
+            left, right = [], []
+            for d in range(1, SMALL):
+                at = np.flatnonzero(keys[d:] == keys[:-d])
+                if not len(at):
+                    break
+                at = at[(sig[at] == sig[at + d]).sum(axis=1) >= agree]
+                left += at.tolist()
+                right += (at + d).tolist()
+            root, _ = _forest(len(keys), zip(left, right))
+            members: dict[int, list[bytes]] = {}
+            for k in sorted({*left, *right}):
+                top = k
+                while root[top] != top:
+                    top = root[top]
+                members.setdefault(top, []).append(names[k])
+            groups = [sorted(m) for m in members.values()]
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(m) for m in groups], pa.binary()), pa.array(groups, pa.list_(pa.binary()))], names=["all", "docs"])
+
+    dealt = leaves.join(marks, "doc").select("key", "doc", "bytes").repartition("key").sortWithinPartitions("key")
+    made = dealt.mapInArrow(group, "all binary, docs array<binary>").select(F.md5("all").alias("cell"), "docs")
+    return made.groupBy("cell").agg(F.first("docs").alias("docs")).select("cell", F.explode("docs").alias("doc"))
+
+
+def large_cells(leaves: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``cell, doc``: larger leaves dealt to blocks of about ``BLOCK_SHINGLES``; every two blocks are one cell."""
+    weighed = leaves.join(sizes, "doc")
+    blocks_of = weighed.groupBy(F.col("key").alias("_k")).agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("_b"))
+    dealt = weighed.join(blocks_of, F.col("key") == F.col("_k")).withColumn("_mine", F.pmod(F.xxhash64("doc", "key"), F.col("_b")))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_b") - 1))
+    met = dealt.select("key", "doc", "_mine", other.alias("_other"))
+    return met.select(F.md5(F.concat_ws(":", "key", F.least("_mine", "_other"), F.greatest("_mine", "_other")).cast("binary")).alias("cell"), "doc")
+
+
+def true_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of sets with at least ``percent`` of their union in common."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    shingle, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    shared = count[column] > 1  # a shingle of one set is in no intersection
+    row, column = row[shared], column[shared]
+    used, column = np.unique(column, return_inverse=True)
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, len(used), COLUMNS):
+        part = (column >= start) & (column < start + COLUMNS)
+        there = np.zeros((len(sets), min(COLUMNS, len(used) - start)), np.float32)
+        there[row[part], column[part] - start] = 1
+        common += there @ there.T
+    overlap = common.astype(np.int64)
+    linked = np.triu(100 * overlap >= percent * (sizes[:, None] + sizes[None, :] - overlap), 1)
+    return _forest(len(sets), zip(*(x.tolist() for x in np.nonzero(linked))))[1]
+
+
+def confirmed(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` inside the cells, enough to connect all that full sets link."""
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            table = pa.Table.from_batches([*held, batch], batch.schema)
-            keys = table.column("key").to_numpy()
-            cut = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0  # the last node may go on in the next batch
-            yield from pairs(table.slice(0, cut))
-            held = table.slice(cut).to_batches()
-        if held:
-            yield from pairs(pa.Table.from_batches(held))
-
-    def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        if not table.num_rows:
-            return
-        keys = table.column("key").to_numpy()
-        docs = table.column("doc").combine_chunks()
-        sig = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(len(keys), -1)
-        comp = np.array(table.column("comp").to_pylist(), object) if across else None
-        first = np.searchsorted(keys, keys)
-        left, right, equal = [], [], []
-        partner = np.zeros(len(keys), bool)
-        for d in range(1, len(keys)):
-            at = np.flatnonzero(keys[d:] == keys[:-d])
-            if not len(at):
-                break
-            if across:
-                at = at[comp[at] != comp[at + d]]
-            same = (sig[at] == sig[at + d]).sum(axis=1)
-            at, same = at[same >= agree], same[same >= agree]
-            partner[at] = partner[at + d] = True
-            if not across:
-                led = first[at] == at
-                at, same = at[led], same[led]
-            left.append(at)
-            right.append(at + d)
-            equal.append(same)
-        if not across:
-            alone = np.flatnonzero(partner)
-            left, right, equal = [*left, alone], [*right, alone], [*equal, np.zeros(len(alone), np.int64)]
-        if left:
-            a, b = np.concatenate(left), np.concatenate(right)
-            yield pa.RecordBatch.from_arrays([docs.take(pa.array(a)), docs.take(pa.array(b)), pa.array(np.concatenate(equal).astype(np.int32))], names=["a", "b", "equal"])
-
-    # documents of a node in an order that differs from tree to tree, so that leaders differ
-    dealt = nodes.repartition("key").sortWithinPartitions("key", F.xxhash64("key", "doc"))
-    return dealt.mapInArrow(compare, "a binary, b binary, equal int")
-
-
-def agreeing(pairs: DataFrame, agree: int) -> DataFrame:
-    """Pairs ``a, b`` with signatures ``x, y``, kept with their number of equal tokens."""
-
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("x", "y"))
-            same = (x == y).sum(axis=1).astype(np.int32) if batch.num_rows else np.zeros(0, np.int32)
-            keep = np.flatnonzero(same >= agree)
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(keep)), batch.column("b").take(pa.array(keep)), pa.array(same[keep])], names=["a", "b", "equal"])
-
-    return pairs.select("a", "b", "x", "y").mapInArrow(count, "a binary, b binary, equal int")
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose full sets have at least ``percent`` of their union in common."""
-    left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("_x"))
-    right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("_y"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("_common", F.size(F.array_intersect("_x", "_y")))
-    return both.filter(100 * F.col("_common") >= percent * (F.size("_x") + F.size("_y") - F.col("_common"))).select("a", "b")
+        for table in _runs((b for b in batches if b.num_rows), "cell"):
+            cell = table.column("cell").to_pylist()
+            names = table.column("doc").to_pylist()
+            shingles = [x.values.to_numpy() for chunk in table.column("shingles").chunks for x in chunk]
+            edges = [0, *(k for k in range(1, len(cell)) if cell[k] != cell[k - 1]), len(cell)]
+            links = [(a + x, a + y) for a, b in zip(edges, edges[1:]) for x, y in true_links(shingles[a:b], percent)]
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([names[k] for k, _ in links], pa.binary()), pa.array([names[k] for _, k in links], pa.binary())], names=["a", "b"])
+
+    dealt = cells.join(sets, "doc").select("cell", "doc", "shingles").repartition("cell").sortWithinPartitions("cell")
+    return dealt.mapInArrow(compare, "a binary, b binary")
 
 
 def near_copies(docs: DataFrame, size: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,37 +251,17 @@ def near_copies(docs: DataFrame, size: int, percent: int, id_col: str = "doc_id"
     only = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     signed = written(signatures(only, size))
     filled = signed.filter("cls IS NOT NULL")
-    classes = written(filled.groupBy(F.col("cls").alias("doc")).agg(F.min("id").alias("least"), F.first("sig").alias("sig"), F.first("bytes").alias("bytes")))
-    leaves, dense = nodes_of_trees(classes.select("doc", "sig"), TREES, LEVELS, SMALL)
-    marks = classes.select("doc", "bytes")
-
-    first = compare_nodes(leaves.join(marks, "doc"), AGREE, across=False)
-    dense_marked = dense.join(marks, "doc")
-    leader = dense.groupBy(F.col("key").alias("_k")).agg(F.min_by("doc", F.xxhash64("key", "doc")).alias("a")).join(marks.select(F.col("doc").alias("a"), F.col("bytes").alias("x")), "a")
-    led = agreeing(dense_marked.join(leader, F.col("key") == F.col("_k")).select("a", F.col("doc").alias("b"), "x", F.col("bytes").alias("y")), AGREE)
-    seen = dense.select(F.col("doc").alias("a"), F.col("doc").alias("b"), F.lit(0).alias("equal"))
-    found = written(first.union(led).union(seen))
-
-    # full sets of the documents that have any partner, made once
-    involved = found.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    classes = written(
+        filled.groupBy(F.col("cls").alias("doc")).agg(F.min("id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("bytes").alias("bytes"))
+    )
+    leaves = leaves_of_trees(classes.select("doc", "sig"))
+    small = similar_groups(leaves.filter(F.col("n") <= SMALL), classes.select("doc", "bytes"))
+    cells = written(small.union(large_cells(leaves.filter(F.col("n") > SMALL), classes.select("doc", "n_shingles"))))
+    involved = cells.select("doc").distinct()
     sets = written(_full_sets(only, classes.join(involved, "doc", "left_semi").select("doc", "least"), size))
-    best = found.filter("a <> b").groupBy("b").agg(F.max_by("a", "equal").alias("a"))
-    links = written(confirmed(best, sets, percent))
-    nodes = involved.select(F.col("doc").alias("node"))
-    component = written(connected_components(nodes, links))
-
-    split = component.withColumnRenamed("node", "doc").withColumnRenamed("component", "comp")
-    known = leaves.join(split, "doc")
-    mixed = known.groupBy("key").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high")).filter("_low <> _high").select("key")
-    across = compare_nodes(known.join(mixed, "key").join(marks, "doc"), AGREE, across=True)
-    dense_split = dense_marked.join(split, "doc")
-    counted = dense_split.groupBy("key", "comp").agg(F.count("*").alias("_n"))
-    main = counted.groupBy(F.col("key").alias("_k")).agg(F.max_by("comp", "_n").alias("_main"), F.count("*").alias("_parts")).filter("_parts > 1")
-    minor = dense_split.join(main, F.col("key") == F.col("_k")).filter("comp <> _main").select(F.col("_k").alias("key"), F.col("doc").alias("a"), F.col("bytes").alias("x"), F.col("comp").alias("_c"))
-    rest = agreeing(minor.join(dense_split, "key").filter("comp <> _c").select("a", F.col("doc").alias("b"), "x", F.col("bytes").alias("y")), AGREE)
-    more = across.union(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    all_links = written(links.union(confirmed(more, sets, percent)))
-    component = connected_components(nodes, all_links)
+    links = written(confirmed(cells, sets, percent).distinct())
+    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    component = connected_components(nodes, links)
 
     ids = component.join(classes.select(F.col("doc").alias("node"), "least"), "node")
     least = ids.groupBy("component").agg(F.min("least").alias("component_id"))
