@@ -1,9 +1,9 @@
 """Isolation forest (Liu, Ting and Zhou, ICDM 2008) as Spark jobs.
 
 Every tree sees at most ``sub_sample`` rows, so the rows drawn for all trees
-are a fixed number whatever the table size. Fitting is: one filter pass that
-keeps an evenly drawn pool, one join that deals pool rows to trees, and one
-grouped task per tree. Scoring ships the finished trees, whose size is bounded
+are a fixed number whatever the table size. Fitting is: counting passes that
+find the drawn rows' places in hash order, one filter pass that keeps those
+rows, and one grouped task per tree. Scoring ships the finished trees, whose size is bounded
 the same way, to Arrow-batched tasks over the whole table.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from spendwatch.functions.hashing import unit_draw, unit_hash
 from spendwatch.operators.quantiles import exact_quantiles
-from spendwatch.operators.sampling import dense_index, sample_exact
+from spendwatch.operators.sampling import rows_at_positions
 
 # Parameters of the two forests in use.
 PRODUCTION_FOREST = dict(trees=150, max_features=0.8, bootstrap=True, contamination=0.1, seed=42)
@@ -28,7 +28,6 @@ EXPLORATION_FOREST = dict(trees=100, max_features=1.0, bootstrap=False, contamin
 SUB_SAMPLE = 256
 
 MAX_SUB_SAMPLE = 65_536
-POOL_ROWS = 262_144
 CACHE_ROWS = 4_096
 EULER = 0.5772156649015329
 NODE_SCHEMA = "tree int, node int, feature int, split double, size int, path double"
@@ -64,38 +63,30 @@ def tree_columns(features: int, max_features: float, tree: int, seed: object) ->
 
 
 def deal_rows(
-    pool: DataFrame, key: str, pool_rows: int, trees: int, sub_sample: int, bootstrap: bool, seed: object
+    matrix: DataFrame, key: str, rows: int, trees: int, used: int, sub_sample: int, bootstrap: bool, seed: object
 ) -> DataFrame:
-    """The rows each tree learns from: pool columns plus ``tree``.
+    """The rows each tree learns from: table columns plus ``tree``.
 
-    With ``bootstrap`` every slot draws a pool position on its own. Without it
-    a tree keeps the first distinct positions of a longer draw, or, when the
-    pool is little larger than the sub-sample, the smallest hashes of the pool.
+    With ``bootstrap`` each of a tree's ``used`` slots draws a row position of
+    its own. Without it a tree keeps the first ``used`` distinct positions
+    among ``4 * sub_sample`` draws. One rule for tables of every size; the rows
+    come straight from the table.
     """
-    spark = pool.sparkSession
-    indexed = dense_index(pool, key, f"{seed}:index")
-    tree_slots = lambda per_tree: spark.range(trees * per_tree).select(
+    spark = matrix.sparkSession
+    per_tree = used if bootstrap else 4 * sub_sample
+    slots = spark.range(trees * per_tree).select(
         (F.col("id") / per_tree).cast("int").alias("tree"), (F.col("id") % per_tree).cast("int").alias("slot")
     )
-    position = F.floor(unit_hash(f"{seed}:draw", "tree", "slot") * pool_rows).alias("row_index")
+    drawn = slots.withColumn("row_index", F.floor(unit_hash(f"{seed}:draw", "tree", "slot") * rows))
     if bootstrap:
-        drawn = tree_slots(sub_sample).select("tree", position)
+        drawn = drawn.select("tree", "row_index")
     else:
-        if pool_rows >= 4 * sub_sample:
-            tried = tree_slots(4 * sub_sample).select("tree", "slot", position)
-            candidates = tried.groupBy("tree", "row_index").agg(F.min("slot").alias("turn"))
-        else:
-            candidates = tree_slots(pool_rows).select(
-                "tree", F.col("slot").cast("bigint").alias("row_index"), unit_hash(f"{seed}:draw", "tree", "slot").alias("turn")
-            )
         turn = Window.partitionBy("tree").orderBy("turn", "row_index")
-        drawn = (
-            candidates.withColumn("_turn", F.row_number().over(turn))
-            .filter(F.col("_turn") <= sub_sample)
-            .select("tree", "row_index")
-        )
+        candidates = drawn.groupBy("tree", "row_index").agg(F.min("slot").alias("turn"))
+        drawn = candidates.withColumn("_turn", F.row_number().over(turn)).filter(F.col("_turn") <= used).select("tree", "row_index")
+    found = rows_at_positions(matrix, key, f"{seed}:index", drawn.select("row_index"))
     # trees * sub_sample rows of two integers: a size fixed by the parameters.
-    return indexed.join(F.broadcast(drawn), "row_index")
+    return found.join(F.broadcast(drawn), "row_index")
 
 
 def grow_tree(x: np.ndarray, tree: int, columns: Sequence[int], depth_limit: int, seed: object) -> list[tuple]:
@@ -138,8 +129,6 @@ def fit_nodes(
     if not 2 <= sub_sample <= MAX_SUB_SAMPLE:
         raise ValueError(f"sub_sample must lie between 2 and {MAX_SUB_SAMPLE}")
     rows = matrix.count()
-    pool_rows = min(rows, max(POOL_ROWS, trees * sub_sample))
-    pool = matrix if rows <= pool_rows else sample_exact(matrix, key, n=pool_rows, seed=f"{seed}:pool")
     used = min(sub_sample, rows)
     depth_limit = math.ceil(math.log2(max(used, 2)))
     names = list(features)
@@ -151,8 +140,8 @@ def fit_nodes(
         grown = grow_tree(x, tree, columns, depth_limit, seed)
         return pd.DataFrame(grown, columns=["tree", "node", "feature", "split", "size", "path"])
 
-    slim = pool.select(key, *[F.col(f"`{n}`") for n in names])
-    dealt = deal_rows(slim, key, pool_rows, trees, used, bootstrap, seed)
+    slim = matrix.select(key, *[F.col(f"`{n}`") for n in names])
+    dealt = deal_rows(slim, key, rows, trees, used, sub_sample, bootstrap, seed)
     # Tree blocks are small, so an unpinned shuffle would be coalesced into one
     # task that grows every tree.
     tasks = min(trees, matrix.sparkSession.sparkContext.defaultParallelism)

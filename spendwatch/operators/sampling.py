@@ -213,20 +213,37 @@ def dense_index(df: DataFrame, key: str, seed: object, name: str = "row_index")
     )
 
 
-def first_rows_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The ``n`` rows with the smallest numeric keys, as a filter on the scan."""
-    from spendwatch.operators.quantiles import value_at_ranks
+def rows_at_positions(df: DataFrame, key: str, seed: object, positions: DataFrame, name: str = "row_index") -> DataFrame:
+    """The rows of ``df`` at the given positions of its hash order, with the position.
 
-    if df.count() <= n:
-        return df
-    edge = value_at_ranks(df.select(F.col(key).cast("double").alias("value")), [n - 1])[n - 1]
-    return df.filter(F.col(key).cast("double") <= edge)
-
-
-def scan_capped(df: DataFrame, size_mb: float, key: str) -> DataFrame:
-    """A scan bounded to a fixed number of rows when its files are large."""
-    from spendwatch.sources.files import CAPPED_ABOVE_MB, CHUNK_ROWS, MAX_CHUNKS
+    The order is that of :func:`dense_index`, but the table is never shuffled:
+    counts per fine hash cell (at most ``INTERVALS`` squared) say which cell
+    holds a position, and only rows of those cells leave the scan.
+    ``positions`` has one column ``name`` and a size fixed by its caller.
+    """
+    from pyspark.sql import Window
 
-    if size_mb <= CAPPED_ABOVE_MB:
-        return df
-    return first_rows_by_key(df, key, CHUNK_ROWS * MAX_CHUNKS)
+    drawn = df.withColumn("_draw", unit_hash(seed, key)).withColumn("_cell", F.floor(F.col("_draw") * (INTERVALS * INTERVALS)))
+    cells = drawn.groupBy("_cell").agg(F.count("*").alias("_n")).withColumn("_slot", F.floor(F.col("_cell") / INTERVALS))
+    slots = cells.groupBy("_slot").agg(F.sum("_n").alias("_slot_n"))
+    earlier = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)  # at most INTERVALS rows
+    starts = slots.select("_slot", F.coalesce(F.sum("_slot_n").over(earlier), F.lit(0)).alias("_slot_first"))
+    before = Window.partitionBy("_slot").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    placed = cells.join(F.broadcast(starts), "_slot").select(
+        "_slot", "_cell", (F.col("_slot_first") + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_first")
+    )
+    edges = starts.orderBy("_slot").collect()  # at most INTERVALS rows
+    bounds = F.array(*[F.lit(r["_slot_first"]) for r in edges])
+    numbers = F.array(*[F.lit(r["_slot"]) for r in edges])
+    # the last slot that begins at or before the position
+    slot_of = F.element_at(numbers, F.size(F.filter(bounds, lambda b: b <= F.col(name))))
+    asked = positions.select(F.col(name).cast("bigint")).distinct().select(slot_of.alias("_slot"), F.col(name).alias("_first"), F.lit(None).cast("bigint").alias("_cell"), F.lit(True).alias("_asked"))
+    both = placed.withColumn("_asked", F.lit(False)).unionByName(asked)
+    upto = Window.partitionBy("_slot").orderBy("_first", "_asked").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.select(
+        "_asked", F.col("_first").alias(name), F.last("_cell", True).over(upto).alias("_in"), F.last(F.when(~F.col("_asked"), F.col("_first")), True).over(upto).alias("_from")
+    ).filter("_asked").select(name, "_in", (F.col(name) - F.col("_from")).alias("_turn"))
+    wanted = F.broadcast(found)  # no more rows than positions
+    inside = drawn.join(F.broadcast(found.select(F.col("_in").alias("_cell")).distinct()), "_cell", "left_semi")
+    ranked = inside.withColumn("_rank", F.row_number().over(Window.partitionBy("_cell").orderBy("_draw", key)) - 1)
+    return ranked.join(wanted, (F.col("_cell") == F.col("_in")) & (F.col("_rank") == F.col("_turn"))).select(*df.columns, name)

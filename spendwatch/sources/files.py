@@ -16,11 +16,6 @@ MCC_FILE = "mcc_codes.json"
 REQUIRED_TRANSACTION_COLUMNS = ("client_id", "mcc")
 REQUIRED_USER_COLUMNS = ("id",)
 
-# The row cap of a capped scan and the file size that turns it on.
-CHUNK_ROWS = 300_000
-MAX_CHUNKS = 45
-CAPPED_ABOVE_MB = 800
-
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Header CSV with an explicit schema: one pass, no inference scan."""

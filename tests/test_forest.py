@@ -48,10 +48,14 @@ def test_small_input_without_replacement_uses_every_row(spark):
     assert all(r["size"] == 40 for r in nodes.filter("node = 1").collect())
 
 
-def test_large_tables_are_pooled(spark, monkeypatch):
-    monkeypatch.setattr(iforest, "POOL_ROWS", 500)
-    nodes, used = iforest.fit_nodes(_matrix(spark), "row_key", ["x", "y"], trees=2, sub_sample=32, bootstrap=True)
-    assert used == 32 and nodes.filter("node = 1").count() == 2
+def test_drawn_rows_are_those_of_the_whole_hash_order(spark):
+    from spendwatch.operators.sampling import dense_index, rows_at_positions
+
+    rows = spark.range(3_000).repartition(7)
+    wanted = spark.createDataFrame([(n,) for n in (0, 1, 5, 5, 1_499, 2_998, 2_999)], "row_index bigint")
+    found = {(r["row_index"], r["id"]) for r in rows_at_positions(rows, "id", "s", wanted).collect()}
+    whole = {(r["row_index"], r["id"]) for r in dense_index(rows, "id", "s").collect()}
+    assert found == {p for p in whole if p[0] in (0, 1, 5, 1_499, 2_998, 2_999)}
 
 
 def test_outliers_score_highest_and_share_matches(spark):

@@ -68,16 +68,6 @@ def test_dense_index_is_a_permutation(spark):
     assert sorted(got) == list(range(3_000))
 
 
-def test_capped_scan(spark, monkeypatch):
-    from spendwatch.sources import files
-
-    monkeypatch.setattr(files, "CHUNK_ROWS", 10)
-    rows = spark.range(1_000)
-    assert sampling.scan_capped(rows, 100, "id").count() == 1_000
-    kept = sampling.scan_capped(rows, 801, "id")
-    assert kept.agg(F.count("*"), F.max("id")).first() == (450, 449)
-
-
 def test_folds_cover_all_rows(spark):
     sizes = [r["count"] for r in sampling.folds(spark.range(5_000), "id").groupBy("fold").count().collect()]
     assert len(sizes) == 5 and sum(sizes) == 5_000 and min(sizes) > 900
