@@ -11,6 +11,7 @@ early, because its interval soon has equal minimum and maximum.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -56,7 +57,9 @@ def exact_quantiles(
 
     # One group identifier per (by…, column_name), so narrowing has one key.
     tagged = rows.select(F.struct(*keys).alias("key"), "value", copies.alias("copies")).withColumn("group_id", F.to_json("key"))
-    sizes = tagged.groupBy("group_id").agg(F.sum("copies").alias("n"), F.first("key").alias("key")).collect()
+    sizes = tagged.groupBy("group_id").agg(F.sum("copies").alias("n"), F.first("key").alias("key")).limit(MAX_TARGETS + 1).collect()
+    if len(sizes) > MAX_TARGETS:
+        raise ValueError("too many groups for exact quantiles; aggregate them first")
     wanted = {r["group_id"]: sorted({f((r["n"] - 1) * p) for p in probs for f in (math.floor, math.ceil)}) for r in sizes}
     at = _narrow(tagged.select("group_id", "value", "copies"), wanted, gather_below)
     out = []
@@ -64,7 +67,8 @@ def exact_quantiles(
         for p in probs:
             h = (r["n"] - 1) * p
             low, high = at[r["group_id"], math.floor(h)], at[r["group_id"], math.ceil(h)]
-            out.append((*r["key"], float(p), low + (high - low) * (h - math.floor(h))))
+            between = low if low == high else low + (high - low) * (h - math.floor(h))  # infinities included
+            out.append((*r["key"], float(p), between))
     schema = rows.select(*keys).schema.add("prob", "double").add("quantile", "double")
     return df.sparkSession.createDataFrame(out, schema)
 
@@ -106,8 +110,14 @@ def _narrow(rows: DataFrame, wanted: dict[str, list[int]], gather_below: int) ->
             hits = reached.filter("upto > rank").groupBy("group_id", "rank").agg(F.min("value").alias("value"))
             done.update({(h["group_id"], h["rank"]): h["value"] for h in hits.collect()})
             return done
-        slot = F.least(
-            F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * INTERVALS), F.lit(INTERVALS - 1)
+        # infinities have slots of their own; halves keep the width of a finite range finite
+        low, high = _finite(F.col("lo")), _finite(F.col("hi"))
+        share = (F.col("value") / 2 - low / 2) / (high / 2 - low / 2)
+        slot = (
+            F.when(F.col("value") == math.inf, INTERVALS)
+            .when(F.col("value") == -math.inf, -1)
+            .when(low == high, 0)
+            .otherwise(F.least(F.floor(share * INTERVALS), F.lit(INTERVALS - 1)))
         )
         counts = inside.groupBy("group_id", "rank", slot.alias("slot")).agg(
             F.sum("copies").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
@@ -121,6 +131,12 @@ def _narrow(rows: DataFrame, wanted: dict[str, list[int]], gather_below: int) ->
             targets[key] = (c["lo"], c["hi"], c["before"] + c["upto"] - c["n"], c["n"])
 
 
+def _finite(edge):
+    """A range's edge with infinity moved to the largest finite number."""
+    most = sys.float_info.max
+    return F.greatest(F.least(edge, F.lit(most)), F.lit(-most))
+
+
 def running_totals(df: DataFrame, order: str, totals: Sequence[str], buckets: int = 256) -> DataFrame:
     """Adds ``{name}_before``: sums over rows with a smaller ``order`` value.
 

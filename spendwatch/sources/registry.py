@@ -15,10 +15,15 @@ ALL_PATTERNS = ("_i3_optimized_.*\\.joblib$", "\\.joblib$", "\\.pkl$")
 
 TABLES = ("nodes", "features", "scaler", "categories", "meta")
 RUN = ("model_type", "run_ts")
+META_SCHEMA = "trees int, sub_sample int, offset double, contamination double, has_scaler boolean, n_nodes int, n_features int"
 
 
 def save_detector(spark: SparkSession, detector: Detector, root: str, run_ts: str) -> None:
-    """Append a run: trees, ordered features, scaling, categories, meta data."""
+    """Store a run: trees, ordered features, scaling, categories, then meta data.
+
+    A run's folders are written anew, so saving it again (a retry) changes
+    nothing; meta data, written last, says how many rows belong to it.
+    """
     forest, scaler = detector.forest, detector.scaler
     tables = {
         "nodes": spark.createDataFrame(list(forest.nodes), NODE_SCHEMA),
@@ -30,8 +35,8 @@ def save_detector(spark: SparkSession, detector: Detector, root: str, run_ts: st
             "column_name string, position int, value string",
         ),
         "meta": spark.createDataFrame(
-            [(forest.trees, forest.sub_sample, forest.offset, forest.contamination, scaler is not None)],
-            "trees int, sub_sample int, offset double, contamination double, has_scaler boolean",
+            [(forest.trees, forest.sub_sample, forest.offset, forest.contamination, scaler is not None, len(forest.nodes), len(detector.features))],
+            META_SCHEMA,
         ),
     }
     if scaler is not None:
@@ -39,9 +44,9 @@ def save_detector(spark: SparkSession, detector: Detector, root: str, run_ts: st
         tables["scaler"] = spark.createDataFrame(
             list(rows), "position int, feature string, mean double, deviation double"
         )
-    for name, table in tables.items():
-        tagged = table.withColumn("model_type", F.lit(detector.model_type)).withColumn("run_ts", F.lit(run_ts))
-        tagged.coalesce(1).write.mode("append").partitionBy(*RUN).parquet(f"{root}/{name}")
+    for name in sorted(tables, key=lambda n: n == "meta"):
+        folder = f"{root}/{name}/model_type={detector.model_type}/run_ts={run_ts}"
+        tables[name].coalesce(1).write.mode("overwrite").parquet(folder)
 
 
 def _run(spark: SparkSession, root: str, table: str, model_type: str, run_ts: str) -> list:
@@ -50,7 +55,7 @@ def _run(spark: SparkSession, root: str, table: str, model_type: str, run_ts: st
         "features": "position int, feature string",
         "scaler": "position int, feature string, mean double, deviation double",
         "categories": "column_name string, position int, value string",
-        "meta": "trees int, sub_sample int, offset double, contamination double, has_scaler boolean",
+        "meta": META_SCHEMA,
     }[table]
     stored = spark.read.schema(f"{schema}, model_type string, run_ts string").parquet(f"{root}/{table}")
     mine = stored.filter((F.col("model_type") == model_type) & (F.col("run_ts") == run_ts))
@@ -66,6 +71,8 @@ def load_detector(spark: SparkSession, root: str, model_type: str, run_ts: str)
         raise ValueError(f"no usable model {model_type} {run_ts} in {root}")
     if not names:
         raise ValueError(f"model {model_type} {run_ts} has no feature list; train it again")
+    if (len(nodes), len(names)) != (meta[0]["n_nodes"], meta[0]["n_features"]):
+        raise ValueError(f"model {model_type} {run_ts} is incomplete; save it again")
     features = tuple(r["feature"] for r in names)
     scaler = None
     if meta[0]["has_scaler"]:

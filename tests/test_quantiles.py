@@ -59,3 +59,13 @@ def test_auc_with_ties_matches_pair_counting(spark):
     pos, neg = data.s[data.a].to_numpy(), data.s[~data.a].to_numpy()
     want = ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / (len(pos) * len(neg))
     assert auc(rows, "a", "s", buckets=8).first()["auc"] == pytest.approx(want)
+
+
+def test_infinite_values_end(spark):
+    """Ranges that reach from minus to plus infinity, and nearly as far, still shrink."""
+    import math
+
+    values = [float(n) for n in range(2_000)] + [math.inf] * 3 + [-math.inf] * 2 + [1.7e308, -1.7e308]
+    rows = spark.createDataFrame([(v,) for v in values], "value double")
+    found = value_at_ranks(rows, [0, 1, 2, 3, 1_000, 2_002, 2_003, 2_004, 2_006], gather_below=100)
+    assert [found[r] for r in sorted(found)] == [sorted(values)[r] for r in sorted(found)]
