@@ -17,16 +17,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_ITEMS = 100_000
+#: Items whose scores are held at once.
+ITEM_BLOCK = 4_096
 
 
 def kmeans_segments(df: DataFrame, features: Sequence[str], k: int, seed: int = 42) -> DataFrame:
-    """Rows with the ``segment`` of a k-means on standardized features."""
+    """Rows with the ``segment`` of a k-means on standardized features.
+
+    ``own_distance`` and ``least_distance`` are the squared distances to the
+    segment's centre and to the nearest centre.
+    """
     stages = [
         VectorAssembler(inputCols=list(features), outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="_x", withMean=True),
         KMeans(k=k, seed=seed, featuresCol="_x", predictionCol="segment"),
     ]
-    return Pipeline(stages=stages).fit(df).transform(df).drop("_raw", "_x")
+    model = Pipeline(stages=stages).fit(df)
+    centres = [c.tolist() for c in model.stages[-1].clusterCenters()]
+    made = model.transform(df).withColumn("_at", vector_to_array("_x"))
+    far = [F.aggregate(F.zip_with("_at", F.array(*map(F.lit, c)), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d) for c in centres]
+    return made.withColumn("_far", F.array(*far)).select(
+        *df.columns, "segment", F.get("_far", F.col("segment")).alias("own_distance"), F.array_min("_far").alias("least_distance")
+    )
 
 
 def classify(df: DataFrame, features: Sequence[str], label: str, method: str, seed: int = 42, **params) -> DataFrame:
@@ -84,15 +96,14 @@ def top_items(
         for batch in batches:
             mine = scale(np.stack(batch[vector].to_numpy()).astype(float))
             for start in range(0, len(batch), 1024):
-                scores = np.round(mine[start : start + 1024] @ catalogue.T, 9)
-                first = np.argsort(-scores, axis=1, kind="stable")[:, :top]
+                first, scores = _best_columns(mine[start : start + 1024], catalogue, top)
                 count, width = first.shape
                 yield pd.DataFrame(
                     {
                         client: np.repeat(batch[client].to_numpy()[start : start + 1024], width),
                         "position": np.tile(np.arange(1, width + 1), count),
                         item: order[first].ravel(),
-                        "score": np.take_along_axis(scores, first, axis=1).ravel(),
+                        "score": scores.ravel(),
                     }
                 )
 
@@ -101,6 +112,29 @@ def top_items(
     return profiles.select(client, vector).mapInPandas(best, out)
 
 
+def _best_columns(rows: np.ndarray, catalogue: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and scores of the ``top`` catalogue rows of each row, equal scores by position.
+
+    The catalogue is taken ``ITEM_BLOCK`` rows at a time, each block reduced to
+    its own best by partial selection.
+    """
+    best = np.zeros((len(rows), 0), np.int64)
+    best_scores = np.zeros((len(rows), 0))
+    for start in range(0, len(catalogue), ITEM_BLOCK):
+        scores = np.round(rows @ catalogue[start : start + ITEM_BLOCK].T, 9)
+        width = min(top, scores.shape[1])
+        chosen = np.sort(np.argpartition(-scores, width - 1, axis=1)[:, :width], axis=1)
+        least = np.take_along_axis(scores, chosen, axis=1).min(axis=1, keepdims=True)
+        # a tie at the border: the smaller positions win
+        for k in np.flatnonzero((scores >= least).sum(axis=1) > width):
+            chosen[k] = np.sort(np.argsort(-scores[k], kind="stable")[:width])
+        best = np.concatenate([best, chosen + start], axis=1)
+        best_scores = np.concatenate([best_scores, np.take_along_axis(scores, chosen, axis=1)], axis=1)
+        order = np.argsort(-best_scores, axis=1, kind="stable")[:, :top]
+        best, best_scores = np.take_along_axis(best, order, axis=1), np.take_along_axis(best_scores, order, axis=1)
+    return best, best_scores
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(x, axis=1, keepdims=True)
     return np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)

