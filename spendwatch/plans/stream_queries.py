@@ -32,13 +32,28 @@ def stream_score(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "stream_client_mean",
-    """WITH p AS (SELECT event_id, user_id, value, count(*) OVER w AS n, coalesce(avg(value) OVER w, 0) AS m FROM events
+    """WITH p AS (SELECT event_id, user_id, value, ts, count(*) OVER w AS n, coalesce(avg(value) OVER w, 0) AS m FROM events
         WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
     SELECT event_id AS id, user_id AS client_id, n AS prior_count, round(m, 9) AS prior_mean,
-           CASE WHEN n = 0 THEN 0 ELSE round(value / (m + 1), 6) END AS amount_vs_prior FROM p""",
+           CASE WHEN n = 0 THEN 0 ELSE round(value / (m + 1), 6) END AS amount_vs_prior
+    FROM p WHERE epoch_ms(ts) < (SELECT epoch_ms(max(ts)) - 21600000 FROM events)""",
 )
 def stream_client_mean(spark: SparkSession, folder: str) -> DataFrame:
-    tracked = streams.running_client_mean(event_stream(spark, folder), "user_id", "ts", "value", "event_id")
+    """Running means over six files in turn, each with rows up to five hours older than its slice of time.
+
+    Rows leave once the watermark, six hours behind, has passed them.
+    """
+    events = table(spark, folder, "events")
+    seconds = F.col("ts").cast("timestamp").cast("double")
+    first, last = events.agg(F.min(seconds), F.max(seconds)).first()
+    # an event is delivered up to five hours after its time, by its id
+    delivered = seconds + F.col("event_id") % 6 * 3_600
+    slice_ = F.floor((delivered - F.lit(first)) / F.lit((last - first + 18_001) / 6))
+    path = scratch_path(spark, "deliveries")
+    for number in range(6):
+        events.filter(slice_ == number).coalesce(1).write.mode("append").parquet(path)
+    source = streams.read_table_stream(spark, path, EVENT_SCHEMA, files=1)
+    tracked = streams.running_client_mean(source, "user_id", "ts", "value", "event_id", "6 hours")
     out = streams.drain(tracked, "stream_client_mean")
     return out.select(
         F.col("key").alias("id"),

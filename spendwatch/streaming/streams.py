@@ -17,14 +17,14 @@ from pyspark.sql.types import StructType
 from spendwatch.operators.scoring import CORRUPT, parse_records
 from spendwatch.session import scratch_path
 
-# A micro-batch is bounded by bytes read, which also bounds the rows of the
-# busiest client that one stateful task can meet at a time.
+# Bytes read per micro-batch; a single larger file still comes whole.
 BATCH_BYTES = str(256 << 20)
 
 
-def read_table_stream(spark: SparkSession, pattern: str, schema: StructType | str) -> DataFrame:
-    """Parquet files matching a glob, in bounded micro-batches."""
-    return spark.readStream.schema(schema).option("maxBytesPerTrigger", BATCH_BYTES).parquet(pattern)
+def read_table_stream(spark: SparkSession, pattern: str, schema: StructType | str, files: int | None = None) -> DataFrame:
+    """Parquet files matching a glob, in micro-batches of about ``BATCH_BYTES``, or of a number of files."""
+    limit = ("maxBytesPerTrigger", BATCH_BYTES) if files is None else ("maxFilesPerTrigger", str(files))
+    return spark.readStream.schema(schema).option(*limit).parquet(pattern)
 
 
 def read_text_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -52,36 +52,48 @@ def drain(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
     return spark.read.schema(df.schema).parquet(f"{root}/out")
 
 
-def running_client_mean(df: DataFrame, client: str, ts: str, amount: str, key: str) -> DataFrame:
+def running_client_mean(df: DataFrame, client: str, ts: str, amount: str, key: str, delay: str) -> DataFrame:
     """Mean of the client's *earlier* amounts, and the spending ratio to it.
 
-    The state per client is a count and a sum. Rows of one client within a
-    micro-batch are put in time order first. A client's first amount has
-    ``prior_count`` 0 and no mean.
+    Earlier is by event time. Rows wait in the client's state until the
+    watermark, ``delay`` behind the newest time seen, has passed them, and then
+    leave in time order, so the result does not depend on how rows are spread
+    over micro-batches. Otherwise the state is a count and a sum. A client's
+    first amount has ``prior_count`` 0 and no mean. Rows without a time are
+    left out; rows later than the watermark are dropped by it.
     """
-    rows = df.select(
-        F.col(key).alias("key"), F.col(client).alias("client"), F.col(ts).alias("ts"), F.col(amount).alias("amount")
-    )
+    rows = event_time(
+        df.select(F.col(key).alias("key"), F.col(client).alias("client"), F.col(ts).alias("ts"), F.col(amount).cast("double").alias("amount")), "ts", delay
+    ).filter("ts IS NOT NULL")
 
     def update(
         client_key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        count, total = state.get if state.exists else (0, 0.0)
-        block = pd.concat(list(batches)).sort_values(["ts", "key"])
+        count, total, keys, times, amounts = state.get if state.exists else (0, 0.0, [], [], [])
+        waiting = pd.DataFrame({"key": list(keys), "time": list(times), "amount": pd.Series(list(amounts), dtype="float64")})
+        if not state.hasTimedOut:
+            new = pd.concat(list(batches))
+            micros = new["ts"].astype("datetime64[us, UTC]" if new["ts"].dt.tz is not None else "datetime64[us]").astype("int64")
+            arrived = pd.DataFrame({"key": new["key"], "time": micros, "amount": new["amount"]})
+            waiting = pd.concat([waiting, arrived]) if len(waiting) else arrived
+        passed = waiting["time"] // 1000 < state.getCurrentWatermarkMs()
+        block, waiting = waiting[passed].sort_values(["time", "key"]), waiting[~passed]
         known = block["amount"].notna()
         seen = known.cumsum() - known + count
         summed = block["amount"].fillna(0.0).cumsum() - block["amount"].fillna(0.0) + total
-        state.update((int(count + known.sum()), float(total + block["amount"].sum())))
+        held = (waiting["key"].tolist(), waiting["time"].tolist(), [None if pd.isna(a) else float(a) for a in waiting["amount"]])
+        state.update((int(count + known.sum()), float(total + block["amount"].sum()), *held))
+        if len(waiting):
+            state.setTimeoutTimestamp(int(waiting["time"].min() // 1000))
         yield pd.DataFrame(
-            {"key": block["key"], "client": block["client"], "amount": block["amount"],
+            {"key": block["key"], "client": [client_key[0]] * len(block), "amount": block["amount"],
              "prior_count": seen.astype("int64"), "prior_total": summed}
         )
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     out = f"key {kinds['key']}, client {kinds['client']}, amount double, prior_count bigint, prior_total double"
-    tracked = rows.groupBy("client").applyInPandasWithState(
-        update, out, "count bigint, total double", "append", GroupStateTimeout.NoTimeout
-    )
+    held = f"count bigint, total double, keys array<{kinds['key']}>, times array<bigint>, amounts array<double>"
+    tracked = rows.groupBy("client").applyInPandasWithState(update, out, held, "append", GroupStateTimeout.EventTimeTimeout)
     mean = F.when(F.col("prior_count") > 0, F.col("prior_total") / F.col("prior_count"))
     return tracked.withColumn("prior_mean", mean).withColumn(
         "amount_vs_prior", F.try_divide(F.col("amount"), F.col("prior_mean") + 1)

@@ -26,13 +26,21 @@ def purchases(spark, tmp_path):
     return rows, source
 
 
-def test_running_mean_sees_only_the_past_across_batches(spark, purchases):
+@pytest.mark.parametrize("late", [0, 30])
+def test_running_mean_sees_only_the_past_across_batches(spark, purchases, tmp_path, late):
+    """In files that arrive in time order, and with rows up to ``late`` places behind in a later file."""
     rows, source = purchases
-    out = streams.drain(streams.running_client_mean(source, "client", "ts", "amount", "id"), "mean")
+    if late:
+        arrival = F.col("id") + F.col("id") % 7 * (late // 6)
+        for i in range(5):
+            rows.filter(F.floor(arrival / 130) == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "mixed"))
+        source = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "mixed"))
+    out = streams.drain(streams.running_client_mean(source, "client", "ts", "amount", "id", "4 hours"), "mean")
     got = {r["key"]: r for r in out.collect()}
     data = rows.orderBy("ts").toPandas()
-    assert len(got) == 600
-    for client, block in data.groupby("client"):
+    closed = data[data["ts"] < data["ts"].max() - np.timedelta64(4, "h")]
+    assert set(got) == set(closed["id"]) and len(got) > 500
+    for client, block in closed.groupby("client"):
         past = []
         for r in block.itertuples():
             assert got[r.id]["prior_count"] == len(past)
