@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from spendwatch.llm.catalog import query, table
+from spendwatch.llm.checks import repeats_sql
 from spendwatch.llm.nearcopies import near_copies
-from spendwatch.llm.repeats import removed_words
+from spendwatch.llm.repeats import REPEAT, removed_words
 
 
-@query("op2_substring_dedup")
+@query("op2_substring_dedup", repeats_sql(REPEAT))
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return removed_words(table(spark, folder, "documents"))
 
