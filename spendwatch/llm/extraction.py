@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 
 from spendwatch.llm.domblocks import Block, leaf_blocks
 
-PAGES = 400
-EPOCHS = 150
-RATE = 0.3
-PENALTY = 1e-3
+PAGES = 600
+EPOCHS = 300
+RATE = 0.5
+PENALTY = 3e-4
 SEED = 23
 #: Pages decoded together.
 TOGETHER = 64
@@ -45,7 +45,7 @@ def features(block: Block) -> list[str]:
 
 
 def _path_features(path: tuple[str, ...]) -> tuple[str, ...]:
-    out = {"depth:" + str(min(len(path), 9))}
+    out = set() if any(" " in element for element in path) else {"names:none"}
     for k, element in enumerate(path):
         tag, *names = element.split(" ")
         out.add("in:" + tag)
@@ -183,6 +183,8 @@ def labelled_pages(count: int = PAGES, seed: int = SEED) -> list[tuple[str, list
         return " ".join(words).capitalize() + ("." if stop else "")
 
     def text() -> str:
+        if rng.random() < 0.15:
+            return phrase(1, 4, True)
         return " ".join(phrase(3, 18, True) for _ in range(rng.choice([1, 1, 2, 3, 5])))
 
     def page() -> tuple[str, list[bool]]:
@@ -196,7 +198,8 @@ def labelled_pages(count: int = PAGES, seed: int = SEED) -> list[tuple[str, list
             tag = semantic if semantic and rng.random() < 0.6 else rng.choice(["div", "div", "section"])
             named = rng.choice(MAIN_NAMES if kind == "main" else REST_NAMES[kind])
             named += rng.choice(["", "", "-inner", "-box", " wrap", "_area"])
-            attribute = "" if tag == semantic and rng.random() < 0.6 else f' {rng.choice(["class", "id"])}="{named}"'
+            bare = tag == semantic and rng.random() < 0.6 or kind == "main" and rng.random() < 0.35
+            attribute = "" if bare else f' {rng.choice(["class", "id"])}="{named}"'
             return f"<{tag}{attribute}>", f"</{tag}>"
 
         def links(main: bool = False) -> str:
@@ -230,27 +233,31 @@ def labelled_pages(count: int = PAGES, seed: int = SEED) -> list[tuple[str, list
                 out.append(f"<p><b>{phrase(4, 20)}<br>")
             for _ in range(rng.choice([1, 2, 4, 6, 9])):
                 kind = rng.random()
-                if kind < 0.72:
+                if kind < 0.62:
                     out.append(leaf("p", text(), True))
-                elif kind < 0.8:
+                elif kind < 0.7:
                     out.append(leaf(rng.choice(["h2", "h3"]), phrase(1, 6), True))
-                elif kind < 0.86:
+                elif kind < 0.75:
                     out.append("<ul>" + "".join(leaf("li", phrase(2, 12, rng.random() < 0.5), True) for _ in range(rng.randint(2, 5))) + "</ul>")
-                elif kind < 0.9:
+                elif kind < 0.78:
                     out.append("<blockquote>" + leaf("p", text(), True) + "</blockquote>")
-                elif kind < 0.93:
-                    out.append(leaf("pre", phrase(2, 12), True))
-                elif kind < 0.96:
+                elif kind < 0.82:
+                    out.append(leaf(rng.choice(["pre", "figcaption", "div"]), phrase(2, 12), True))
+                elif kind < 0.85:
                     out.append("<table><tr>" + leaf("td", phrase(1, 3), True) + leaf("td", phrase(1, 3), True) + "</tr></table>")
                 else:
-                    out.append(rest(rng.choice(["ad", "side", "form"])))
+                    out.append(rest(rng.choice(["ad", "side", "form", "notice", "comment", "comment"])))
             return a + "".join(out) + b
 
-        before = [k for k in ("notice", "head", "menu", "ad", "form", "side") if rng.random() < 0.5]
+        often = rng.choice([0.1, 0.5, 0.5])
+        before = [k for k in ("notice", "head", "menu", "ad", "form", "side") if rng.random() < often]
         rng.shuffle(before)
-        after = [k for k in ("comment", "side", "ad", "form", "notice", "foot") if rng.random() < 0.5]
+        after = [k for k in ("comment", "side", "ad", "form", "notice", "foot") if rng.random() < often]
         made = "".join(map(rest, before)) + body() + "".join(map(rest, after))
-        return f"<html><head><title>{phrase(2, 5)}</title></head><body>{made}</body></html>", labels
+        if rng.random() < 0.2:
+            return made, labels
+        outer = rng.choice(["", "", "<div id='wrap'>", "<div class='page container'>"])
+        return f"<html><head><title>{phrase(2, 5)}</title></head><body>{outer}{made}{'</div>' if outer else ''}</body></html>", labels
 
     return [page() for _ in range(count)]
 

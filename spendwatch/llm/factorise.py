@@ -32,9 +32,11 @@ from spendwatch.llm.textblocks import Words, blocks, byte_class
 TRAIN_ROWS = 6_000
 BUCKETS = 1 << 14
 RANK = 8
+#: Steps of training: whole epochs, ``EPOCHS`` at least.
+STEPS = 250
 EPOCHS = 30
 BATCH = 256
-RATE = 0.02
+RATE = 0.05
 DECAY = 1e-4
 SEED = 17
 #: Scores from here on are label 1.
@@ -130,8 +132,9 @@ def fit(edges: np.ndarray, bucket: np.ndarray, value: np.ndarray, stats: np.ndar
     row, feature, x = row[order], feature[order], x[order]
     first = np.searchsorted(row, np.arange(len(label) + 1))
     seen_w, seen_v, seen_b = np.full(size, 1e-6), np.full((size, RANK), 1e-6), 1e-6
-    for _ in range(EPOCHS):
-        for part in np.array_split(rng.permutation(len(label)), max(1, len(label) // BATCH)):
+    batches = max(1, len(label) // BATCH)
+    for _ in range(max(EPOCHS, -(-STEPS // batches))):
+        for part in np.array_split(rng.permutation(len(label)), batches):
             take = np.concatenate([np.arange(first[k], first[k + 1]) for k in part])
             r = np.repeat(np.arange(len(part)), first[part + 1] - first[part])
             f, v = feature[take], x[take]

@@ -48,9 +48,9 @@ LARGE = 4_096
 BLOCK_SHINGLES = 400_000
 #: Columns multiplied at once.
 COLUMNS = 4_096
-#: Equal tokens that make a pair worth confirming. A pair at the threshold of
-#: 0.85 has fewer than this with probability below 10^-7.
-AGREE = 38
+#: Standard deviations below the expected number of equal tokens at which a pair
+#: is still worth confirming: a true link has fewer with probability below 10^-7.
+SLACK = 5.7
 SEEDS = mix(np.arange(1, 2 * TOKENS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -169,7 +169,13 @@ def _forest(count: int, pairs: Iterable[tuple[int, int]]) -> tuple[list[int], li
     return parent, used
 
 
-def similar_groups(leaves: DataFrame, marks: DataFrame, agree: int = AGREE) -> DataFrame:
+def tokens_to_agree(percent: int) -> int:
+    """Equal tokens from which a pair may have the given similarity (38 of 64 at 85 percent)."""
+    share = percent / 100
+    return max(1, int(TOKENS * share - SLACK * (TOKENS * share * (1 - share)) ** 0.5))
+
+
+def similar_groups(leaves: DataFrame, marks: DataFrame, agree: int) -> DataFrame:
     """``cell, doc``: groups of classes of small leaves that at least ``agree`` equal tokens connect, each group once."""
 
     def group(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +261,7 @@ def near_copies(docs: DataFrame, size: int, percent: int, id_col: str = "doc_id"
         filled.groupBy(F.col("cls").alias("doc")).agg(F.min("id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("bytes").alias("bytes"))
     )
     leaves = leaves_of_trees(classes.select("doc", "sig"))
-    small = similar_groups(leaves.filter(F.col("n") <= SMALL), classes.select("doc", "bytes"))
+    small = similar_groups(leaves.filter(F.col("n") <= SMALL), classes.select("doc", "bytes"), tokens_to_agree(percent))
     cells = written(small.union(large_cells(leaves.filter(F.col("n") > SMALL), classes.select("doc", "n_shingles"))))
     involved = cells.select("doc").distinct()
     sets = written(_full_sets(only, classes.join(involved, "doc", "left_semi").select("doc", "least"), size))
