@@ -14,7 +14,6 @@ from spendwatch.plans.datasets import (
     featured,
     primary,
     raw_transactions,
-    raw_users,
     sql_draw,
     table,
 )
