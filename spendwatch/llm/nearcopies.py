@@ -44,8 +44,11 @@ SMALL = 48
 FIRST_LEVELS = 3
 LEVELS = 8
 LARGE = 4_096
-#: Shingles in one block of a larger leaf.
+#: Shingles and classes in one block of a larger leaf.
 BLOCK_SHINGLES = 400_000
+BLOCK_CLASSES = 768
+#: Rows of the matrix of common shingles that are judged at once.
+STRIP = 128
 #: Columns multiplied at once.
 COLUMNS = 4_096
 #: Standard deviations below the expected number of equal tokens at which a pair
@@ -209,7 +212,7 @@ def similar_groups(leaves: DataFrame, marks: DataFrame, agree: int) -> DataFrame
 def large_cells(leaves: DataFrame, sizes: DataFrame) -> DataFrame:
     """``cell, doc``: larger leaves dealt to blocks of about ``BLOCK_SHINGLES``; every two blocks are one cell."""
     weighed = leaves.join(sizes, "doc")
-    blocks_of = weighed.groupBy(F.col("key").alias("_k")).agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("_b"))
+    blocks_of = weighed.groupBy(F.col("key").alias("_k")).agg(F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_CLASSES)).alias("_b"))
     dealt = weighed.join(blocks_of, F.col("key") == F.col("_k")).withColumn("_mine", F.pmod(F.xxhash64("doc", "key"), F.col("_b")))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_b") - 1))
     met = dealt.select("key", "doc", "_mine", other.alias("_other"))
@@ -230,9 +233,19 @@ def true_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
         there = np.zeros((len(sets), min(COLUMNS, len(used) - start)), np.float32)
         there[row[part], column[part] - start] = 1
         common += there @ there.T
-    overlap = common.astype(np.int64)
-    linked = np.triu(100 * overlap >= percent * (sizes[:, None] + sizes[None, :] - overlap), 1)
-    return _forest(len(sets), zip(*(x.tolist() for x in np.nonzero(linked))))[1]
+    label, links = np.arange(len(sets)), []
+    for start in range(0, len(sets), STRIP):
+        overlap = common[start : start + STRIP].astype(np.int64)
+        linked = 100 * overlap >= percent * (sizes[start : start + STRIP, None] + sizes[None, :] - overlap)
+        for k in range(len(linked)):
+            a = start + k
+            others = np.flatnonzero(linked[k, a + 1 :]) + a + 1
+            _, first = np.unique(label[others], return_index=True)  # one link to each tree met
+            for b in others[first].tolist():
+                if label[b] != label[a]:
+                    links.append((a, b))
+                    label[label == label[b]] = label[a]
+    return links
 
 
 def confirmed(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
