@@ -2,20 +2,22 @@
 
 Base patterns give assignments, access keys and hexadecimal runs. Their values,
 and long mixed tokens outside of them, are candidates. Over the whole corpus
-each candidate's hash is counted by distinct documents (the repositories) and
-distinct sources (the owners): a value that several owners hold is a copied
-example, one that a single owner holds and that looks random is live. Live
-values are added as spans of kind ``live``.
+each candidate's hash is counted by distinct texts (the repositories) and
+distinct sources (the owners). A value is a copied example when more than
+``COPIED_OWNERS`` owners and more than ``COPIED_REPOS`` repositories hold it, or
+more than ``COMMON_REPOS`` repositories of whatever owners. Exact copies of a
+text are one repository, so a text mirrored in other sources keeps its values;
+near copies are texts of their own. Other values that look random are live and
+added as spans of kind ``live``.
 
 Places are found inside the row: what a pattern matches and what lies between
 matches alternate, so the lengths of both give code-point offsets. Only
-candidates are exploded, and they are counted as distinct (hash, owner) pairs
-first, so a value that a third of all rows hold is combined before it is
+candidates are exploded, and they are counted as distinct (hash, owner) and
+(hash, text) pairs first, so a value that a third of all rows hold is combined before it is
 shuffled.
 
-Null and empty texts have no spans. A null source is an owner of its own. A
-document without an id counts as a document of its own per source. Repeated
-ids and rows are separate rows; they count as one repository.
+Null and empty texts have no spans. A null source is an owner of its own. Ids
+are not read. Repeated rows are separate rows; they count as one repository.
 """
 
 from __future__ import annotations
@@ -37,8 +39,14 @@ LOOSE = "(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]*[0-9])(?=[A-Za-z0-9_-]*[a-z])(?=[A-Z
 #: A live value has at least this many characters, among them digits and letters, and this many different ones.
 LIVE_LENGTH = 16
 LIVE_DIFFERENT = 8
+#: A value that more owners and more repositories than these hold is a copied example,
+COPIED_OWNERS = 1
+COPIED_REPOS = 1
+#: and so is one that more repositories than this hold, whoever owns them.
+COMMON_REPOS = 100
 KINDS = ["assign", "access", "hex", "live"]
 SPAN = "array<struct<start:bigint,kind:int,stop:bigint,value:string>>"
+HELD = "array<struct<value:string,n_owners:bigint,n_repos:bigint>>"
 
 
 def _found(text: str, pattern: str, kind: int, group: int = 0) -> Column:
@@ -68,16 +76,17 @@ def _looks_random(value: Column) -> Column:
     return (F.char_length(value) >= LIVE_LENGTH) & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (different >= LIVE_DIFFERENT)
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", keep: list[str] | None = None) -> DataFrame:
+def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "source", keep: list[str] | None = None) -> DataFrame:
     """Per row of ``docs``: ``row``, a struct of its ``keep`` columns (default: all), base counts, spans and live values.
 
     The added columns are ``n_assign, n_access, n_hex, base_sha256, spans,
-    n_live, n_shared, live``.
+    n_live, n_shared, live, held``; ``n_shared`` counts candidates of several
+    owners, ``held`` has ``value, n_owners, n_repos`` of each candidate value.
     """
     kept = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns])
-    rows = docs.select(kept.alias("row"), F.col(id_col).cast("string").alias("repo"), F.col(owner_col).cast("string").alias("owner"), F.coalesce(text_col, F.lit("")).alias("text"))
+    rows = docs.select(kept.alias("row"), F.col(owner_col).cast("string").alias("owner"), F.coalesce(text_col, F.lit("")).alias("text"))
     rows = rows.select(
-        "row", "repo", "owner",
+        "row", "owner", "text",
         F.filter(_found("text", ASSIGN, 0, 1), lambda s: F.char_length(s["value"]) >= MIN_VALUE).alias("assign"),
         F.filter(_found("text", ACCESS, 1), lambda s: F.char_length(s["value"]) >= MIN_ACCESS).alias("access"),
         _found("text", HEXES, 2).alias("hex"),
@@ -88,16 +97,19 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.concat("assign", "access", "hex", "loose"),
         lambda s: F.struct((s["stop"] - F.char_length(s["value"])).alias("start"), F.lit(3).alias("kind"), s["stop"].alias("stop"), s["value"].alias("value")),
     )
-    stage = written(rows.withColumn("candidates", F.array_distinct(values)).withColumn("base", F.concat("assign", "access", "hex")).withColumn("key", F.monotonically_increasing_id()))
+    rows = rows.withColumn("candidates", F.array_distinct(values)).withColumn("repo", F.when(F.size("candidates") > 0, F.sha2("text", 256))).drop("text")
+    stage = written(rows.withColumn("base", F.concat("assign", "access", "hex")).withColumn("key", F.monotonically_increasing_id()))
 
     every = stage.filter(F.size("candidates") > 0).select("key", "repo", "owner", F.explode("candidates").alias("span")).withColumn("hash", F.sha2("span.value", 256))
     owners = every.select("hash", "owner").distinct().groupBy("hash").agg(F.count("*").alias("n_owners"))
-    repos = every.select("hash", "owner", "repo").distinct().groupBy("hash").agg(F.count("*").alias("n_repos"))
+    repos = every.select("hash", "repo").distinct().groupBy("hash").agg(F.count("*").alias("n_repos"))
     known = owners.join(repos, "hash")
-    verdict = every.join(known, "hash").withColumn("is_live", (F.col("n_owners") == 1) & _looks_random(F.col("span.value")))
+    copied = ((F.col("n_owners") > COPIED_OWNERS) & (F.col("n_repos") > COPIED_REPOS)) | (F.col("n_repos") > COMMON_REPOS)
+    verdict = every.join(known, "hash").withColumn("is_live", ~copied & _looks_random(F.col("span.value")))
     per_row = verdict.groupBy(F.col("key").alias("_key")).agg(
         F.sort_array(F.collect_list(F.when(F.col("is_live"), F.col("span")))).alias("live"),
         F.count(F.when(F.col("n_owners") > 1, 1)).alias("n_shared"),
+        F.sort_array(F.collect_set(F.struct("span.value", "n_owners", "n_repos"))).alias("held"),
     )
     joined = stage.join(per_row, F.col("key") == F.col("_key"), "left")
     live = F.coalesce("live", F.array().cast(SPAN))
@@ -105,7 +117,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "n_assign": F.size("assign").cast("bigint"), "n_access": F.size("access").cast("bigint"), "n_hex": F.size("hex").cast("bigint"),
         "base_sha256": F.sha2(_spelled(F.col("base")), 256), "spans": _spelled(F.concat("base", live)),
         "n_live": F.size(live).cast("bigint"), "n_shared": F.coalesce("n_shared", F.lit(0)),
-        "live": F.array_distinct(F.transform(live, lambda s: s["value"])),
+        "live": F.array_distinct(F.transform(live, lambda s: s["value"])), "held": F.coalesce("held", F.array().cast(HELD)),
     }
     return joined.select("row", *(c.alias(n) for n, c in added.items()))
 

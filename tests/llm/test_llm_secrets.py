@@ -1,0 +1,27 @@
+"""Secrets: who holds a value, what is redacted, which tokens are candidates."""
+
+from spendwatch.llm import ownership
+
+SCHEMA = "doc_id int, text string, source string"
+OWN = "fedcba9876543210" * 2 + "ab"
+EXAMPLE = "0123456789abcdef" * 2
+
+
+def scanned(spark, docs):
+    return {r["row"]["doc_id"]: r for r in ownership.scan_secrets(spark.createDataFrame(docs, SCHEMA)).collect()}
+
+
+def test_a_mirrored_text_is_one_repository(spark):
+    text = f"deploy with token = {OWN} today"
+    docs = [(1, text, "a"), (2, text, "b"), (3, text, "c"), (4, f"one {EXAMPLE}", "a"), (5, f"two {EXAMPLE}", "b")]
+    made = scanned(spark, docs)
+    for i in (1, 2, 3):
+        assert made[i]["live"] == [OWN] and made[i]["n_shared"] == 1
+        assert [tuple(h) for h in made[i]["held"]] == [(OWN, 3, 1)]
+    assert made[4]["live"] == made[5]["live"] == [] and [tuple(h) for h in made[4]["held"]] == [(EXAMPLE, 2, 2)]
+
+
+def test_an_example_common_in_one_source_is_copied(spark):
+    docs = [(i, f"page {i}: {EXAMPLE}", "a") for i in range(ownership.COMMON_REPOS + 1)] + [(-1 - i, f"page {i}: {OWN}", "a") for i in range(ownership.COMMON_REPOS)]
+    made = scanned(spark, docs)
+    assert all(r["live"] == ([OWN] if i < 0 else []) for i, r in made.items())
