@@ -65,6 +65,12 @@ def _found(text: str, pattern: str, kind: int, group: int = 0) -> Column:
     return F.when(F.col(text).rlike(pattern), F.aggregate(steps, start, add)["spans"]).otherwise(F.array().cast(SPAN))
 
 
+def _values(spans: Column) -> Column:
+    """The places of the spans' values; a value stands at the end of an assignment."""
+    place = lambda s: F.struct((s["stop"] - F.char_length(s["value"])).alias("start"), F.lit(3).alias("kind"), s["stop"].alias("stop"), s["value"].alias("value"))
+    return F.array_distinct(F.transform(spans, place))
+
+
 def _spelled(spans: Column) -> Column:
     """``kind:start:end`` by start, then kind, joined by commas."""
     names = F.array(*map(F.lit, KINDS))
@@ -80,8 +86,10 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "sour
     """Per row of ``docs``: ``row``, a struct of its ``keep`` columns (default: all), base counts, spans and live values.
 
     The added columns are ``n_assign, n_access, n_hex, base_sha256, spans,
-    n_live, n_shared, live, held``; ``n_shared`` counts candidates of several
-    owners, ``held`` has ``value, n_owners, n_repos`` of each candidate value.
+    n_live, n_shared, live, held, hidden``; ``n_shared`` counts candidates of several
+    owners, ``held`` has ``value, n_owners, n_repos`` of each candidate value,
+    and ``hidden`` the places to redact: values of base spans that are no copied
+    example, and live values.
     """
     kept = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns])
     rows = docs.select(kept.alias("row"), F.col(owner_col).cast("string").alias("owner"), F.coalesce(text_col, F.lit("")).alias("text"))
@@ -92,38 +100,52 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "sour
         _found("text", HEXES, 2).alias("hex"),
         _found("text", LOOSE, 3).alias("loose"),
     )
-    # the value stands at the end of an assignment
-    values = F.transform(
-        F.concat("assign", "access", "hex", "loose"),
-        lambda s: F.struct((s["stop"] - F.char_length(s["value"])).alias("start"), F.lit(3).alias("kind"), s["stop"].alias("stop"), s["value"].alias("value")),
-    )
-    rows = rows.withColumn("candidates", F.array_distinct(values)).withColumn("repo", F.when(F.size("candidates") > 0, F.sha2("text", 256))).drop("text")
+    rows = rows.withColumn("candidates", _values(F.concat("assign", "access", "hex", "loose"))).withColumn("repo", F.when(F.size("candidates") > 0, F.sha2("text", 256))).drop("text")
     stage = written(rows.withColumn("base", F.concat("assign", "access", "hex")).withColumn("key", F.monotonically_increasing_id()))
 
     every = stage.filter(F.size("candidates") > 0).select("key", "repo", "owner", F.explode("candidates").alias("span")).withColumn("hash", F.sha2("span.value", 256))
     owners = every.select("hash", "owner").distinct().groupBy("hash").agg(F.count("*").alias("n_owners"))
     repos = every.select("hash", "repo").distinct().groupBy("hash").agg(F.count("*").alias("n_repos"))
     known = owners.join(repos, "hash")
-    copied = ((F.col("n_owners") > COPIED_OWNERS) & (F.col("n_repos") > COPIED_REPOS)) | (F.col("n_repos") > COMMON_REPOS)
-    verdict = every.join(known, "hash").withColumn("is_live", ~copied & _looks_random(F.col("span.value")))
+    is_copied = ((F.col("n_owners") > COPIED_OWNERS) & (F.col("n_repos") > COPIED_REPOS)) | (F.col("n_repos") > COMMON_REPOS)
+    verdict = every.join(known, "hash").withColumn("is_copied", is_copied)
     per_row = verdict.groupBy(F.col("key").alias("_key")).agg(
-        F.sort_array(F.collect_list(F.when(F.col("is_live"), F.col("span")))).alias("live"),
+        F.sort_array(F.collect_list(F.when(~F.col("is_copied"), F.col("span")))).alias("own"),
         F.count(F.when(F.col("n_owners") > 1, 1)).alias("n_shared"),
         F.sort_array(F.collect_set(F.struct("span.value", "n_owners", "n_repos"))).alias("held"),
     )
     joined = stage.join(per_row, F.col("key") == F.col("_key"), "left")
-    live = F.coalesce("live", F.array().cast(SPAN))
+    own = F.coalesce("own", F.array().cast(SPAN))
+    live = F.filter(own, lambda s: _looks_random(s["value"]))
     added = {
         "n_assign": F.size("assign").cast("bigint"), "n_access": F.size("access").cast("bigint"), "n_hex": F.size("hex").cast("bigint"),
         "base_sha256": F.sha2(_spelled(F.col("base")), 256), "spans": _spelled(F.concat("base", live)),
         "n_live": F.size(live).cast("bigint"), "n_shared": F.coalesce("n_shared", F.lit(0)),
         "live": F.array_distinct(F.transform(live, lambda s: s["value"])), "held": F.coalesce("held", F.array().cast(HELD)),
+        "hidden": F.sort_array(F.array_union(live, F.array_intersect(own, _values(F.col("base"))))),
     }
     return joined.select("row", *(c.alias(n) for n, c in added.items()))
 
 
+def _masked(text: Column, spans: Column, mark: str) -> Column:
+    """``text`` with each of the places, sorted by start, replaced by ``mark``; overlapping ones become one mark."""
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("pieces"))
+    piece = lambda begin, length: F.substring(text, (begin + 1).cast("int"), length.cast("int"))
+
+    def add(state: Column, s: Column) -> Column:
+        apart = s["start"] >= state["at"]
+        more = F.when(apart, F.concat(state["pieces"], F.array(piece(state["at"], s["start"] - state["at"])))).otherwise(state["pieces"])
+        return F.struct(F.greatest(state["at"], s["stop"]).alias("at"), more.alias("pieces"))
+
+    done = lambda state: F.array_join(F.concat(state["pieces"], F.array(piece(state["at"], F.char_length(text).cast("bigint")))), mark)
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, add, done)).otherwise(text)
+
+
 def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """All rows and columns of ``docs`` with every live value in the text replaced by ``mark``."""
-    clean = F.aggregate("live", F.col("row.text"), lambda text, value: F.replace(text, value, F.lit(mark)))
+    """All rows and columns of ``docs``; in the text every value of a base span and every live value become ``mark``.
+
+    Copied examples stay. A live value is replaced wherever it stands, also inside longer tokens.
+    """
+    clean = F.aggregate("live", _masked(F.col("row.text"), F.col("hidden"), mark), lambda text, value: F.replace(text, value, F.lit(mark)))
     columns = [clean.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
     return scan_secrets(docs).select(*columns)
