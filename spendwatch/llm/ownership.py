@@ -34,8 +34,12 @@ ACCESS = "AKIA[A-Z0-9]+"
 HEXES = "[0-9a-f]{32,}"  # the runs of 32 and more among all maximal runs
 MIN_VALUE = 8
 MIN_ACCESS = 16
-#: Mixed tokens of this many characters are candidates too.
-LOOSE = "(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]*[0-9])(?=[A-Za-z0-9_-]*[a-z])(?=[A-Za-z0-9_-]*[A-Z])[A-Za-z0-9_-]{24,64}(?![A-Za-z0-9_-])"
+#: Whole mixed tokens of 24 characters and more are candidates too, as long as they are: runs of
+#: letters, digits, ``_`` and ``-``, and runs with ``/`` and ``+`` among them and ``=`` behind (Base64).
+MIXED = ["[0-9]", "[a-z]", "[A-Z]"]
+LOOSE, LOOSE64 = (
+    f"(?<![{c}])" + "".join(f"(?=[{c}]*{m})" for m in MIXED) + f"[{c}]{{24,}}+{tail}" for c, tail in (("A-Za-z0-9_-", ""), ("A-Za-z0-9/+_-", "={0,2}"))
+)
 #: A live value has at least this many characters, among them digits and letters, and this many different ones.
 LIVE_LENGTH = 16
 LIVE_DIFFERENT = 8
@@ -98,7 +102,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "sour
         F.filter(_found("text", ASSIGN, 0, 1), lambda s: F.char_length(s["value"]) >= MIN_VALUE).alias("assign"),
         F.filter(_found("text", ACCESS, 1), lambda s: F.char_length(s["value"]) >= MIN_ACCESS).alias("access"),
         _found("text", HEXES, 2).alias("hex"),
-        _found("text", LOOSE, 3).alias("loose"),
+        F.concat(_found("text", LOOSE, 3), _found("text", LOOSE64, 3)).alias("loose"),
     )
     rows = rows.withColumn("candidates", _values(F.concat("assign", "access", "hex", "loose"))).withColumn("repo", F.when(F.size("candidates") > 0, F.sha2("text", 256))).drop("text")
     stage = written(rows.withColumn("base", F.concat("assign", "access", "hex")).withColumn("key", F.monotonically_increasing_id()))

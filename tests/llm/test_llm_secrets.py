@@ -37,3 +37,17 @@ def test_base_values_of_any_look_are_redacted(spark):
         1: "é password=[secret], end", 2: "secret: [secret] and token = [secret]", 3: "api_key=[secret]\napikey: [secret]",
         4: docs[3][1], 5: docs[4][1], 6: None, 7: docs[6][1], 8: "password=[secret]",
     }
+
+
+def test_long_tokens_and_base64_are_candidates(spark):
+    part = "aB3dE5gH7jK9mN1pQ2rS4tU6vW8xY0z_"
+    pat = "github_pat_" + (part * 3)[:82]
+    aws, padded = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "q83vEjRWeJCrze8SNFZ4kKvN7xI0VniQ+A=="
+    values = [pat, f"eyJ{part}{part}", aws, padded, "x" + part * 200]
+    docs = [(i, f"é use {v}, then go", "a") for i, v in enumerate(values)] + [(9, "z" * 400 + " " + "/".join(["plain"] * 50), "a")]
+    made = scanned(spark, docs)
+    for i, v in enumerate(values):
+        assert v in made[i]["live"] and f"live:6:{6 + len(v)}" in made[i]["spans"].split(",")
+    assert made[9]["n_live"] == 0
+    clean = {r["doc_id"]: r["text"] for r in ownership.redacted(spark.createDataFrame(docs, SCHEMA)).collect()}
+    assert all(clean[i] == "é use [secret], then go" for i in range(len(values))) and clean[9] == docs[-1][1]
