@@ -13,9 +13,10 @@ from spendwatch.functions.decisions import ANOMALY
 from spendwatch.functions.sqltext import ident, number
 from spendwatch.operators.sampling import sample_exact
 from spendwatch.operators.skew import held
+from spendwatch.session import cut_lineage
 
-# Rows used for a silhouette, and decimals of the metrics.
-SILHOUETTE_ROWS = 5_000
+# Rows that the others are measured against at a time, and decimals of the metrics.
+SILHOUETTE_BLOCK = 16_384
 RATE_DECIMALS = 5
 METRIC_DECIMALS = 4
 MAX_CLUSTERS = 10_000
@@ -113,57 +114,71 @@ def silhouette_rows(
     features: Sequence[str],
     cluster: str,
     key: str,
-    rows: int = SILHOUETTE_ROWS,
+    rows: int | None = None,
     seed: object = 42,
 ) -> DataFrame:
-    """Euclidean silhouette of each row of an exact sample of ``rows`` rows.
+    """Euclidean silhouette of each row, or of each row of an exact sample of ``rows`` rows.
 
-    The sample is the metric's own definition and is at most ``rows`` rows, so
-    it fits every task: each task measures its share of the sample against the
-    whole sample in numpy, one feature block at a time, without emitting pairs.
+    All rows are measured against all rows: blocks of about ``SILHOUETTE_BLOCK``
+    rows are broadcast one after the other, each task measures its rows against
+    the block in numpy, without emitting pairs, and the sums per row and cluster
+    are added up over the blocks. The work grows with the square of the rows,
+    what a task or the driver holds does not.
     """
-    sample = sample_exact(df, key, n=rows, seed=seed).select(
+    spark = df.sparkSession
+    chosen = df if rows is None else sample_exact(df, key, n=rows, seed=seed)
+    dealt = chosen.select(
         F.col(key).alias("key"),
-        F.col(cluster).cast("string").alias("cluster"),
+        F.coalesce(F.col(cluster).cast("string"), F.lit("None")).alias("cluster"),
         F.expr("array(" + ", ".join(f"cast({ident(f)} as double)" for f in features) + ")").alias("x"),
+    ).repartition(spark.sparkContext.defaultParallelism)
+    points = cut_lineage(dealt.withColumn("id", F.monotonically_increasing_id()))
+    sizes = {r["cluster"]: r["n"] for r in _bounded(points.groupBy("cluster").agg(F.count("*").alias("n")), MAX_CLUSTERS)}
+    blocks = max(1, -(-sum(sizes.values()) // SILHOUETTE_BLOCK))
+    schema = f"id bigint, key {points.schema['key'].dataType.simpleString()}, cluster string, other string, total double"
+
+    sums = None
+    for block in range(blocks):
+        held_rows = points.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).select("cluster", "x").toPandas()
+        names, codes = np.unique(held_rows["cluster"].to_numpy(dtype=str), return_inverse=True)
+        shared = spark.sparkContext.broadcast((np.array(held_rows["x"].tolist(), dtype=float).reshape(len(held_rows), len(features)), codes, list(names)))
+
+        def measure(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            pts, codes, names = shared.value
+            order = np.argsort(codes, kind="stable")
+            pts, starts = pts[order], np.searchsorted(codes[order], np.arange(len(names)))
+            for batch in batches:
+                for start in range(0, len(batch) if names else 0, 256):
+                    part = batch.iloc[start : start + 256]
+                    x = np.array(part["x"].tolist(), dtype=float)
+                    distance = np.zeros((len(x), len(pts)))
+                    for j in range(pts.shape[1]):
+                        distance += (x[:, j : j + 1] - pts[:, j]) ** 2
+                    total = np.add.reduceat(np.sqrt(distance), starts, axis=1)
+                    again = part.loc[part.index.repeat(len(names)), ["id", "key", "cluster"]]
+                    yield again.assign(other=names * len(part), total=total.ravel())
+
+        part_sums = points.select("id", "key", "cluster", "x").mapInPandas(measure, schema)
+        if blocks > 1:
+            part_sums = cut_lineage(part_sums)
+            shared.unpersist()
+        sums = part_sums if sums is None else sums.unionByName(part_sums)
+
+    table = spark.createDataFrame(list(sizes.items()), "other string, n bigint")
+    summed = sums.groupBy("id", "other").agg(F.any_value("key").alias("key"), F.any_value("cluster").alias("cluster"), F.sum("total").alias("total"))
+    own = F.col("cluster") == F.col("other")
+    each = summed.join(F.broadcast(table), "other").groupBy("id").agg(
+        F.any_value("key").alias("key"),
+        F.max(F.when(own & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("inner"),
+        F.min(F.when(~own, F.col("total") / F.col("n"))).alias("nearest"),
     )
-    held = sample.toPandas()
-    points = np.array(held["x"].tolist(), dtype=float).reshape(len(held), len(features))
-    names, codes = np.unique(held["cluster"].to_numpy(dtype=str), return_inverse=True)
-    member = np.eye(len(names))[codes]
-    sizes = member.sum(axis=0)
-    shared = df.sparkSession.sparkContext.broadcast((points, member, sizes, list(names)))
-
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pts, mem, size, order = shared.value
-        place = {name: i for i, name in enumerate(order)}
-        for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.iloc[start : start + 256]
-                x = np.array(part["x"].tolist(), dtype=float)
-                own = np.array([place[c] for c in part["cluster"]])
-                distance = np.zeros((len(x), len(pts)))
-                for j in range(pts.shape[1]):
-                    distance += (x[:, j : j + 1] - pts[:, j]) ** 2
-                total = np.sqrt(distance) @ mem
-                at = np.arange(len(x))
-                mates = size[own] - 1
-                inner = np.divide(total[at, own], mates, out=np.zeros(len(x)), where=mates > 0)
-                outer = total / size
-                outer[at, own] = np.inf
-                nearest = outer.min(axis=1)
-                top = np.maximum(inner, nearest)
-                value = np.divide(nearest - inner, top, out=np.zeros(len(x)), where=(top > 0) & np.isfinite(top))
-                value[mates == 0] = 0.0
-                yield pd.DataFrame({"key": part["key"].to_numpy(), "silhouette": value})
-
-    parallel = df.sparkSession.sparkContext.defaultParallelism
-    spread = sample.repartition(min(parallel, max(1, rows // 256)), "key")
-    return spread.mapInPandas(measure, f"key {sample.schema['key'].dataType.simpleString()}, silhouette double")
+    top = F.greatest("inner", "nearest")
+    value = F.when(F.col("inner").isNotNull() & F.col("nearest").isNotNull() & (top > 0), (F.col("nearest") - F.col("inner")) / top)
+    return each.select("key", F.coalesce(value, F.lit(0.0)).alias("silhouette"))
 
 
 def silhouette_euclidean(
-    df: DataFrame, features: Sequence[str], cluster: str, key: str, rows: int = SILHOUETTE_ROWS, seed: object = 42
+    df: DataFrame, features: Sequence[str], cluster: str, key: str, rows: int | None = None, seed: object = 42
 ) -> DataFrame:
     each = silhouette_rows(df, features, cluster, key, rows, seed)
     return each.agg(F.count("*").alias("n_rows"), F.round(F.avg("silhouette"), METRIC_DECIMALS).alias("score"))
