@@ -2,9 +2,10 @@
 
 The tagger is a bidirectional LSTM with CRF transitions, trained in numpy on
 the driver from labelled spans drawn by rule. It reads all stretches of a text
-that hold a digit or ``@`` with ``AROUND`` characters on both sides (no kind
-can be written without one of them), in overlapping windows. Where windows
-overlap, their tag scores are averaged, and each stretch is decoded as a whole,
+that hold a digit, ``@`` or a spelled sign of an address (``[at]``, ``(dot)``,
+the word ``dot``) with ``AROUND`` characters on both sides; around signs, also
+``WORDS`` words and whole words only, so no address crosses a stretch's border.
+It reads them in overlapping windows. Where windows overlap, their tag scores are averaged, and each stretch is decoded as a whole,
 so a span is cut by no window border.
 
 Base spans stay as they are. A tagged span is added where it touches no base
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,12 +40,21 @@ IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-TRIGGER = re.compile(r"[0-9@]")
+TRIGGER = re.compile(r"[0-9]+|@|[\[(]\s?(?i:at|dot)\s?[\])]|\b(?i:dot)\b")
 AROUND = 24
+#: "name at host dot org" has three words before its dot.
+WORDS = 3
+WORD = re.compile(r"\S+")
+#: Addresses with a sign, and addresses that spell signs out; after a plain "at" the dots are spelled out too.
+_PART, _AT, _DOT = r"[^\s@.,\[\]()]+", r"\s?[\[(]\s?at\s?[\])]\s?", r"(?:\s?[\[(]\s?dot\s?[\])]\s?|\s+dot\s+)"
+ADDRESS = re.compile(r"[^\s@]+\s?@\s?[^\s@]+\.[^\s@]{2,}")
+SPELLED = re.compile(rf"[^\s@,\[\]()]+(?:(?:{_AT}|\s?@\s?){_PART}(?:(?:\.|{_DOT}){_PART})+|\s+at\s+{_PART}(?:{_DOT}{_PART})+)", re.IGNORECASE)
 WINDOW = 96
 STEP = 64
 #: Windows that go through the network together.
 TOGETHER = 256
+#: Signs and dots of spelled addresses.
+SPELLINGS = [(" at ", " dot "), (" at ", " dot "), ("[at]", "[dot]"), (" [at] ", " [dot] "), ("(at)", "."), (" [at] ", "."), (" (at) ", " (dot) ")]
 TRAIN_WINDOWS = 1_600
 TRAIN_LENGTH = 64
 EPOCHS = 9
@@ -88,12 +99,22 @@ def base_spans(text: str) -> list[Span]:
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of the text around digits and ``@``."""
+    """Parts of the text around digits and, with whole words, around ``@`` and spelled signs."""
     out: list[list[int]] = []
+    starts: list[int] = []
+    stops: list[int] = []
     for m in TRIGGER.finditer(text):
         start, stop = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
+        if not "0" <= m[0][0] <= "9":
+            if not starts:
+                starts, stops = map(list, zip(*(w.span() for w in WORD.finditer(text))))
+            first = min(bisect_right(starts, start), bisect_right(starts, m.start()) - WORDS) - 1
+            last = max(bisect_left(stops, stop), bisect_left(stops, m.end()) + WORDS)
+            start, stop = min(start, starts[max(0, first)]), max(stop, stops[min(last, len(stops) - 1)])
+            while out and start <= out[-1][0]:
+                stop = max(stop, out.pop()[1])
         if out and start <= out[-1][1]:
-            out[-1][1] = stop
+            out[-1][1] = max(out[-1][1], stop)
         else:
             out.append([start, stop])
     return [(a, b) for a, b in out]
@@ -103,7 +124,7 @@ def plausible(kind: int, text: str) -> bool:
     """Whether a tagged span has what its kind needs."""
     digits = _digits(text)
     if kind == 0:
-        return re.fullmatch(r"[^\s@]+\s?@\s?[^\s@]+\.[^\s@]{2,}", text) is not None
+        return ADDRESS.fullmatch(text) is not None or SPELLED.fullmatch(text) is not None
     if kind == 1:
         parts = re.split(r"[.\s\[\]]+", text.strip("[]"))
         return len(parts) == 4 and all(re.fullmatch(r"[0-9]{1,3}", p) and int(p) <= 255 for p in parts)
@@ -169,8 +190,8 @@ def labelled_windows(count: int = TRAIN_WINDOWS, length: int = TRAIN_LENGTH, see
         kind = rng.randrange(4)
         if kind == 0:
             local = rng.choice([plain(), number(2), plain() + number(2), plain() + rng.choice("._+-") + plain()])
-            sign = rng.choice(["@", "@", "@", " @ "])
-            return local + sign + plain() + rng.choice(["", number(1)]) + "." + rng.choice(["", plain() + "."]) + rng.choice(["com", "org", "net", "de", "fr"]), kind
+            sign, dot = rng.choice([("@", "."), (" @ ", "."), (" @ ", "."), rng.choice(SPELLINGS), rng.choice(SPELLINGS)])
+            return local + sign + plain() + rng.choice(["", number(1)]) + dot + rng.choice(["", plain() + dot]) + rng.choice(["com", "org", "net", "de", "fr"]), kind
         if kind == 1:
             return rng.choice([".", ".", ".", "[.]"]).join(str(rng.randint(0, 255)) for _ in range(4)), kind
         if kind == 2:
@@ -187,6 +208,7 @@ def labelled_windows(count: int = TRAIN_WINDOWS, length: int = TRAIN_LENGTH, see
                 lambda: f"{rng.randint(1, 9)}.{rng.randint(0, 20)}", lambda: f"{rng.randint(1, 9)}.{rng.randint(0, 20)}.{rng.randint(0, 9)}", lambda: number(rng.randint(1, 6)),
                 lambda: f"{number(2)}:{number(2)}", lambda: f"${number(2)}.{number(2)}", lambda: plain() + number(2), lambda: "@" + plain(), lambda: number(1) + "%",
                 lambda: f'token = "{"".join(rng.choices("0123456789abcdef", k=40))}"', lambda: "Version 2.0.", lambda: number(rng.randint(20, 30)),
+                lambda: plain() + " at " + plain(), lambda: plain() + " dot " + plain(),
             ]
         )()
 
