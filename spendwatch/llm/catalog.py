@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-_MODULES = ("count_queries", "text_queries", "duplicate_queries", "model_queries", "pipeline_query")
+_MODULES = ("count_queries", "text_queries", "duplicate_queries", "model_queries", "source_queries", "vector_queries", "pipeline_query")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

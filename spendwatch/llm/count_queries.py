@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from spendwatch.llm import prefixtable
 from spendwatch.llm.catalog import query, table
 from spendwatch.llm.packing import pack
 from spendwatch.llm.tokencount import token_counts
@@ -24,3 +26,10 @@ def token_counts_query(spark: SparkSession, folder: str) -> DataFrame:
 def packing_query(spark: SparkSession, folder: str) -> DataFrame:
     packed = pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), CONTEXT, END_ID)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query("op12_piece_roundtrip")
+def piece_roundtrip_query(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    decoded = prefixtable.decode(prefixtable.encode(table(spark, folder, "documents"), model), model)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
