@@ -9,12 +9,22 @@ A link of similarity s survives one tree with probability s x, where x is 1 for
 a root that is small and 1 - (1 - s x)^2 one level deeper: at least 0.82 at the
 threshold of 0.85, so ten independent trees miss such a link about once in 10^7.
 
-Nodes are compared exhaustively inside tasks. In a small node the signatures
-give the groups worth confirming; equal groups of several trees become one. A
-larger leaf is dealt to blocks of bounded total size, and every two blocks meet
-in one task. There the full sets are compared by one product of incidence
-matrices, and only a spanning forest of the true links leaves the task: never
-the pairs of a group.
+Nodes are compared exhaustively inside tasks, in three waves that use what is
+proved so far. A leaf or group whose members are already connected is left out.
+
+1. Leaves of the first tree. In a small leaf the signatures give the groups
+   worth confirming on full sets. A larger leaf is dealt to chunks of bounded
+   total size; the leaf's few leaders are in every chunk, so copies of one text
+   become members of their leader in one pass over the leaf.
+2. The same for the other trees. Of a larger leaf only members outside its
+   largest component are dealt, with leaders of that component in every chunk.
+3. Of larger leaves that still have several components, all members outside the
+   largest one meet all members, block by block, by a byte of each minwise
+   token. Members with a partner in another component meet again on full sets.
+
+Full sets in one cell are compared by one product of incidence matrices. What
+leaves a task is the smallest class that a class is connected with: never the
+pairs of a group. The rows of the first two waves grow linearly with a group.
 
 Documents with one shingle set are one class, linked with themselves. A text
 without words has an empty set and stays alone, whatever its copies. A null id
@@ -44,9 +54,13 @@ SMALL = 48
 FIRST_LEVELS = 3
 LEVELS = 8
 LARGE = 4_096
-#: Shingles and classes in one block of a larger leaf.
+#: Shingles and classes in one chunk or block of a larger leaf.
 BLOCK_SHINGLES = 400_000
 BLOCK_CLASSES = 768
+#: Classes of a larger leaf that are in all its chunks.
+LEADERS = 32
+#: Rows with whole shingle sets in one Arrow batch, and rows without.
+SET_ROWS, PLAIN_ROWS = 256, 4_096
 #: Rows of the matrix of common shingles that are judged at once.
 STRIP = 128
 #: Columns multiplied at once.
@@ -73,7 +87,8 @@ def shingle_sets(words: Words, size: int) -> list[np.ndarray]:
 def set_class(shingles: np.ndarray) -> bytes:
     """The same 16 bytes for equal sets, different ones for different sets."""
     other = mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
-    return np.array([shingles.sum(), other.sum() * np.uint64(31) + np.uint64(len(shingles))], ">u8").tobytes()
+    total = other.sum(keepdims=True) * np.uint64(31) + np.uint64(len(shingles))
+    return np.concatenate((shingles.sum(keepdims=True), total)).astype(">u8").tobytes()
 
 
 def signatures(docs: DataFrame, size: int, tokens: int = TOKENS) -> DataFrame:
@@ -109,7 +124,7 @@ def signatures(docs: DataFrame, size: int, tokens: int = TOKENS) -> DataFrame:
 
 
 def leaves_of_trees(classes: DataFrame, trees: int = TREES) -> DataFrame:
-    """``key, doc, n``: the leaves with several classes, and their sizes.
+    """``key, tree, doc, n``: the leaves with several classes, and their sizes.
 
     ``classes`` has ``doc, sig``. Node sizes are counted with partial sums and
     joined back, so a node that holds most classes is never gathered.
@@ -122,11 +137,11 @@ def leaves_of_trees(classes: DataFrame, trees: int = TREES) -> DataFrame:
 
     step = TOKENS // trees
     roots = F.array(*[F.xxhash64(F.lit(t), F.element_at("sig", t * step + 1)) for t in range(trees)])
-    rows = classes.select("doc", F.explode(roots).alias("key"))
+    rows = classes.select("doc", F.posexplode(roots).alias("tree", "key"))
     done = None
     for level in range(1, LEVELS + 1):
         sizes = rows.groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("n")).filter("n > 1")
-        sized = written(rows.join(sizes, F.col("key") == F.col("_k")).select("key", "doc", "n"))
+        sized = written(rows.join(sizes, F.col("key") == F.col("_k")).select("key", "tree", "doc", "n"))
         most = SMALL if level < FIRST_LEVELS else LARGE
         leaves = sized if level == LEVELS else sized.filter(F.col("n") <= most)
         done = leaves if done is None else done.union(leaves)
@@ -134,7 +149,7 @@ def leaves_of_trees(classes: DataFrame, trees: int = TREES) -> DataFrame:
         if level == LEVELS or large.isEmpty():
             break
         children = F.array(*[child(F.col("key"), c) for c in range(BRANCHES)])
-        rows = large.select("key", "doc").join(classes, "doc").select("doc", F.explode(children).alias("key"))
+        rows = large.select("key", "tree", "doc").join(classes, "doc").select("doc", "tree", F.explode(children).alias("key"))
     return done
 
 
@@ -179,12 +194,12 @@ def tokens_to_agree(percent: int) -> int:
 
 
 def similar_groups(leaves: DataFrame, marks: DataFrame, agree: int) -> DataFrame:
-    """``cell, doc``: groups of classes of small leaves that at least ``agree`` equal tokens connect, each group once."""
+    """``cell, tree, doc``: groups of classes of small leaves that at least ``agree`` equal tokens connect, each group once, of its first tree."""
 
     def group(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs((b for b in batches if b.num_rows), "key"):
             keys = table.column("key").to_numpy()
-            names = table.column("doc").to_pylist()
+            names, tree = table.column("doc").to_pylist(), table.column("tree").to_pylist()
             sig = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(len(keys), -1)
             left, right = [], []
             for d in range(1, SMALL):
@@ -196,27 +211,94 @@ def similar_groups(leaves: DataFrame, marks: DataFrame, agree: int) -> DataFrame
                 right += (at + d).tolist()
             root, _ = _forest(len(keys), zip(left, right))
             members: dict[int, list[bytes]] = {}
+            trees: dict[int, int] = {}
             for k in sorted({*left, *right}):
                 top = k
                 while root[top] != top:
                     top = root[top]
                 members.setdefault(top, []).append(names[k])
+                trees[top] = tree[k]
             groups = [sorted(m) for m in members.values()]
-            yield pa.RecordBatch.from_arrays([pa.array([b"".join(m) for m in groups], pa.binary()), pa.array(groups, pa.list_(pa.binary()))], names=["all", "docs"])
+            arrays = [pa.array([b"".join(m) for m in groups], pa.binary()), pa.array(list(trees.values()), pa.int32()), pa.array(groups, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["all", "tree", "docs"])
+
+    dealt = leaves.join(marks, "doc").select("key", "tree", "doc", "bytes").repartition("key").sortWithinPartitions("key")
+    made = dealt.mapInArrow(group, "all binary, tree int, docs array<binary>").select(F.md5("all").alias("cell"), "tree", "docs")
+    return made.groupBy("cell").agg(F.min("tree").alias("tree"), F.first("docs").alias("docs")).select("cell", "tree", F.explode("docs").alias("doc"))
 
-    dealt = leaves.join(marks, "doc").select("key", "doc", "bytes").repartition("key").sortWithinPartitions("key")
-    made = dealt.mapInArrow(group, "all binary, docs array<binary>").select(F.md5("all").alias("cell"), "docs")
-    return made.groupBy("cell").agg(F.first("docs").alias("docs")).select("cell", F.explode("docs").alias("doc"))
 
+def _blocks_needed() -> F.Column:
+    """Blocks for the rows of an aggregate, by their shingles and their number."""
+    return F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_CLASSES))
 
-def large_cells(leaves: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``cell, doc``: larger leaves dealt to blocks of about ``BLOCK_SHINGLES``; every two blocks are one cell."""
+
+def chunks(leaves: DataFrame, crowd: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``cell, doc``: members of larger leaves dealt to chunks, with leaders from the leaf's ``crowd`` in each."""
     weighed = leaves.join(sizes, "doc")
-    blocks_of = weighed.groupBy(F.col("key").alias("_k")).agg(F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_CLASSES)).alias("_b"))
-    dealt = weighed.join(blocks_of, F.col("key") == F.col("_k")).withColumn("_mine", F.pmod(F.xxhash64("doc", "key"), F.col("_b")))
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_b") - 1))
-    met = dealt.select("key", "doc", "_mine", other.alias("_other"))
-    return met.select(F.md5(F.concat_ws(":", "key", F.least("_mine", "_other"), F.greatest("_mine", "_other")).cast("binary")).alias("cell"), "doc")
+    leaf = weighed.groupBy(F.col("key").alias("_k")).agg(_blocks_needed().alias("_b"))
+    dealt = weighed.join(leaf, F.col("key") == F.col("_k")).withColumn("_mine", F.pmod(F.xxhash64("doc", "key"), F.col("_b")))
+    # leaders: the smallest class of each of a few parts of the crowd, mostly the same classes in all leaves that hold it
+    part = F.pmod(F.xxhash64("doc", F.lit("leader")), F.lit(LEADERS))
+    leaders = crowd.groupBy("key", part.alias("_part")).agg(F.min("doc").alias("doc")).join(leaf, F.col("key") == F.col("_k"))
+    everywhere = leaders.select("key", "doc", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_b") - 1)).alias("_mine"))
+    both = dealt.select("key", "doc", "_mine").union(everywhere).distinct()
+    return both.select(F.md5(F.concat_ws(":", "key", "_mine").cast("binary")).alias("cell"), "doc")
+
+
+def open_cells(cells: DataFrame, cell: str, labels: DataFrame) -> DataFrame:
+    """The rows of those cells whose classes have several labels; a class without one is its own."""
+    named = cells.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+    several = named.groupBy(F.col(cell).alias("_c")).agg(F.min("label").alias("_l"), F.max("label").alias("_h")).filter("_l <> _h").select("_c")
+    return named.join(several, F.col(cell) == F.col("_c"), "left_semi")
+
+
+def told_apart(leaves: DataFrame) -> DataFrame:
+    """``key, doc, label`` with ``_out``: whether the class is outside its leaf's largest label."""
+    sized = leaves.groupBy("key", "label").agg(F.count("*").alias("members"))
+    largest = sized.groupBy("key").agg(F.max(F.struct("members", "label"))["label"].alias("_most"))
+    return leaves.select("key", "doc", "label").join(largest, "key").withColumn("_out", F.col("label") != F.col("_most"))
+
+
+def outsiders(leaves: DataFrame, marks: DataFrame, agree: int) -> DataFrame:
+    """``cell, doc``: classes of a leaf that agree in ``agree`` tokens with one of another label, by blocks.
+
+    ``leaves`` has ``key, doc, label``. Of any two labels one is not the leaf's
+    largest, so only members outside the largest meet all members.
+    """
+    told = told_apart(leaves).join(marks, "doc")
+    out_shingles, out_classes = F.sum(F.when(F.col("_out"), F.col("n_shingles"))), F.sum(F.col("_out").cast("int"))
+    few = F.greatest(F.ceil(out_shingles / BLOCK_SHINGLES), F.ceil(out_classes / BLOCK_CLASSES))
+    needed = told.groupBy(F.col("key").alias("_k")).agg(_blocks_needed().alias("_all"), few.alias("_few"))
+    dealt = told.join(needed, F.col("key") == F.col("_k"))
+
+    def side(left: bool) -> DataFrame:
+        mine, others = ("_few", "_all") if left else ("_all", "_few")
+        own = F.pmod(F.xxhash64("doc", F.lit(mine)), F.col(mine))
+        other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(others) - 1))
+        rows = (dealt.filter("_out") if left else dealt).select("key", "doc", "label", "bytes", own.alias("_o"), other.alias("_p"))
+        cell = F.concat_ws(":", "key", "_o", "_p") if left else F.concat_ws(":", "key", "_p", "_o")
+        return rows.select(F.md5(cell.cast("binary")).alias("cell"), F.lit(left).alias("left"), "doc", "label", "bytes")
+
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs((b for b in batches if b.num_rows), "cell"):
+            cell, names = table.column("cell").to_pylist(), table.column("doc").to_pylist()
+            label = np.unique(np.array(table.column("label").to_pylist(), object), return_inverse=True)[1]
+            sig = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(len(cell), -1)
+            left = np.array(table.column("left").to_pylist(), bool)
+            edges = [0, *(k for k in range(1, len(cell)) if cell[k] != cell[k - 1]), len(cell)]
+            for start, stop in zip(edges, edges[1:]):
+                right = start + np.flatnonzero(~left[start:stop])
+                there = np.zeros(stop - start, bool)
+                for k in (start + np.flatnonzero(left[start:stop])).tolist():
+                    partner = right[(label[right] != label[k]) & ((sig[right] == sig[k]).sum(axis=1) >= agree)]
+                    there[partner - start] = True
+                    there[k - start] |= len(partner) > 0
+                found = sorted({names[start + k] for k in np.flatnonzero(there).tolist()})
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([cell[start]] * len(found)), pa.array(found, pa.binary())], names=["cell", "doc"])
+
+    both = side(True).union(side(False)).repartition("cell").sortWithinPartitions("cell")
+    return both.mapInArrow(meet, "cell string, doc binary")
 
 
 def true_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -249,7 +331,7 @@ def true_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def confirmed(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` inside the cells, enough to connect all that full sets link."""
+    """``a, b``: each class that full sets connect with others of its cell, and the smallest of those."""
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs((b for b in batches if b.num_rows), "cell"):
@@ -257,14 +339,60 @@ def confirmed(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             names = table.column("doc").to_pylist()
             shingles = [x.values.to_numpy() for chunk in table.column("shingles").chunks for x in chunk]
             edges = [0, *(k for k in range(1, len(cell)) if cell[k] != cell[k - 1]), len(cell)]
-            links = [(a + x, a + y) for a, b in zip(edges, edges[1:]) for x, y in true_links(shingles[a:b], percent)]
-            if links:
-                yield pa.RecordBatch.from_arrays([pa.array([names[k] for k, _ in links], pa.binary()), pa.array([names[k] for _, k in links], pa.binary())], names=["a", "b"])
+            members, roots = [], []
+            for start, stop in zip(edges, edges[1:]):
+                # in the order of names, so that the root of a tree is its smallest class
+                order = sorted(range(start, stop), key=names.__getitem__)
+                root, _ = _forest(len(order), true_links([shingles[k] for k in order], percent))
+                for k in range(len(order)):
+                    top = k
+                    while root[top] != top:
+                        top = root[top]
+                    if top != k:
+                        members.append(names[order[k]])
+                        roots.append(names[order[top]])
+            if members:
+                yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary()), pa.array(roots, pa.binary())], names=["a", "b"])
 
     dealt = cells.join(sets, "doc").select("cell", "doc", "shingles").repartition("cell").sortWithinPartitions("cell")
     return dealt.mapInArrow(compare, "a binary, b binary")
 
 
+def connected(classes: DataFrame, only: DataFrame, size: int, percent: int) -> DataFrame:
+    """``node, component``: the component of each class that is linked with another one."""
+    agree = tokens_to_agree(percent)
+    leaves = written(leaves_of_trees(classes.select("doc", "sig")))
+    marks, sizes = classes.select("doc", "bytes", "n_shingles"), classes.select("doc", "n_shingles")
+    groups = written(similar_groups(leaves.filter(F.col("n") <= SMALL), marks, agree), PLAIN_ROWS)
+    large = leaves.filter(F.col("n") > SMALL)
+    involved = groups.select("doc").union(large.select("doc")).distinct()
+    sets = written(_full_sets(only, classes.join(involved, "doc", "left_semi").select("doc", "least"), size), SET_ROWS)
+
+    one = large.filter("tree = 0").select("key", "doc")
+    first = groups.filter("tree = 0").select("cell", "doc").union(chunks(one, one, sizes))
+    links = written(confirmed(first, sets, percent).distinct(), SET_ROWS)
+    labels = components_of(links).select(F.col("node").alias("doc"), F.col("component").alias("label"))
+    small = open_cells(groups.filter("tree > 0"), "cell", labels).select("cell", "doc")
+    told = written(told_apart(open_cells(large.select("key", "doc"), "key", labels)))
+    second = small.union(chunks(told.filter("_out").select("key", "doc"), told.filter("NOT _out"), sizes))
+    links = links.union(written(confirmed(second, sets, percent).distinct(), SET_ROWS))
+    component = components_of(links)
+
+    known = component.select(F.col("node").alias("doc"), F.col("component").alias("label"))
+    rest = written(open_cells(large.select("key", "doc"), "key", known).select("key", "doc", "label"))
+    if not rest.isEmpty():
+        cells = written(outsiders(rest, marks, agree), PLAIN_ROWS)
+        last = written(confirmed(cells, sets, percent).distinct(), SET_ROWS)
+        if not last.isEmpty():
+            component = components_of(links.union(last))
+    return component
+
+
+def components_of(links: DataFrame) -> DataFrame:
+    """Components of the classes that links connect."""
+    return connected_components(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(), links)
+
+
 def near_copies(docs: DataFrame, size: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row, linked at ``percent`` similarity of ``size``-word shingle sets."""
     only = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
@@ -273,14 +401,7 @@ def near_copies(docs: DataFrame, size: int, percent: int, id_col: str = "doc_id"
     classes = written(
         filled.groupBy(F.col("cls").alias("doc")).agg(F.min("id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("bytes").alias("bytes"))
     )
-    leaves = leaves_of_trees(classes.select("doc", "sig"))
-    small = similar_groups(leaves.filter(F.col("n") <= SMALL), classes.select("doc", "bytes"), tokens_to_agree(percent))
-    cells = written(small.union(large_cells(leaves.filter(F.col("n") > SMALL), classes.select("doc", "n_shingles"))))
-    involved = cells.select("doc").distinct()
-    sets = written(_full_sets(only, classes.join(involved, "doc", "left_semi").select("doc", "least"), size))
-    links = written(confirmed(cells, sets, percent).distinct())
-    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    component = connected_components(nodes, links)
+    component = connected(classes, only, size, percent)
 
     ids = component.join(classes.select(F.col("doc").alias("node"), "least"), "node")
     least = ids.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -10,15 +10,26 @@ from spendwatch.session import cut_lineage
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back; its shuffle files go with the write."""
+#: Spark's own setting: rows in one Arrow batch.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back; its shuffle files go with the write.
+
+    ``batch_rows`` bounds the rows of an Arrow batch while it is written, for
+    rows that hold long arrays or texts.
+    """
     conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, None)
-    conf.set(CLEANUP, "true")
+    wanted = {CLEANUP: "true"} | ({BATCH: str(batch_rows)} if batch_rows else {})
+    before = {name: conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        conf.set(name, value)
     try:
         return cut_lineage(df)
     finally:
-        if before is None:
-            conf.unset(CLEANUP)
-        else:
-            conf.set(CLEANUP, before)
+        for name, value in before.items():
+            if value is None:
+                conf.unset(name)
+            else:
+                conf.set(name, value)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from llm_brute import PASSAGE, benchmark_hits, near_groups, rows, without_repeats
 
-from spendwatch.llm import contamination, repeats
+from spendwatch.llm import contamination, nearcopies, repeats
 from spendwatch.llm.nearcopies import near_copies, one_of_each
 
 FOLDER = "/root/testdata/sf0.01"
@@ -108,6 +108,51 @@ def test_near_copies_in_large_groups(spark):
     assert rows(near_copies(docs, 3, 85), *NEAR) == sorted(near_groups(made, 3, 85), key=repr)
 
 
+@pytest.mark.parametrize("block", [768, 9])
+def test_leaves_of_several_groups(spark, monkeypatch, block):
+    """Texts that share half their words meet in large leaves but are linked in small groups only."""
+    monkeypatch.setattr(nearcopies, "SMALL", 8)
+    monkeypatch.setattr(nearcopies, "LARGE", 20)
+    monkeypatch.setattr(nearcopies, "BLOCK_CLASSES", block)
+    monkeypatch.setattr(nearcopies, "LEADERS", 1)
+    rng = np.random.default_rng(block)
+    shared, made = [f"s{k}" for k in range(60)], []
+    for group in range(30):
+        own = shared + [f"g{group}w{k}" for k in range(int(rng.integers(6, 40)))]
+        for _ in range(int(rng.integers(1, 9))):
+            copy = list(own)
+            for at in rng.integers(0, len(copy), rng.integers(0, 3)):
+                copy[at] = f"new{rng.integers(0, 10**6)}"
+            made.append((len(made), " ".join(copy)))
+    docs = spark.createDataFrame(made, "doc_id bigint, text string").repartition(5)
+    waves = []
+    monkeypatch.setattr(nearcopies, "outsiders", lambda *a, kept=nearcopies.outsiders: waves.append(1) or kept(*a))
+    assert rows(near_copies(docs, 3, 85), *NEAR) == sorted(near_groups(made, 3, 85), key=repr)
+    assert waves  # the third wave had work
+
+
+def test_work_grows_linearly_with_a_group(spark, monkeypatch):
+    """All rows that carry whole sets, for near copies of one text."""
+    work, kept = [], nearcopies.confirmed
+    monkeypatch.setattr(nearcopies, "confirmed", lambda cells, *more: work.append(cells.count()) or kept(cells, *more))
+    total = {}
+    for count in (1_000, 2_000, 4_000):
+        rng = np.random.default_rng(count)
+        base = [f"w{k}" for k in range(120)]
+        made = []
+        for k in range(count):
+            copy = list(base)
+            for at in rng.integers(0, 120, 2):
+                copy[at] = f"new{rng.integers(0, 10**9)}"
+            made.append((k, " ".join(copy)))
+        work.clear()
+        found = near_copies(spark.createDataFrame(made, "doc_id bigint, text string").repartition(8), 3, 85)
+        assert found.filter("component_id <> 0").isEmpty()  # the brute-force result: every text is linked through others
+        total[count] = sum(work)
+    assert total[2_000] <= 2.3 * total[1_000] and total[4_000] <= 2.3 * total[2_000]
+    assert total[4_000] <= 8 * 4_000
+
+
 def test_one_of_each_keeps_columns(odd, odd_texts):
     kept = one_of_each(odd, 5, 80)
     assert kept.columns == odd.columns
