@@ -75,7 +75,6 @@ FROM base JOIN far ON far.doc_id = base.doc_id"""
 def secrets_sql() -> str:
     o = ownership
     quoted = lambda p: "'" + p.replace("'", "''") + "'"
-    loose = "[A-Za-z0-9_-]+"
 
     def spans(pattern: str, kind: int, group: int, test: str) -> str:
         p = quoted(pattern)
@@ -87,23 +86,39 @@ def secrets_sql() -> str:
           WHERE {test}"""
 
     name = "['assign', 'access', 'hex', 'live'][kind + 1] || ':' || a || ':' || z"
-    mixed = "length(v[i]) BETWEEN 24 AND 64 AND regexp_matches(v[i], '[0-9]') AND regexp_matches(v[i], '[a-z]') AND regexp_matches(v[i], '[A-Z]')"
+    short = "v[i]"
+    for members, one in zip(o.CLASSES, ("A", "a", "0", "-")):
+        short = f"regexp_replace({short}, '[{members}]+', '{one}', 'g')"
+    often = (
+        f"NOT starts_with(v[i], '{o.INLINE}') AND regexp_matches(v[i], '[0-9]') AND regexp_matches(v[i], '[a-z]') AND regexp_matches(v[i], '[A-Z]') "
+        f"AND {o.OF_PLACES} * (length({short}) - 1) >= {o.CHANGES} * (length(v[i]) - 1)"
+    )
+    form = f"regexp_matches(v[i], '{o.KEY_FORM}') AND length(v[i]) % 4 = 0 AND {often}"
     random = (
         f"length(value) >= {o.LIVE_LENGTH} AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') "
         f"AND len(list_distinct(string_split(value, ''))) >= {o.LIVE_DIFFERENT}"
     )
+    least = ", ".join(f"list_min(list_transform(x, lambda y: substr(y, {k * o.SKETCH_SIGNS + 1}, {o.SKETCH_SIGNS})))" for k in range(o.SKETCHES))
     return f"""
 WITH d AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS n, source, coalesce(text, '') AS t FROM documents),
 base AS MATERIALIZED ({spans(o.ASSIGN, 0, 1, f"length(v[i]) >= {o.MIN_VALUE}")}
   UNION ALL {spans(o.ACCESS, 1, 0, f"length(v[i]) >= {o.MIN_ACCESS}")} UNION ALL {spans("[0-9a-f]+", 2, 0, "length(v[i]) >= 32")}),
-cand AS MATERIALIZED (SELECT DISTINCT doc_id, n, source, z - length(value) AS a, z, value FROM (SELECT * FROM base UNION ALL {spans(loose, 3, 0, mixed)})),
-known AS (SELECT value, count(DISTINCT coalesce(source, '')) AS owners FROM cand GROUP BY 1),
-judged AS MATERIALIZED (SELECT cand.*, owners, owners = 1 AND {random} AS is_live FROM cand JOIN known USING (value)),
+cand AS MATERIALIZED (SELECT DISTINCT doc_id, n, source, z - length(value) AS a, z, value FROM (
+  SELECT * FROM base UNION ALL {spans(o.PART, 3, 0, often)} UNION ALL {spans(o.WHOLE, 3, 0, form)})),
+w AS (SELECT n, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM d WHERE n IN (SELECT n FROM cand)),
+digests AS (SELECT n, list_transform(CASE WHEN len(w) < {o.SHINGLE} THEN [array_to_string(w, ' ')]
+  ELSE [array_to_string(w[i:i + {o.SHINGLE - 1}], ' ') FOR i IN range(1, len(w) - {o.SHINGLE - 2})] END, lambda y: md5(y)) AS x FROM w),
+sketch AS MATERIALIZED (SELECT n, unnest(range({o.SKETCHES})) AS place, unnest([{least}]) AS least FROM digests),
+owned AS (SELECT value, count(DISTINCT coalesce('=' || source, '')) AS owners FROM cand GROUP BY 1),
+repos AS (SELECT value, min(c) AS repos FROM (SELECT value, place, count(DISTINCT least) AS c FROM cand JOIN sketch ON cand.n = sketch.n GROUP BY 1, 2) GROUP BY 1),
+known AS (SELECT *, (owners > {o.COPIED_OWNERS} AND repos > {o.COPIED_REPOS}) OR repos > {o.COMMON_REPOS} AS copied FROM owned JOIN repos USING (value)),
+judged AS MATERIALIZED (SELECT cand.*, owners, repos, NOT copied AND {random} AS is_live FROM cand JOIN known USING (value)),
 every AS (SELECT n, kind, a, z, value FROM base UNION ALL SELECT n, 3, a, z, value FROM judged WHERE is_live),
 b AS (SELECT n, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
   string_agg({name}, ',' ORDER BY a, kind) AS t FROM base GROUP BY 1),
 e AS (SELECT n, string_agg({name}, ',' ORDER BY a, kind, z, value) AS t FROM every GROUP BY 1),
-j AS (SELECT n, count(*) FILTER (is_live) AS n_live, count(*) FILTER (owners > 1) AS n_shared FROM judged GROUP BY 1)
+j AS (SELECT n, count(*) FILTER (is_live) AS n_live, count(*) FILTER (owners > 1) AS n_shared FROM judged GROUP BY 1),
+s AS (SELECT n, string_agg(s, ',' ORDER BY s) AS s FROM (SELECT DISTINCT n, substr(sha256(value), 1, 16) || ':' || owners || ':' || repos AS s FROM judged) GROUP BY 1)
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b.t, '')) AS base_sha256,
-  coalesce(e.t, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared
-FROM d LEFT JOIN b ON b.n = d.n LEFT JOIN e ON e.n = d.n LEFT JOIN j ON j.n = d.n"""
+  coalesce(e.t, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared, coalesce(s.s, '') AS holders
+FROM d LEFT JOIN b ON b.n = d.n LEFT JOIN e ON e.n = d.n LEFT JOIN j ON j.n = d.n LEFT JOIN s ON s.n = d.n"""

@@ -1,23 +1,27 @@
 """Secrets by corpus-wide ownership frequency, in DataFrame functions only.
 
 Base patterns give assignments, access keys and hexadecimal runs. Their values,
-and long mixed tokens outside of them, are candidates. Over the whole corpus
-each candidate's hash is counted by distinct texts (the repositories) and
-distinct sources (the owners). A value is a copied example when more than
-``COPIED_OWNERS`` owners and more than ``COPIED_REPOS`` repositories hold it, or
-more than ``COMMON_REPOS`` repositories of whatever owners. Exact copies of a
-text are one repository, so a text mirrored in other sources keeps its values;
-near copies are texts of their own. Other values that look random are live and
+and long random-looking tokens outside of them, are candidates. Over the whole
+corpus each candidate's hash is counted by distinct repositories and distinct
+sources (the owners). A repository is a text with its near copies: each text
+has ``SKETCHES`` minwise shingles, and the number of repositories is the
+smallest number of different ones among the texts that hold the value. Two
+texts with four fifths of their shingles in common thus count as one but once
+in 600 times, and so do any number of copies that differ in a word. A value is
+a copied example when more than ``COPIED_OWNERS`` owners and more than
+``COPIED_REPOS`` repositories hold it, or more than ``COMMON_REPOS``
+repositories of whatever owners. Other values that look random are live and
 added as spans of kind ``live``.
 
 Places are found inside the row: what a pattern matches and what lies between
 matches alternate, so the lengths of both give code-point offsets. Only
 candidates are exploded, and they are counted as distinct (hash, owner) and
-(hash, text) pairs first, so a value that a third of all rows hold is combined before it is
+(hash, sketch) pairs first, so a value that a third of all rows hold is combined before it is
 shuffled.
 
 Null and empty texts have no spans. A null source is an owner of its own. Ids
-are not read. Repeated rows are separate rows; they count as one repository.
+are not read. Repeated rows are separate rows; they count as one repository. A
+text of fewer words than a shingle is one shingle.
 """
 
 from __future__ import annotations
@@ -34,12 +38,20 @@ ACCESS = "AKIA[A-Z0-9]+"
 HEXES = "[0-9a-f]{32,}"  # the runs of 32 and more among all maximal runs
 MIN_VALUE = 8
 MIN_ACCESS = 16
-#: Whole mixed tokens of 24 characters and more are candidates too, as long as they are: runs of
-#: letters, digits, ``_`` and ``-``, and runs with ``/`` and ``+`` among them and ``=`` behind (Base64).
-MIXED = ["[0-9]", "[a-z]", "[A-Z]"]
-LOOSE, LOOSE64 = (
-    f"(?<![{c}])" + "".join(f"(?=[{c}]*{m})" for m in MIXED) + f"[{c}]{{24,}}+{tail}" for c, tail in (("A-Za-z0-9_-", ""), ("A-Za-z0-9/+_-", "={0,2}"))
-)
+#: Loose candidates: maximal runs of letters, digits, ``_`` and ``-``; and those with ``/`` and ``+`` among
+#: them and ``=`` behind, where they have the form of a Base64 key. Inline data after ``;base64,`` is neither.
+MIN_LOOSE = 24
+INLINE = ";base64,"
+DATA = f"{INLINE}[A-Za-z0-9/+_-]+={{0,2}}"
+PART = f"{DATA}|[A-Za-z0-9_-]{{{MIN_LOOSE},}}"
+WHOLE = f"{DATA}|[A-Za-z0-9/+_-]{{{MIN_LOOSE},}}={{0,2}}"
+KEY_FORM = "^[A-Za-z0-9]*[/+=][A-Za-z0-9/+]*={0,2}$"
+#: A random token changes between capitals, small letters, digits and signs at this share of its
+#: places and more (a random Base62 string at 62 percent, names in camel case at about 30).
+CHANGES, OF_PLACES = 3, 8
+CLASSES = ["A-Z", "a-z", "0-9", "^A-Za-z0-9"]
+#: Words of a shingle, and minwise shingles of a text: that many parts of one digest of 32 signs.
+SHINGLE, SKETCHES, SKETCH_SIGNS = 3, 4, 8
 #: A live value has at least this many characters, among them digits and letters, and this many different ones.
 LIVE_LENGTH = 16
 LIVE_DIFFERENT = 8
@@ -86,6 +98,35 @@ def _looks_random(value: Column) -> Column:
     return (F.char_length(value) >= LIVE_LENGTH) & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (different >= LIVE_DIFFERENT)
 
 
+def _changes_often(value: Column) -> Column:
+    """All three classes of characters are there, and many changes between them."""
+    short = value
+    for members, one in zip(CLASSES, ("A", "a", "0", "-")):
+        short = F.regexp_replace(short, f"[{members}]+", one)
+    mixed = value.rlike("[0-9]") & value.rlike("[a-z]") & value.rlike("[A-Z]")
+    return mixed & (OF_PLACES * (F.char_length(short) - 1) >= CHANGES * (F.char_length(value) - 1))
+
+
+def _loose(text: str) -> Column:
+    part = F.filter(_found(text, PART, 3), lambda s: ~s["value"].startswith(INLINE) & _changes_often(s["value"]))
+    form = lambda v: v.rlike(KEY_FORM) & (F.char_length(v) % 4 == 0) & _changes_often(v)
+    return F.concat(part, F.filter(_found(text, WHOLE, 3), lambda s: ~s["value"].startswith(INLINE) & form(s["value"])))
+
+
+def _sketches(text: str) -> Column:
+    """The least parts of the digests of all shingles of a text."""
+    words = F.regexp_extract_all(text, F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))
+    places = F.sequence(F.lit(1), F.size(words) - SHINGLE + 1)
+    shingles = F.transform(places, lambda i: F.array_join(F.slice(words, i, SHINGLE), " "))
+    shingles = F.when(F.size(words) < SHINGLE, F.array(F.array_join(words, " "))).otherwise(shingles)
+    digests = F.transform(shingles, lambda w: F.md5(w.cast("binary")))
+
+    def part(k: int) -> Column:
+        return F.array_min(F.transform(digests, lambda d: F.substring(d, k * SKETCH_SIGNS + 1, SKETCH_SIGNS)))
+
+    return F.array(*map(part, range(SKETCHES)))
+
+
 def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "source", keep: list[str] | None = None) -> DataFrame:
     """Per row of ``docs``: ``row``, a struct of its ``keep`` columns (default: all), base counts, spans and live values.
 
@@ -102,17 +143,18 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "sour
         F.filter(_found("text", ASSIGN, 0, 1), lambda s: F.char_length(s["value"]) >= MIN_VALUE).alias("assign"),
         F.filter(_found("text", ACCESS, 1), lambda s: F.char_length(s["value"]) >= MIN_ACCESS).alias("access"),
         _found("text", HEXES, 2).alias("hex"),
-        F.concat(_found("text", LOOSE, 3), _found("text", LOOSE64, 3)).alias("loose"),
+        _loose("text").alias("loose"),
     )
-    rows = rows.withColumn("candidates", _values(F.concat("assign", "access", "hex", "loose"))).withColumn("repo", F.when(F.size("candidates") > 0, F.sha2("text", 256))).drop("text")
+    rows = rows.withColumn("candidates", _values(F.concat("assign", "access", "hex", "loose"))).withColumn("sketches", F.when(F.size("candidates") > 0, _sketches("text"))).drop("text")
     stage = written(rows.withColumn("base", F.concat("assign", "access", "hex")).withColumn("key", F.monotonically_increasing_id()))
 
-    every = stage.filter(F.size("candidates") > 0).select("key", "repo", "owner", F.explode("candidates").alias("span")).withColumn("hash", F.sha2("span.value", 256))
+    every = stage.filter(F.size("candidates") > 0).select("key", "sketches", "owner", F.explode("candidates").alias("span")).withColumn("hash", F.sha2("span.value", 256))
     owners = every.select("hash", "owner").distinct().groupBy("hash").agg(F.count("*").alias("n_owners"))
-    repos = every.select("hash", "repo").distinct().groupBy("hash").agg(F.count("*").alias("n_repos"))
+    sketched = every.select("hash", F.posexplode("sketches").alias("place", "least")).distinct()
+    repos = sketched.groupBy("hash", "place").agg(F.count("*").alias("n")).groupBy("hash").agg(F.min("n").alias("n_repos"))
     known = owners.join(repos, "hash")
     is_copied = ((F.col("n_owners") > COPIED_OWNERS) & (F.col("n_repos") > COPIED_REPOS)) | (F.col("n_repos") > COMMON_REPOS)
-    verdict = every.join(known, "hash").withColumn("is_copied", is_copied)
+    verdict = every.select("key", "span", "hash").join(known, "hash").withColumn("is_copied", is_copied)
     per_row = verdict.groupBy(F.col("key").alias("_key")).agg(
         F.sort_array(F.collect_list(F.when(~F.col("is_copied"), F.col("span")))).alias("own"),
         F.count(F.when(F.col("n_owners") > 1, 1)).alias("n_shared"),
@@ -131,6 +173,12 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "sour
     return joined.select("row", *(c.alias(n) for n, c in added.items()))
 
 
+def counted_holders(held: str) -> Column:
+    """``hash:owners:repositories`` of each candidate value, sorted and joined by commas; the hash is the first 16 signs of SHA-256."""
+    one = lambda h: F.concat_ws(":", F.substring(F.sha2(h["value"], 256), 1, 16), h["n_owners"].cast("string"), h["n_repos"].cast("string"))
+    return F.array_join(F.array_sort(F.transform(held, one)), ",")
+
+
 def _masked(text: Column, spans: Column, mark: str) -> Column:
     """``text`` with each of the places, sorted by start, replaced by ``mark``; overlapping ones become one mark."""
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("pieces"))

@@ -10,7 +10,7 @@ from spendwatch.llm.catalog import query, table
 from spendwatch.llm.contamination import WINDOW, scan
 from spendwatch.llm.divergence import quality
 from spendwatch.llm.extraction import extract
-from spendwatch.llm.ownership import scan_secrets
+from spendwatch.llm.ownership import counted_holders, scan_secrets
 
 
 @query("op3_decontamination", checks.contamination_sql(WINDOW))
@@ -31,7 +31,7 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_secrets", checks.secrets_sql())
 def secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = scan_secrets(table(spark, folder, "documents"), keep=["doc_id"])
-    return found.select("row.doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_shared")
+    return found.select("row.doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_shared", counted_holders("held").alias("holders"))
 
 
 @query("op1_html_extraction")

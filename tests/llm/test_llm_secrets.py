@@ -1,5 +1,8 @@
 """Secrets: who holds a value, what is redacted, which tokens are candidates."""
 
+import random
+import string
+
 from spendwatch.llm import ownership
 
 SCHEMA = "doc_id int, text string, source string"
@@ -22,7 +25,8 @@ def test_a_mirrored_text_is_one_repository(spark):
 
 
 def test_an_example_common_in_one_source_is_copied(spark):
-    docs = [(i, f"page {i}: {EXAMPLE}", "a") for i in range(ownership.COMMON_REPOS + 1)] + [(-1 - i, f"page {i}: {OWN}", "a") for i in range(ownership.COMMON_REPOS)]
+    page = lambda i, v: " ".join(f"w{i}x{k}" for k in range(6)) + f" then {i} {v} and {i}"
+    docs = [(i, page(i, EXAMPLE), "a") for i in range(ownership.COMMON_REPOS + 1)] + [(-1 - i, page(-i, OWN), "a") for i in range(ownership.COMMON_REPOS)]
     made = scanned(spark, docs)
     assert all(r["live"] == ([OWN] if i < 0 else []) for i, r in made.items())
 
@@ -51,3 +55,39 @@ def test_long_tokens_and_base64_are_candidates(spark):
     assert made[9]["n_live"] == 0
     clean = {r["doc_id"]: r["text"] for r in ownership.redacted(spark.createDataFrame(docs, SCHEMA)).collect()}
     assert all(clean[i] == "é use [secret], then go" for i in range(len(values))) and clean[9] == docs[-1][1]
+
+
+def test_near_copies_are_one_repository(spark):
+    """A key in texts that differ in a word stays live, however many there are and whoever holds them."""
+    words = [f"word{k}" for k in range(80)]
+    docs = [(k, " ".join([*words[:40], f"changed{k}", *words[41:], OWN]), f"s{k % 3}") for k in range(150)]
+    made = scanned(spark, docs + [(900, f"other text altogether with {EXAMPLE} in it", "a"), (901, f"nothing like that but {EXAMPLE} too", "b")])
+    assert all(made[k]["live"] == [OWN] for k in range(150))
+    assert made[900]["live"] == made[901]["live"] == []
+
+
+def _labelled(seed):
+    """Texts with random keys, and with long tokens that are none."""
+    rng = random.Random(seed)
+    letters = string.ascii_letters + string.digits
+    key = lambda n, more="": "".join(rng.choice(letters + more) for _ in range(n))
+    syllable = lambda: rng.choice("bcdfgklmnprst") + rng.choice("aeiou") + rng.choice("lnrst")
+    word = lambda: "".join(syllable() for _ in range(rng.randrange(2, 4)))
+    title = lambda n, by: by.join(word().title() for _ in range(n))
+    secret = [lambda: key(24), lambda: key(40), lambda: "ghp_" + key(36), lambda: "github_pat_" + key(22) + "_" + key(59), lambda: key(40, "/+"), lambda: key(42, "/+") + "==", lambda: f"eyJ{key(33)}.{key(48)}.{key(43)}"]
+    plain = [
+        lambda: f"https://example.org/{title(1, '')}/2024/05/{title(5, '-')}-{rng.randrange(99)}", lambda: title(5, "") + f"{rng.randrange(9)}Impl",
+        lambda: word() + title(3, "") + f"V{rng.randrange(9)}WithContext", lambda: f"data:image/png;base64,{key(1200, '/+')}==", lambda: f"/usr/lib/{title(3, '/')}/v{rng.randrange(9)}/{word()}.so",
+        lambda: f"{title(4, '_')}_{rng.randrange(10**4)}", lambda: "=" * 40, lambda: f"{key(8).lower()}-{word()}-{word()}-{word()}-2024",
+    ]
+    for k in range(400):
+        made = rng.choice(secret if k % 2 else plain)()
+        yield k, f"{title(6, ' ')} {made} {title(4, ' ')}", f"s{k % 7}", k % 2 == 1
+
+
+def test_precision_and_recall_of_loose_candidates(spark):
+    rows = list(_labelled(3))
+    made = scanned(spark, [r[:3] for r in rows])
+    hit = sum(made[k]["n_live"] > 0 for k, *_, is_secret in rows if is_secret)
+    false = sum(made[k]["n_live"] > 0 for k, *_, is_secret in rows if not is_secret)
+    assert hit / 200 >= 0.9 and hit / (hit + false) >= 0.9
