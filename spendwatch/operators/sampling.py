@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Hashable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,11 @@ from spendwatch.functions.hashing import unit_hash
 INTERVALS = 4_096
 RANK_LOCALLY_BELOW = 10_000
 MAX_STRATA = 64
+#: Hash cells for each asked position, parts of a cell that is counted again, rows from which it is, and cells at most.
+CELLS_EACH = 4
+FINER = 64
+CROWDED = 64
+MOST_CELLS = 1 << 48
 
 Cut = tuple[float, object]
 
@@ -216,34 +223,46 @@ def dense_index(df: DataFrame, key: str, seed: object, name: str = "row_index")
 def rows_at_positions(df: DataFrame, key: str, seed: object, positions: DataFrame, name: str = "row_index") -> DataFrame:
     """The rows of ``df`` at the given positions of its hash order, with the position.
 
-    The order is that of :func:`dense_index`, but the table is never shuffled:
-    counts per fine hash cell (at most ``INTERVALS`` squared) say which cell
-    holds a position, and only rows of those cells leave the scan.
-    ``positions`` has one column ``name`` and a size fixed by its caller.
+    The order is that of :func:`dense_index`, but the table is never shuffled.
+    Rows are counted per hash cell, about ``CELLS_EACH`` cells for a position.
+    A cell that holds an asked position and many rows is counted again in
+    ``FINER`` parts, until only rows of small cells leave the scan. The number
+    of cells depends on the number of positions alone, so their counts are
+    searched on the driver; ``positions`` has one column ``name`` and a size
+    fixed by its caller.
     """
     from pyspark.sql import Window
 
-    drawn = df.withColumn("_draw", unit_hash(seed, key)).withColumn("_cell", F.floor(F.col("_draw") * (INTERVALS * INTERVALS)))
-    cells = drawn.groupBy("_cell").agg(F.count("*").alias("_n")).withColumn("_slot", F.floor(F.col("_cell") / INTERVALS))
-    slots = cells.groupBy("_slot").agg(F.sum("_n").alias("_slot_n"))
-    earlier = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)  # at most INTERVALS rows
-    starts = slots.select("_slot", F.coalesce(F.sum("_slot_n").over(earlier), F.lit(0)).alias("_slot_first"))
-    before = Window.partitionBy("_slot").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    placed = cells.join(F.broadcast(starts), "_slot").select(
-        "_slot", "_cell", (F.col("_slot_first") + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_first")
-    )
-    edges = starts.orderBy("_slot").collect()  # at most INTERVALS rows
-    bounds = F.array(*[F.lit(r["_slot_first"]) for r in edges])
-    numbers = F.array(*[F.lit(r["_slot"]) for r in edges])
-    # the last slot that begins at or before the position
-    slot_of = F.element_at(numbers, F.size(F.filter(bounds, lambda b: b <= F.col(name))))
-    asked = positions.select(F.col(name).cast("bigint")).distinct().select(slot_of.alias("_slot"), F.col(name).alias("_first"), F.lit(None).cast("bigint").alias("_cell"), F.lit(True).alias("_asked"))
-    both = placed.withColumn("_asked", F.lit(False)).unionByName(asked)
-    upto = Window.partitionBy("_slot").orderBy("_first", "_asked").rowsBetween(Window.unboundedPreceding, 0)
-    found = both.select(
-        "_asked", F.col("_first").alias(name), F.last("_cell", True).over(upto).alias("_in"), F.last(F.when(~F.col("_asked"), F.col("_first")), True).over(upto).alias("_from")
-    ).filter("_asked").select(name, "_in", (F.col(name) - F.col("_from")).alias("_turn"))
-    wanted = F.broadcast(found)  # no more rows than positions
-    inside = drawn.join(F.broadcast(found.select(F.col("_in").alias("_cell")).distinct()), "_cell", "left_semi")
+    spark = df.sparkSession
+    asked = np.unique(positions.select(F.col(name).cast("bigint").alias("at")).toPandas()["at"].to_numpy(dtype=np.int64))
+    drawn = df.withColumn("_draw", unit_hash(seed, key))
+    cells = 1 << max(1, CELLS_EACH * len(asked) - 1).bit_length()
+
+    def counted(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cells in order, the rows before each, and the rows in each."""
+        found = rows.groupBy(F.floor(F.col("_draw") * cells).alias("cell")).agg(F.count("*").alias("n")).toPandas().sort_values("cell")
+        size = found["n"].to_numpy(dtype=np.int64)
+        return found["cell"].to_numpy(dtype=np.int64), np.cumsum(size) - size, size
+
+    def within(cell: np.ndarray) -> DataFrame:
+        wanted = spark.createDataFrame(pd.DataFrame({"_in": np.unique(cell)}), "_in bigint")
+        return drawn.join(F.broadcast(wanted), F.floor(F.col("_draw") * cells) == F.col("_in"), "left_semi")
+
+    cell, before, size = counted(drawn)
+    asked = asked[(asked >= 0) & (asked < size.sum())]
+    if not len(asked):
+        return df.limit(0).withColumn(name, F.lit(0).cast("bigint"))
+    at = np.searchsorted(before, asked, side="right") - 1
+    turn = asked - before[at]
+    while size[at].max() > CROWDED and cells * FINER <= MOST_CELLS:
+        parent, rows = cell[at], within(cell[at])
+        cells *= FINER
+        cell, before, size = counted(rows)
+        place = before[np.searchsorted(cell, parent * FINER)] + turn
+        at = np.searchsorted(before, place, side="right") - 1
+        turn = place - before[at]
+
+    found = spark.createDataFrame(pd.DataFrame({"_in": cell[at], "_turn": turn, name: asked}), f"_in bigint, _turn bigint, {name} bigint")
+    inside = within(cell[at]).withColumn("_cell", F.floor(F.col("_draw") * cells))
     ranked = inside.withColumn("_rank", F.row_number().over(Window.partitionBy("_cell").orderBy("_draw", key)) - 1)
-    return ranked.join(wanted, (F.col("_cell") == F.col("_in")) & (F.col("_rank") == F.col("_turn"))).select(*df.columns, name)
+    return ranked.join(F.broadcast(found), (F.col("_cell") == F.col("_in")) & (F.col("_rank") == F.col("_turn"))).select(*df.columns, name)

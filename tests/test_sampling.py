@@ -68,6 +68,19 @@ def test_dense_index_is_a_permutation(spark):
     assert sorted(got) == list(range(3_000))
 
 
+@pytest.mark.parametrize("crowded", [64, 3])
+def test_rows_at_positions_are_those_of_the_index(spark, monkeypatch, crowded):
+    monkeypatch.setattr(sampling, "CROWDED", crowded)
+    rows = spark.range(20_000).select("id", (F.col("id") * 2).alias("value"))
+    places = [0, 1, 5, 5, 17, 4_000, 19_998, 19_999, 20_000, 10**12]
+    wanted = {r["row_index"]: r["id"] for r in sampling.dense_index(rows, "id", "p").collect() if r["row_index"] in places}
+    for parts in (1, 13):
+        got = sampling.rows_at_positions(rows.repartition(parts), "id", "p", spark.createDataFrame([(p,) for p in places], "row_index bigint"))
+        assert {r["row_index"]: r["id"] for r in got.collect()} == wanted and got.count() == len(wanted) == 7
+    none = sampling.rows_at_positions(rows.limit(0), "id", "p", spark.createDataFrame([(1,)], "row_index bigint"))
+    assert none.collect() == [] and none.columns == ["id", "value", "row_index"]
+
+
 def test_folds_cover_all_rows(spark):
     sizes = [r["count"] for r in sampling.folds(spark.range(5_000), "id").groupBy("fold").count().collect()]
     assert len(sizes) == 5 and sum(sizes) == 5_000 and min(sizes) > 900
