@@ -220,7 +220,7 @@ def dense_index(df: DataFrame, key: str, seed: object, name: str = "row_index")
     )
 
 
-def rows_at_positions(df: DataFrame, key: str, seed: object, positions: DataFrame, name: str = "row_index") -> DataFrame:
+def rows_at_positions(df: DataFrame, key: str, seed: object, positions: DataFrame, name: str = "row_index", fold: str | None = None) -> DataFrame:
     """The rows of ``df`` at the given positions of its hash order, with the position.
 
     The order is that of :func:`dense_index`, but the table is never shuffled.
@@ -230,39 +230,64 @@ def rows_at_positions(df: DataFrame, key: str, seed: object, positions: DataFram
     of cells depends on the number of positions alone, so their counts are
     searched on the driver; ``positions`` has one column ``name`` and a size
     fixed by its caller.
+
+    With ``fold``, ``positions`` also has ``part``: a position counts only rows
+    whose ``fold`` differs from it, and a row is returned for each such part
+    that asks for it. All parts share the passes over the table.
     """
     from pyspark.sql import Window
 
     spark = df.sparkSession
-    asked = np.unique(positions.select(F.col(name).cast("bigint").alias("at")).toPandas()["at"].to_numpy(dtype=np.int64))
-    drawn = df.withColumn("_draw", unit_hash(seed, key))
+    part_of = F.col("part") if fold else F.lit(0)
+    held = positions.select(part_of.cast("int").alias("part"), F.col(name).cast("bigint").alias("at")).distinct().toPandas()
+    held = held[held["at"] >= 0].sort_values(["part", "at"])
+    parts, which = np.unique(held["part"].to_numpy(dtype=np.int64), return_inverse=True)
+    asked = held["at"].to_numpy(dtype=np.int64)
+    drawn = df.withColumn("_draw", unit_hash(seed, key)).withColumn("_fold", F.col(fold) if fold else F.lit(-1))
     cells = 1 << max(1, CELLS_EACH * len(asked) - 1).bit_length()
 
     def counted(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Cells in order, the rows before each, and the rows in each."""
-        found = rows.groupBy(F.floor(F.col("_draw") * cells).alias("cell")).agg(F.count("*").alias("n")).toPandas().sort_values("cell")
-        size = found["n"].to_numpy(dtype=np.int64)
-        return found["cell"].to_numpy(dtype=np.int64), np.cumsum(size) - size, size
+        """Cells in order; for each part the rows before each cell, and in it."""
+        found = rows.groupBy(F.floor(F.col("_draw") * cells).alias("cell"), F.col("_fold").alias("fold")).agg(F.count("*").alias("n")).toPandas()
+        cell, at = np.unique(found["cell"].to_numpy(dtype=np.int64), return_inverse=True)
+        n, left_out = found["n"].to_numpy(dtype=np.int64), found["fold"].to_numpy(dtype=np.int64)
+        size = np.zeros((len(cell), len(parts)), np.int64)
+        for k, part in enumerate(parts):
+            np.add.at(size[:, k], at, np.where(left_out == part, 0, n) if fold else n)
+        return cell, np.cumsum(size, axis=0) - size, size
+
+    def placed(before: np.ndarray, place: np.ndarray) -> np.ndarray:
+        at = np.zeros(len(place), np.int64)
+        for k in range(len(parts)):
+            at[which == k] = np.searchsorted(before[:, k], place[which == k], side="right") - 1
+        return at
 
     def within(cell: np.ndarray) -> DataFrame:
         wanted = spark.createDataFrame(pd.DataFrame({"_in": np.unique(cell)}), "_in bigint")
         return drawn.join(F.broadcast(wanted), F.floor(F.col("_draw") * cells) == F.col("_in"), "left_semi")
 
     cell, before, size = counted(drawn)
-    asked = asked[(asked >= 0) & (asked < size.sum())]
+    there = asked < size.sum(axis=0)[which]
+    asked, which = asked[there], which[there]
+    columns = [*df.columns, *(["part"] if fold else []), name]
     if not len(asked):
-        return df.limit(0).withColumn(name, F.lit(0).cast("bigint"))
-    at = np.searchsorted(before, asked, side="right") - 1
-    turn = asked - before[at]
-    while size[at].max() > CROWDED and cells * FINER <= MOST_CELLS:
+        return df.limit(0).withColumn("part", F.lit(0)).withColumn(name, F.lit(0).cast("bigint")).select(*columns)
+    at = placed(before, asked)
+    turn = asked - before[at, which]
+    while size[at, which].max() > CROWDED and cells * FINER <= MOST_CELLS:
         parent, rows = cell[at], within(cell[at])
         cells *= FINER
         cell, before, size = counted(rows)
-        place = before[np.searchsorted(cell, parent * FINER)] + turn
-        at = np.searchsorted(before, place, side="right") - 1
-        turn = place - before[at]
-
-    found = spark.createDataFrame(pd.DataFrame({"_in": cell[at], "_turn": turn, name: asked}), f"_in bigint, _turn bigint, {name} bigint")
-    inside = within(cell[at]).withColumn("_cell", F.floor(F.col("_draw") * cells))
-    ranked = inside.withColumn("_rank", F.row_number().over(Window.partitionBy("_cell").orderBy("_draw", key)) - 1)
-    return ranked.join(F.broadcast(found), (F.col("_cell") == F.col("_in")) & (F.col("_rank") == F.col("_turn"))).select(*df.columns, name)
+        place = before[np.searchsorted(cell, parent * FINER), which] + turn
+        at = placed(before, place)
+        turn = place - before[at, which]
+
+    wanted = pd.DataFrame({"_in": cell[at], "_for": parts[which], "_turn": turn, name: asked})
+    found = spark.createDataFrame(wanted, f"_in bigint, _for int, _turn bigint, {name} bigint")
+    every = F.array(*[F.lit(int(p)) for p in parts])
+    inside = within(cell[at]).withColumn("_cell", F.floor(F.col("_draw") * cells)).withColumn("part", F.explode(every))
+    if fold:
+        inside = inside.filter("part <> _fold")
+    ranked = inside.withColumn("_rank", F.row_number().over(Window.partitionBy("_cell", "part").orderBy("_draw", key)) - 1)
+    same = (F.col("_cell") == F.col("_in")) & (F.col("part") == F.col("_for")) & (F.col("_rank") == F.col("_turn"))
+    return ranked.join(F.broadcast(found), same).select(*columns)

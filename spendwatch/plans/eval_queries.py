@@ -174,15 +174,11 @@ def davies_bouldin(spark: SparkSession, folder: str) -> DataFrame:
     return quality.davies_bouldin(vectors(spark, folder), VECTOR)
 
 
-_SQL_SAMPLE = f"""sampled AS (SELECT vec_id, CASE WHEN label < 2 THEN -1 ELSE 1 END AS k, embedding FROM embeddings
-    QUALIFY row_number() OVER (ORDER BY {sql_draw(42, "vec_id")}, vec_id) <= 5000)"""
-
-
 @query(
     "silhouette_euclid",
-    f"""WITH {_SQL_SAMPLE}, p AS (SELECT a.vec_id, a.k, b.k AS other,
+    """WITH s AS (SELECT vec_id, CASE WHEN label < 2 THEN -1 ELSE 1 END AS k, embedding FROM embeddings), p AS (SELECT a.vec_id, a.k, b.k AS other,
         sum(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[])) AS total, count(*) AS n
-        FROM sampled a, sampled b GROUP BY 1, 2, 3),
+        FROM s a, s b GROUP BY 1, 2, 3),
     i AS (SELECT vec_id, max(CASE WHEN k = other THEN CASE WHEN n > 1 THEN total / (n - 1) END END) AS a,
           min(CASE WHEN k <> other THEN total / n END) AS b FROM p GROUP BY 1)
     SELECT count(*) AS n_rows, round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 4) AS score FROM i""",

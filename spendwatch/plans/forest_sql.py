@@ -23,6 +23,7 @@ def grow(
     bootstrap: bool,
     sub_sample: int,
     seed: object = 42,
+    index_seed: object | None = None,
 ) -> str:
     """CTEs ending in ``{name}_nodes``, from ``source`` with ``row_key`` and the features."""
     d = len(features)
@@ -31,7 +32,7 @@ def grow(
     xs = ", ".join(f'"{f}"::FLOAT::DOUBLE' for f in features)
     parts = [
         f"""{name}_idx AS MATERIALIZED (SELECT [{xs}] AS xs, count(*) OVER () AS total,
-            row_number() OVER (ORDER BY {sql_draw(f"{seed}:index", "row_key")}, row_key) - 1 AS row_index FROM {source})"""
+            row_number() OVER (ORDER BY {sql_draw(f"{seed if index_seed is None else index_seed}:index", "row_key")}, row_key) - 1 AS row_index FROM {source})"""
     ]
     slots = sub_sample if bootstrap else 4 * sub_sample
     tried = f"""(SELECT tree, slot, floor({sql_draw(f"{seed}:draw", "tree", "slot")} * (SELECT max(total) FROM {name}_idx)) AS row_index

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendwatch.functions import decisions
-from spendwatch.operators import encode, features, iforest, quality, scoring
+from spendwatch.operators import encode, features, forests, iforest, quality, scoring
 from spendwatch.operators.quantiles import exact_quantiles
+from spendwatch.operators.sampling import folds
 from spendwatch.plans import forest_sql
 from spendwatch.plans.catalog import query
 from spendwatch.plans.datasets import SQL_FEATURED, featured, sql_draw, table
@@ -262,24 +263,59 @@ def iforest_grid(spark: SparkSession, folder: str) -> DataFrame:
     categories = encode.fit_categories(rows, features.CATEGORICAL_COLUMNS)
     matrix = scoring.prepare_matrix(rows, "id_transaction", categories)
     names = scoring.matrix_features(matrix)
-    out = None
-    for size, trees in _GRID:
-        forest = iforest.fit_forest(matrix, "row_key", names, trees, max(_GRID_CONTAMINATION), sub_sample=size)
-        scores = iforest.with_scores(matrix, forest).select("score")
-        cuts = {r["prob"]: r["quantile"] for r in exact_quantiles(scores, ["score"], _GRID_CONTAMINATION).collect()}
-        counted = scores.agg(
-            F.count("*").alias("total_samples"),
-            *[F.count_if(F.col("score") < cuts[c]).alias(f"a{i}") for i, c in enumerate(_GRID_CONTAMINATION)],
-        )
-        levels = F.explode(
-            F.array(*[F.struct(F.lit(c).alias("contamination"), F.col(f"a{i}").alias("anomalies_detected"))
-                      for i, c in enumerate(_GRID_CONTAMINATION)])
-        ).alias("level")
-        rows = counted.select(
-            F.lit(size).alias("sub_sample"), F.lit(trees).alias("trees"), "total_samples", levels
-        ).select("sub_sample", "trees", "level.contamination", "total_samples", "level.anomalies_detected")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    specs = [forests.Spec(trees, size) for size, trees in _GRID]
+    nodes, used = forests.grow_all(matrix, "row_key", names, specs)
+    fitted = forests.forests_of(nodes, names, specs, used)
+    # every forest walks each row in one pass; all contamination levels are read from the written scores
+    columns = [f"s{m}" for m in range(len(specs))]
+    scores = cut_lineage(forests.with_all_scores(matrix, fitted).select(*[F.element_at("scores", m + 1).alias(c) for m, c in enumerate(columns)]))
+    cuts = {(r["column_name"], r["prob"]): r["quantile"] for r in exact_quantiles(scores, columns, _GRID_CONTAMINATION).collect()}
+    points = [(c, size, trees, share) for c, (size, trees) in zip(columns, _GRID) for share in _GRID_CONTAMINATION]
+    counted = scores.agg(F.count("*").alias("n"), *[F.count_if(F.col(c) < cuts[c, share]).alias(f"a{k}") for k, (c, _, _, share) in enumerate(points)])
+    each = F.explode(
+        F.array(*[F.struct(F.lit(size).alias("sub_sample"), F.lit(trees).alias("trees"), F.lit(share).alias("contamination"),
+                           F.col("n").alias("total_samples"), F.col(f"a{k}").alias("anomalies_detected"))
+                  for k, (_, size, trees, share) in enumerate(points)])
+    )
+    return counted.select(each.alias("r")).select("r.*")
+
+
+_FOLDS, _FOLD_TREES, _FOLD_ROWS, _FOLD_CONTAMINATION = 5, 24, 64, 0.1
+
+
+def _cv_sql() -> str:
+    marked = f"""marked AS MATERIALIZED (SELECT plain.*, e.event_type = 'error' AS actual,
+        floor({sql_draw(42, "row_key")} * {_FOLDS})::INTEGER AS fold FROM plain JOIN events e ON row_key = e.event_id)"""
+    ctes, outs = [f"WITH {SQL_MATRIX}", marked], []
+    for f in range(_FOLDS):
+        ctes.append(f"seen{f} AS (SELECT * FROM marked WHERE fold <> {f})")
+        ctes.append(forest_sql.grow(f"c{f}", f"seen{f}", FEATURES, _FOLD_TREES, 1.0, False, _FOLD_ROWS, f"42:{f}", 42))
+        ctes.append(forest_sql.walk(f"c{f}", "marked", FEATURES, _FOLD_TREES, _FOLD_ROWS, _FOLD_CONTAMINATION, f"fold <> {f}"))
+        outs.append(f"""SELECT {f} AS fold, count(*) AS n, (SELECT count(*) FROM seen{f}) AS n_train, count_if(s.prediction = -1) AS flagged,
+            round(count_if(s.prediction = -1 AND actual) / nullif(count_if(s.prediction = -1), 0), 6) AS precision,
+            round(count_if(s.prediction = -1 AND actual) / nullif(count_if(actual), 0), 6) AS recall, round(avg(s.score), 6) AS mean_score
+            FROM c{f}_scored s JOIN marked USING (row_key) WHERE marked.fold = {f}""")
+    return ",\n".join(ctes) + " " + " UNION ALL ".join(outs)
+
+
+@query("cv_forest", _cv_sql())
+def cv_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """Five folds, a forest fitted without each, every row judged by the forest that never saw it."""
+    rows = cut_lineage(featured(spark, folder))
+    categories = encode.fit_categories(rows, features.CATEGORICAL_COLUMNS)
+    matrix = scoring.prepare_matrix(rows, "id_transaction", categories)
+    names = scoring.matrix_features(matrix)
+    marked = cut_lineage(folds(matrix, "row_key", _FOLDS))
+    scored = forests.cross_validated(marked, "row_key", names, _FOLDS, _FOLD_CONTAMINATION, trees=_FOLD_TREES, sub_sample=_FOLD_ROWS)
+    actual = table(spark, folder, "events").select(F.col("event_id").alias("row_key"), (F.col("event_type") == "error").alias("actual"))
+    flagged = F.col("prediction") == decisions.ANOMALY
+    by_fold = scored.select("row_key", "fold", "score", "prediction").join(actual, "row_key").groupBy("fold").agg(
+        F.count("*").alias("n"), F.count_if(flagged).alias("flagged"),
+        F.round(F.try_divide(F.count_if(flagged & F.col("actual")), F.count_if(flagged)), 6).alias("precision"),
+        F.round(F.try_divide(F.count_if(flagged & F.col("actual")), F.count_if("actual")), 6).alias("recall"),
+        F.round(F.avg("score"), 6).alias("mean_score"),
+    )
+    return by_fold.withColumn("n_train", F.lit(marked.count()) - F.col("n"))
 
 
 def _decisions(spark: SparkSession, folder: str) -> DataFrame:
