@@ -26,6 +26,8 @@ text of fewer words than a shingle is one shingle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,18 +115,24 @@ def _loose(text: str) -> Column:
     return F.concat(part, F.filter(_found(text, WHOLE, 3), lambda s: ~s["value"].startswith(INLINE) & form(s["value"])))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, although a lambda reads it for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _sketches(text: str) -> Column:
     """The least parts of the digests of all shingles of a text."""
-    words = F.regexp_extract_all(text, F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))
-    places = F.sequence(F.lit(1), F.size(words) - SHINGLE + 1)
-    shingles = F.transform(places, lambda i: F.array_join(F.slice(words, i, SHINGLE), " "))
-    shingles = F.when(F.size(words) < SHINGLE, F.array(F.array_join(words, " "))).otherwise(shingles)
-    digests = F.transform(shingles, lambda w: F.md5(w.cast("binary")))
 
-    def part(k: int) -> Column:
-        return F.array_min(F.transform(digests, lambda d: F.substring(d, k * SKETCH_SIGNS + 1, SKETCH_SIGNS)))
+    def shingles(words: Column) -> Column:
+        several = F.transform(F.sequence(F.lit(1), F.size(words) - SHINGLE + 1), lambda i: F.md5(F.array_join(F.slice(words, i, SHINGLE), " ").cast("binary")))
+        return F.when(F.size(words) < SHINGLE, F.array(F.md5(F.array_join(words, " ").cast("binary")))).otherwise(several)
+
+    def least(digests: Column) -> Column:
+        part = lambda k: F.array_min(F.transform(digests, lambda d: F.substring(d, k * SKETCH_SIGNS + 1, SKETCH_SIGNS)))
+        return F.array(*map(part, range(SKETCHES)))
 
-    return F.array(*map(part, range(SKETCHES)))
+    words = F.regexp_extract_all(text, F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))
+    return _once(_once(words, shingles), least)
 
 
 def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "source", keep: list[str] | None = None) -> DataFrame:
