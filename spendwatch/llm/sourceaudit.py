@@ -34,7 +34,7 @@ from spendwatch.llm.textblocks import LOWER, blocks, byte_class, joined, runs
 #: Bytes of terms ``[^\x00-\x40\x5B-\x60\x7B-\x7F]+`` after A-Z became a-z.
 TERM = byte_class([(0x61, 0x7A), (0x80, 0xFF)])
 #: Text bytes whose words are sorted at once.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 12 << 20
 #: Documents of a language that a kept term is in, and ranks of the term report.
 LEAST_DOCUMENTS, TOP = 3, 200
 UNIT = 1_000_000_000
@@ -81,7 +81,8 @@ def _groups(docs: DataFrame, lang_col: str, source_col: str) -> list:
 
 def _share(count: str, total: str) -> F.Column:
     """One plus the floor of the smoothed share; wide numbers only where they are needed."""
-    return F.expr(f"1 + (CAST({UNIT} AS DECIMAL(10,0)) * CAST({count} + 1 AS DECIMAL(20,0))) div CAST({total} AS DECIMAL(20,0))")
+    wide = f"(CAST({UNIT} AS DECIMAL(10,0)) * CAST({count} + 1 AS DECIMAL(20,0))) div CAST({total} AS DECIMAL(20,0))"
+    return F.expr(f"1 + CASE WHEN {count} < {(1 << 62) // UNIT} THEN ({UNIT}L * ({count} + 1)) div ({total}) ELSE {wide} END")
 
 
 def _gap(p: str, q: str) -> str:
@@ -103,8 +104,8 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     # without kept terms a share is never read, only must not fail
     groups = written(groups.withColumn("zero", F.when(F.col("terms") > 0, _share("0L", "greatest(total, 1L)")).otherwise(F.lit(1).cast("long"))))
 
-    shares = kept.join(groups.select("lang", "source", "total", "zero", "terms", "lang_n"), ["lang", "source"])
-    shares = shares.withColumn("p", _share("n", "total"))
+    shares = kept.join(groups.select("lang", "source", "total", "zero"), ["lang", "source"])
+    shares = written(shares.select("lang", "term", "source", _share("n", "total").alias("p"), "zero"))
 
     language = terms.join(by_lang, "lang").select("lang", "term", _share("n", "lang_n + terms").alias("q"))
     telling = shares.join(language, ["lang", "term"]).filter("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), F.expr(_gap("p", "q")).alias("value"))
