@@ -16,7 +16,7 @@ STEP = 8
 #: Masks that keep all but the last 0 to 8 bytes of a key.
 KEPT = np.array([(1 << 64) - (1 << 8 * k) for k in range(STEP + 1)], np.uint64)
 #: Slices up to this size are finished together.
-SMALL = 4_096
+SMALL = 32_768
 #: Keys looked at for a pivot.
 PROBES = 31
 
@@ -35,23 +35,43 @@ def keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return value
 
 
-def _finish(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: np.ndarray, slices: list[tuple[int, int, int]]) -> None:
-    """Sort the given slices of ``order`` in place, all at once, eight bytes further in each round."""
-    at = np.concatenate([np.arange(low, high) for low, high, _ in slices])
-    run = np.repeat(np.arange(len(slices)), [high - low for low, high, _ in slices])
-    depth = np.repeat([d for _, _, d in slices], [high - low for low, high, _ in slices])
-    while len(at):
-        pointer = order[at]
-        key = keys(data, np.minimum(starts[pointer] + depth, ends[pointer]), ends[pointer])
-        by = np.lexsort((key, run))
-        order[at] = pointer[by]
-        pointer, key, depth = pointer[by], key[by], depth[by] + STEP
+Slice = tuple[int, int, int, np.ndarray | None]
+
+
+def _key_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: np.ndarray, one: Slice) -> np.ndarray:
+    """The keys of a slice, as they were parted or read anew."""
+    low, high, depth, key = one
+    part = order[low:high]
+    return keys(data, np.minimum(starts[part] + depth, ends[part]), ends[part]) if key is None else key
+
+
+def _finish(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: np.ndarray, slices: list[Slice]) -> None:
+    """Sort small slices of ``order`` in place: each by its key, then all runs of equal keys at once, eight bytes further in each round."""
+    sorted_keys = []
+    for one in slices:
+        key = _key_of(data, starts, ends, order, one)
+        by = np.argsort(key)
+        order[one[0] : one[1]] = order[one[0] : one[1]][by]
+        sorted_keys.append(key[by])
+    lengths = [high - low for low, high, _, _ in slices]
+    at = np.concatenate([np.arange(low, high) for low, high, _, _ in slices])
+    run, depth = np.repeat(np.arange(len(slices)), lengths), np.repeat([d + STEP for _, _, d, _ in slices], lengths)
+    pointer, key = order[at], np.concatenate(sorted_keys)
+    while True:
         fresh = np.ones(len(at), bool)
         fresh[1:] = (run[1:] != run[:-1]) | (key[1:] != key[:-1])
         group = np.cumsum(fresh) - 1
         # a run goes on where it has several pointers and a longest word beyond this key
-        open_ = (np.bincount(group)[group] > 1) & (np.maximum.reduceat(ends[pointer] - starts[pointer], np.flatnonzero(fresh))[group] > depth)
-        at, run, depth = at[open_], group[open_], depth[open_]
+        longest = np.maximum.reduceat(ends[pointer] - starts[pointer], np.flatnonzero(fresh))
+        further = (np.bincount(group)[group] > 1) & (longest[group] > depth)
+        at, run, depth = at[further], group[further], depth[further]
+        if not len(at):
+            return
+        pointer = order[at]
+        key = keys(data, np.minimum(starts[pointer] + depth, ends[pointer]), ends[pointer])
+        by = np.lexsort((key, run))
+        pointer, key, depth = pointer[by], key[by], depth[by] + STEP
+        order[at] = pointer
 
 
 def sorted_pointers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -60,24 +80,26 @@ def sorted_pointers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> n
     if not len(starts):
         return order
     data = np.concatenate((data, np.zeros(STEP, np.uint8)))
-    todo, small = [(0, len(order), 0)], []
+    todo: list[Slice] = [(0, len(order), 0, None)]
+    small: list[Slice] = []
     while todo:
-        low, high, depth = todo.pop()
+        one = todo.pop()
+        low, high, depth, _ = one
         if high - low <= SMALL:
             if high - low > 1:
-                small.append((low, high, depth))
+                small.append(one)
             continue
-        part = order[low:high]
-        key = keys(data, np.minimum(starts[part] + depth, ends[part]), ends[part])
+        part, key = order[low:high], _key_of(data, starts, ends, order, one)
         probes = np.sort(key[:: max(1, len(key) // PROBES)])
         pivot = probes[len(probes) // 2]
         less, more = key < pivot, key > pivot
         same = part[~(less | more)]
-        one, two = low + int(less.sum()), low + int(less.sum()) + len(same)
+        first = low + int(less.sum())
+        second = first + len(same)
         order[low:high] = np.concatenate((part[less], same, part[more]))
-        todo += [(low, one, depth), (two, high, depth)]
+        todo += [(low, first, depth, key[less]), (second, high, depth, key[more])]
         if (ends[same] - starts[same] > depth + STEP).any():
-            todo.append((one, two, depth + STEP))
+            todo.append((first, second, depth + STEP, None))
     if small:
         _finish(data, starts, ends, order, small)
     return order

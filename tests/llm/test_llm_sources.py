@@ -17,7 +17,7 @@ WORD = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-@pytest.mark.parametrize("small", [2, 4096])
+@pytest.mark.parametrize("small", [2, 300, 32_768])
 def test_pointers_come_out_in_byte_order(small, monkeypatch):
     monkeypatch.setattr(pointersort, "SMALL", small)
     rng = random.Random(small)
