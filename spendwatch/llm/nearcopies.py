@@ -38,6 +38,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -232,15 +233,13 @@ def _blocks_needed() -> F.Column:
     return F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_CLASSES))
 
 
-def chunks(leaves: DataFrame, crowd: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``cell, doc``: members of larger leaves dealt to chunks, with leaders from the leaf's ``crowd`` in each."""
-    weighed = leaves.join(sizes, "doc")
+def chunks(members: DataFrame, heads: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``cell, doc``: ``members`` of larger leaves dealt to chunks, with the leaf's ``heads`` in each."""
+    weighed = members.join(sizes, "doc")
     leaf = weighed.groupBy(F.col("key").alias("_k")).agg(_blocks_needed().alias("_b"))
     dealt = weighed.join(leaf, F.col("key") == F.col("_k")).withColumn("_mine", F.pmod(F.xxhash64("doc", "key"), F.col("_b")))
-    # leaders: the smallest class of each of a few parts of the crowd, mostly the same classes in all leaves that hold it
-    part = F.pmod(F.xxhash64("doc", F.lit("leader")), F.lit(LEADERS))
-    leaders = crowd.groupBy("key", part.alias("_part")).agg(F.min("doc").alias("doc")).join(leaf, F.col("key") == F.col("_k"))
-    everywhere = leaders.select("key", "doc", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_b") - 1)).alias("_mine"))
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_b") - 1)).alias("_mine")
+    everywhere = heads.select("key", "doc").join(leaf, F.col("key") == F.col("_k")).select("key", "doc", each)
     both = dealt.select("key", "doc", "_mine").union(everywhere).distinct()
     return both.select(F.md5(F.concat_ws(":", "key", "_mine").cast("binary")).alias("cell"), "doc")
 
@@ -252,20 +251,39 @@ def open_cells(cells: DataFrame, cell: str, labels: DataFrame) -> DataFrame:
     return named.join(several, F.col(cell) == F.col("_c"), "left_semi")
 
 
-def told_apart(leaves: DataFrame) -> DataFrame:
-    """``key, doc, label`` with ``_out``: whether the class is outside its leaf's largest label."""
-    sized = leaves.groupBy("key", "label").agg(F.count("*").alias("members"))
-    largest = sized.groupBy("key").agg(F.max(F.struct("members", "label"))["label"].alias("_most"))
-    return leaves.select("key", "doc", "label").join(largest, "key").withColumn("_out", F.col("label") != F.col("_most"))
+def open_leaves(named: DataFrame) -> DataFrame:
+    """``key, _most``: the leaves of ``key, doc, label`` that have several labels, and the label of most members."""
+    sized = named.groupBy("key", "label").agg(F.count("*").alias("members"))
+    most = sized.groupBy("key").agg(F.max(F.struct("members", "label"))["label"].alias("_most"), F.count("*").alias("_labels"))
+    return most.filter("_labels > 1").select(F.col("key").alias("_k"), "_most")
+
+
+def labelled(leaves: DataFrame, labels: DataFrame) -> DataFrame:
+    """``key, doc, label``; a class without a label is its own."""
+    return leaves.select("key", "doc").join(labels, "doc", "left").select("key", "doc", F.coalesce("label", "doc").alias("label"))
+
+
+def outside(named: DataFrame, leaves: DataFrame) -> DataFrame:
+    """``key, doc``: the classes outside the largest label of their open leaf."""
+    return named.join(leaves, (F.col("key") == F.col("_k")) & (F.col("label") != F.col("_most"))).select("key", "doc")
+
+
+def leaders(named: DataFrame) -> DataFrame:
+    """``key, label, doc``: the smallest class of each of a few parts of a leaf's label, mostly the same in all leaves that hold it."""
+    part = F.pmod(F.xxhash64("doc", F.lit("leader")), F.lit(LEADERS))
+    return named.groupBy("key", "label", part.alias("_part")).agg(F.min("doc").alias("doc")).select("key", "label", "doc")
 
 
-def outsiders(leaves: DataFrame, marks: DataFrame, agree: int) -> DataFrame:
-    """``cell, doc``: classes of a leaf that agree in ``agree`` tokens with one of another label, by blocks.
+def outsiders(named: DataFrame, leaves: DataFrame, marks: DataFrame, agree: int) -> DataFrame:
+    """``cell, doc``: classes of an open leaf that agree in ``agree`` tokens with one of another label, by blocks.
 
-    ``leaves`` has ``key, doc, label``. Of any two labels one is not the leaf's
-    largest, so only members outside the largest meet all members.
+    Of any two labels one is not the leaf's largest, so only members outside
+    the largest meet all members. Two classes that share several leaves meet in
+    the one with the smallest key only.
     """
-    told = told_apart(leaves).join(marks, "doc")
+    keys = named.join(leaves, F.col("key") == F.col("_k"), "left_semi").groupBy("doc").agg(F.collect_list("key").alias("keys"))  # leaves of a class: as many as the trees allow
+    told = named.join(leaves, F.col("key") == F.col("_k")).drop("_k").withColumn("_out", F.col("label") != F.col("_most")).join(marks, "doc").join(keys, "doc")
+    told = told.withColumn("keys", F.filter("keys", lambda k: k < F.col("key")))
     out_shingles, out_classes = F.sum(F.when(F.col("_out"), F.col("n_shingles"))), F.sum(F.col("_out").cast("int"))
     few = F.greatest(F.ceil(out_shingles / BLOCK_SHINGLES), F.ceil(out_classes / BLOCK_CLASSES))
     needed = told.groupBy(F.col("key").alias("_k")).agg(_blocks_needed().alias("_all"), few.alias("_few"))
@@ -275,9 +293,9 @@ def outsiders(leaves: DataFrame, marks: DataFrame, agree: int) -> DataFrame:
         mine, others = ("_few", "_all") if left else ("_all", "_few")
         own = F.pmod(F.xxhash64("doc", F.lit(mine)), F.col(mine))
         other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(others) - 1))
-        rows = (dealt.filter("_out") if left else dealt).select("key", "doc", "label", "bytes", own.alias("_o"), other.alias("_p"))
+        rows = (dealt.filter("_out") if left else dealt).select("key", "doc", "label", "bytes", "keys", own.alias("_o"), other.alias("_p"))
         cell = F.concat_ws(":", "key", "_o", "_p") if left else F.concat_ws(":", "key", "_p", "_o")
-        return rows.select(F.md5(cell.cast("binary")).alias("cell"), F.lit(left).alias("left"), "doc", "label", "bytes")
+        return rows.select(F.md5(cell.cast("binary")).alias("cell"), F.lit(left).alias("left"), "doc", "label", "bytes", "keys")
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs((b for b in batches if b.num_rows), "cell"):
@@ -285,12 +303,19 @@ def outsiders(leaves: DataFrame, marks: DataFrame, agree: int) -> DataFrame:
             label = np.unique(np.array(table.column("label").to_pylist(), object), return_inverse=True)[1]
             sig = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(len(cell), -1)
             left = np.array(table.column("left").to_pylist(), bool)
+            earlier = table.column("keys").combine_chunks()
+            flat, upto = earlier.flatten().to_numpy(), np.cumsum([0, *pc.list_value_length(earlier).to_pylist()])
             edges = [0, *(k for k in range(1, len(cell)) if cell[k] != cell[k - 1]), len(cell)]
             for start, stop in zip(edges, edges[1:]):
+                # which earlier leaves each class is in
+                kinds, which = np.unique(flat[upto[start] : upto[stop]], return_inverse=True)
+                there_too = np.zeros((stop - start, len(kinds)), bool)
+                there_too[np.repeat(np.arange(stop - start), np.diff(upto[start : stop + 1])), which] = True
                 right = start + np.flatnonzero(~left[start:stop])
                 there = np.zeros(stop - start, bool)
                 for k in (start + np.flatnonzero(left[start:stop])).tolist():
                     partner = right[(label[right] != label[k]) & ((sig[right] == sig[k]).sum(axis=1) >= agree)]
+                    partner = partner[~(there_too[partner - start] & there_too[k - start]).any(axis=1)]  # not met before
                     there[partner - start] = True
                     there[k - start] |= len(partner) > 0
                 found = sorted({names[start + k] for k in np.flatnonzero(there).tolist()})
@@ -368,20 +393,23 @@ def connected(classes: DataFrame, only: DataFrame, size: int, percent: int) -> D
     involved = groups.select("doc").union(large.select("doc")).distinct()
     sets = written(_full_sets(only, classes.join(involved, "doc", "left_semi").select("doc", "least"), size), SET_ROWS)
 
-    one = large.filter("tree = 0").select("key", "doc")
-    first = groups.filter("tree = 0").select("cell", "doc").union(chunks(one, one, sizes))
+    one = large.filter("tree = 0").select("key", "doc", F.lit(b"").alias("label"))
+    first = groups.filter("tree = 0").select("cell", "doc").union(chunks(one.select("key", "doc"), leaders(one), sizes))
     links = written(confirmed(first, sets, percent).distinct(), SET_ROWS)
-    labels = components_of(links).select(F.col("node").alias("doc"), F.col("component").alias("label"))
+    # equal labels are connected; that connected classes may have different ones only costs work
+    labels = written(links.union(links.select("b", "b")).groupBy(F.col("a").alias("doc")).agg(F.min("b").alias("label")))
     small = open_cells(groups.filter("tree > 0"), "cell", labels).select("cell", "doc")
-    told = written(told_apart(open_cells(large.select("key", "doc"), "key", labels)))
-    second = small.union(chunks(told.filter("_out").select("key", "doc"), told.filter("NOT _out"), sizes))
+    named = written(labelled(large, labels))
+    leaf = written(open_leaves(named))
+    heads = leaders(named).join(leaf, (F.col("key") == F.col("_k")) & (F.col("label") == F.col("_most")))
+    second = small.union(chunks(outside(named, leaf), heads, sizes))
     links = links.union(written(confirmed(second, sets, percent).distinct(), SET_ROWS))
     component = components_of(links)
 
-    known = component.select(F.col("node").alias("doc"), F.col("component").alias("label"))
-    rest = written(open_cells(large.select("key", "doc"), "key", known).select("key", "doc", "label"))
-    if not rest.isEmpty():
-        cells = written(outsiders(rest, marks, agree), PLAIN_ROWS)
+    named = written(labelled(large, component.select(F.col("node").alias("doc"), F.col("component").alias("label"))))
+    leaf = written(open_leaves(named))
+    if not leaf.isEmpty():
+        cells = written(outsiders(named, leaf, marks, agree), PLAIN_ROWS)
         last = written(confirmed(cells, sets, percent).distinct(), SET_ROWS)
         if not last.isEmpty():
             component = components_of(links.union(last))
