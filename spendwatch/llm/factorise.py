@@ -103,9 +103,9 @@ class Machine:
         """One sparse row per text: row number, feature and value of every entry."""
         n = len(stats)
         scaled = np.clip((stats - self.mean) / self.scale, -4, 4) / 4
-        row = np.concatenate([np.repeat(np.arange(n), np.diff(edges)), np.repeat(np.arange(n), STATS)])
-        feature = np.concatenate([bucket, np.tile(BUCKETS + np.arange(STATS), n)])
-        return row, feature, np.concatenate([value, scaled.ravel()])
+        row = np.concatenate([np.repeat(np.arange(n, dtype=np.int32), np.diff(edges)), np.repeat(np.arange(n, dtype=np.int32), STATS)])
+        feature = np.concatenate([bucket.astype(np.int32), np.tile(BUCKETS + np.arange(STATS, dtype=np.int32), n)])
+        return row, feature, np.concatenate([value.astype(np.float32), scaled.ravel().astype(np.float32)])
 
     def margins(self, row: np.ndarray, feature: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Score before the logistic function, and the sums of factors of each row."""
@@ -128,9 +128,10 @@ def fit(edges: np.ndarray, bucket: np.ndarray, value: np.ndarray, stats: np.ndar
     share = float(np.clip(label.mean(), 1e-3, 1 - 1e-3))
     machine = Machine(float(np.log(share / (1 - share))), np.zeros(size), rng.normal(0, 0.02, (size, RANK)), mean, scale)
     row, feature, x = machine.rows(edges, bucket, value, stats)
-    order = np.argsort(row, kind="stable")
+    order = np.argsort(row, kind="stable").astype(np.int32)
     row, feature, x = row[order], feature[order], x[order]
     first = np.searchsorted(row, np.arange(len(label) + 1))
+    del order, row
     seen_w, seen_v, seen_b = np.full(size, 1e-6), np.full((size, RANK), 1e-6), 1e-6
     batches = max(1, len(label) // BATCH)
     for _ in range(max(EPOCHS, -(-STEPS // batches))):
@@ -170,18 +171,19 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
             edges, bucket, value, stats = features(raw)
             listed = lambda x, kind: pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(x, kind))
             yield pa.RecordBatch.from_arrays(
-                [part.column("_id").cast(pa.string()), part.column("quality").cast(pa.int32()), listed(bucket, pa.int32()), listed(value, pa.float64()), pa.array(list(stats), pa.list_(pa.float64()))],
+                [part.column("_id").cast(pa.string()), part.column("quality").cast(pa.int32()), listed(bucket, pa.int32()), listed(value.astype(np.float32), pa.float32()), pa.array(list(stats), pa.list_(pa.float64()))],
                 names=["id", "quality", "bucket", "value", "stats"],
             )
 
-    made = labelled.mapInArrow(prepare, "id string, quality int, bucket array<int>, value array<double>, stats array<double>")
-    held = made.limit(2 * rows).toPandas().sort_values("id", kind="stable")  # repeated ids add rows of their own
-    label = held["quality"].to_numpy(float)
+    made = labelled.mapInArrow(prepare, "id string, quality int, bucket array<int>, value array<float>, stats array<double>")
+    held = made.limit(2 * rows).toArrow().sort_by("id").combine_chunks()  # repeated ids add rows of their own
+    label = held["quality"].to_numpy().astype(float)
     if len(set(label)) < 2:
         share = float(np.clip(label.mean(), 0.01, 0.99)) if len(label) else 0.5
         return Machine(float(np.log(share / (1 - share))), np.zeros(BUCKETS + STATS), np.zeros((BUCKETS + STATS, 1)), np.zeros(STATS), np.ones(STATS))
-    edges = np.concatenate(([0], np.cumsum(held["bucket"].map(len))))
-    return fit(edges, np.concatenate(held["bucket"].tolist()).astype(np.int64), np.concatenate(held["value"].tolist()), np.stack(held["stats"].tolist()), label)
+    bucket, value, stats = (held[name].combine_chunks() for name in ("bucket", "value", "stats"))
+    edges = np.concatenate(([0], np.cumsum(np.diff(bucket.offsets.to_numpy()))))
+    return fit(edges, bucket.flatten().to_numpy(), value.flatten().to_numpy(), stats.flatten().to_numpy().reshape(len(label), STATS), label)
 
 
 def scored(docs: DataFrame, machine: Machine, keep: list[str] | None = None) -> DataFrame:
