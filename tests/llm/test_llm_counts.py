@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 import sentencepiece
 from llm_brute import rows
 from tokenizers import Tokenizer
@@ -91,3 +92,13 @@ def test_knapsack_is_the_best():
     best = max(a * worth[0] + b * worth[1] + c * worth[2] + d * worth[3] for a in range(9) for b in range(6) for c in range(4) for d in range(3) if 3 * a + 5 * b + 7 * c + 11 * d <= 25)
     value, pattern = cuttingstock.best_pattern(sizes, worth, 25)
     assert abs(value - best) < 1e-9 and abs((pattern * worth).sum() - best) < 1e-9 and (pattern * sizes).sum() <= 25
+
+
+@pytest.mark.parametrize("draw", [lambda r, n: np.ones(n, int), lambda r, n: r.integers(1, 21, n), lambda r, n: r.integers(1, 61, n), lambda r, n: np.clip(np.exp(r.normal(5, 0.8, n)), 1, 4096).astype(int)])
+def test_little_padding_for_short_documents(draw):
+    lengths = draw(np.random.default_rng(7), 409_600)
+    sizes = cuttingstock.class_sizes(4096)
+    demand = np.bincount(np.searchsorted(sizes, lengths), minlength=len(sizes))
+    chosen = cuttingstock.whole_patterns(sizes, demand, 4096)
+    assert (sum(p * t for p, t in chosen) == demand).all() and all((p * sizes).sum() <= 4096 for p, _ in chosen)
+    assert 1 - lengths.sum() / (4096 * sum(t for _, t in chosen)) <= 0.02
