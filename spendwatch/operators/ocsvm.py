@@ -133,3 +133,51 @@ def fit_ocsvm(
         else:
             eta /= ADAPTIVE_SHRINK
     return OneClassSvm(names, fourier, weights, intercept), losses
+
+
+def fit_averaged(
+    df: DataFrame,
+    features: Sequence[str],
+    nu: float = NU,
+    eta0: float = 1.0,
+    components: int = COMPONENTS,
+    gamma: float = GAMMA,
+    steps: int = 20,
+    seed: object = 42,
+) -> OneClassSvm:
+    """Averaged subgradient descent with a fixed, shrinking step and no feedback.
+
+    The projected rows are written once. A step is one native aggregation with
+    the current weights as constants, so it runs in the JVM and its result does
+    not depend on partitioning; the driver holds ``components`` numbers. The
+    returned weights are the mean of all steps' weights.
+    """
+    names = tuple(features)
+    fourier = fourier_map(len(names), components, gamma, seed)
+    shared = df.sparkSession.sparkContext.broadcast((fourier.weights, fourier.shifts))
+
+    @F.pandas_udf("array<double>")
+    def projected(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        directions, shifts = shared.value
+        for columns in batches:
+            yield pd.Series(list(project(np.column_stack([c.to_numpy(dtype=float) for c in columns]), directions, shifts)))
+
+    z = [f"z{j}" for j in range(components)]
+    made = df.select(projected(*[F.col(ident(f)) for f in names]).alias("z"))
+    rows = cut_lineage(made.select(*[F.element_at("z", j + 1).alias(c) for j, c in enumerate(z)]))
+    weights, intercept = np.zeros(components), 0.0
+    total, total_intercept = np.zeros(components), 0.0
+    for step in range(steps):
+        margin = F.lit(float(intercept))
+        for c, w in zip(z, weights):
+            margin = margin + F.col(c) * F.lit(float(w))
+        active = margin < 1.0
+        sums = rows.agg(
+            F.coalesce(F.avg(active.cast("int")), F.lit(0.0)).alias("active"),
+            *[F.coalesce(F.avg(F.when(active, F.col(c)).otherwise(0.0)), F.lit(0.0)).alias(c) for c in z],
+        ).first()
+        eta = eta0 / (1 + step)
+        weights = weights - eta * (nu * weights - np.array([sums[c] for c in z]))
+        intercept = intercept - eta * (nu - sums["active"])
+        total, total_intercept = total + weights, total_intercept + intercept
+    return OneClassSvm(names, fourier, total / steps, float(total_intercept / steps))

@@ -10,6 +10,7 @@ _MODULES = (
     "eval_queries",
     "stream_queries",
     "density_queries",
+    "detector_queries",
     "analytics_queries",
 )
 
