@@ -42,6 +42,7 @@ def quality_sql() -> str:
     of_class = [f"length(t) - length(regexp_replace(t, '{c}', '', 'g'))" for c in d.CLASSES]
     common = [f"len(list_filter(ws, lambda x: x = '{w}'))" for w in d.WORDS]
     listed = ", ".join(f"'{w}'" for w in d.WORDS)
+    fixed = ", ".join(f"'{x}'" for x in d.LANGUAGES)
     sums = lambda name, n: "[" + ", ".join(f"sum({name}[{k + 1}])" for k in range(n)) + "]"
 
     def distance(name: str) -> str:
@@ -64,12 +65,13 @@ m AS MATERIALIZED (SELECT t1.doc_id, lang, len(ws)::BIGINT AS n_words, (length(t
   list_append([{", ".join(common)}], len(list_filter(ws, lambda x: x NOT IN ({listed})))) AS words FROM t1 LEFT JOIN rep ON rep.doc_id = t1.doc_id),
 base AS MATERIALIZED (SELECT *, n_words < {d.MIN_WORDS} OR 100 * n_repeat_words > {d.MAX_REPEATED} * n_words AS base_failed FROM m),
 r AS MATERIALIZED (SELECT lang, {sums("characters", len(d.CLASSES) + 1)} AS characters, {sums("words", len(d.WORDS) + 1)} AS words FROM base
-  WHERE NOT base_failed AND lang IN ({", ".join(f"'{x}'" for x in d.LANGUAGES)}) GROUP BY 1),
-far AS (SELECT c.doc_id, min({distance("characters")}) AS cd, min({distance("words")}) AS wd FROM base c, r GROUP BY 1)
+  WHERE NOT base_failed AND lang IS NOT NULL GROUP BY 1 HAVING count(*) >= {d.MIN_REFERENCE} OR lang IN ({fixed})),
+far AS (SELECT c.doc_id, min({distance("characters")}) AS cd, min({distance("words")}) AS wd FROM base c JOIN r ON r.lang IN ({fixed}) OR r.lang = c.lang GROUP BY 1)
 SELECT base.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND cd <= {d.MAX_CHARACTER_DISTANCE} AND (wd <= {d.MAX_COMMON_DISTANCE} OR n_words < {d.MIN_COMMON}) AS kept,
-  round(cd, 6) AS character_distance, round(wd, 6) AS common_distance
-FROM base JOIN far ON far.doc_id = base.doc_id"""
+  NOT base_failed AND (coalesce(cd, 1) <= {d.MAX_CHARACTER_DISTANCE} AND (coalesce(wd, 1) <= {d.MAX_COMMON_DISTANCE} OR n_words < {d.MIN_COMMON})
+    OR (lang IS NOT NULL AND lang NOT IN ({fixed}) AND lang NOT IN (SELECT lang FROM r)) OR far.doc_id IS NULL) AS kept,
+  round(coalesce(cd, 1), 6) AS character_distance, round(coalesce(wd, 1), 6) AS common_distance
+FROM base LEFT JOIN far ON far.doc_id = base.doc_id"""
 
 
 def secrets_sql() -> str:

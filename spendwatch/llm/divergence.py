@@ -9,10 +9,12 @@ the nearest language's references stays below the limits. Texts with fewer than
 the common-word distance is judged from ``MIN_COMMON`` words on.
 
 Everything about one document is computed inside its row, without a shuffle;
-only the sums per language are gathered (one row for each of the fixed
-languages). Null and empty texts have no words and fail. An unknown or null
-language is compared with all references like any other; without references
-(no document passes) the base rules alone decide.
+only the sums per language are shuffled. The references of the four languages
+with common words of their own are compared with every document. Any other
+language with ``MIN_REFERENCE`` passing documents has a reference too, joined to
+its own documents. A document of a language with fewer is judged by the base
+rules alone; so are all documents where there is no reference at all. A null
+language is compared with the four.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ MIN_WORDS = 50
 MAX_REPEATED = 50
 #: Words from which the distance of common words is judged.
 MIN_COMMON = 100
+#: Documents that pass the base rules from which a language without common words of its own has a reference.
+MIN_REFERENCE = 20
 #: Largest Jensen-Shannon distances (base 2) of a kept document.
 MAX_CHARACTER_DISTANCE = 0.20
 MAX_COMMON_DISTANCE = 0.26
@@ -88,32 +92,51 @@ def _base(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFra
     ).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")))
 
 
-def references(measured: DataFrame) -> dict[str, tuple[list[int], list[int]]]:
-    """Histograms of each fixed language, summed over all its documents that pass the base rules."""
+def references(measured: DataFrame) -> DataFrame:
+    """``lang, ref_characters, ref_words``: histograms summed over all documents of a language that pass the base rules.
+
+    One row for each fixed language, and for each other one with at least
+    ``MIN_REFERENCE`` such documents.
+    """
     sums = [
-        F.array(*[F.sum(F.col(name)[k]) for k in range(size)]).alias(name) for name, size in (("characters", len(CLASSES) + 1), ("words", len(WORDS) + 1))
+        F.array(*[F.sum(F.col(name)[k]) for k in range(size)]).alias(f"ref_{name}") for name, size in (("characters", len(CLASSES) + 1), ("words", len(WORDS) + 1))
     ]
-    passing = measured.filter(~F.col("base_failed") & F.col("lang").isin(LANGUAGES))
-    return {r["lang"]: (r["characters"], r["words"]) for r in passing.groupBy("lang").agg(*sums).collect()}  # at most one row per fixed language
+    passing = measured.filter(~F.col("base_failed") & F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("_n"), *sums)
+    return passing.filter((F.col("_n") >= MIN_REFERENCE) | F.col("lang").isin(LANGUAGES)).drop("_n")
 
 
-def distance(counts: str, reference: list[int]) -> Column:
-    """Jensen-Shannon distance (base 2) of a column of counts to fixed counts; 1 if either is empty."""
-    total, whole = sum(reference), F.aggregate(counts, F.lit(0).cast("bigint"), lambda s, x: s + x)
-    if not total:
-        return F.lit(1.0)
-    given = F.array(*[F.lit(n / total) for n in reference])
+def distance(counts: str, reference: list[int] | str) -> Column:
+    """Jensen-Shannon distance (base 2) of a column of counts to fixed counts or to another column; 1 if either is empty."""
+    if not isinstance(reference, str):
+        total = F.lit(sum(reference))
+        given = F.array(*[F.lit(n / max(sum(reference), 1)) for n in reference])
+    else:
+        total = F.aggregate(reference, F.lit(0).cast("bigint"), lambda s, x: s + x)
+        given = F.transform(reference, lambda n: n / total)
+    whole = F.aggregate(counts, F.lit(0).cast("bigint"), lambda s, x: s + x)
     share = lambda x, mean: F.when(x > 0, x * F.log2(x / mean)).otherwise(F.lit(0.0))
     terms = F.zip_with(F.transform(counts, lambda n: n / whole), given, lambda p, q: share(p, (p + q) / 2) + share(q, (p + q) / 2))
     divergence = F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2
-    return F.when(whole > 0, F.sqrt(F.greatest(divergence, F.lit(0.0)))).otherwise(F.lit(1.0))
+    return F.when((whole > 0) & (total > 0), F.sqrt(F.greatest(divergence, F.lit(0.0)))).otherwise(F.lit(1.0))
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Base counts, distances to the nearest language and the verdict ``kept`` for every row of ``docs``."""
     measured = written(_base(docs, id_col, text_col, lang_col))
-    known = references(measured)
-    nearest = lambda name, at: F.least(*[distance(name, r[at]) for r in known.values()], F.lit(1.0)) if known else F.lit(0.0)
-    judged = measured.withColumn("character_distance", nearest("characters", 0)).withColumn("common_distance", nearest("words", 1))
+    known = written(references(measured))
+    # at most one row per fixed language comes to the driver; other languages are joined
+    fixed = {r["lang"]: (r["ref_characters"], r["ref_words"]) for r in known.filter(F.col("lang").isin(LANGUAGES)).collect()}
+    others = known.filter(~F.col("lang").isin(LANGUAGES))
+    rows = measured.join(others, "lang", "left")
+
+    def nearest(name: str, at: int) -> Column:
+        own = F.when(F.col(f"ref_{name}").isNotNull(), distance(name, f"ref_{name}")).otherwise(1.0)
+        return F.least(*[distance(name, r[at]) for r in fixed.values()], own, F.lit(1.0))
+
+    judged = rows.withColumn("character_distance", nearest("characters", 0)).withColumn("common_distance", nearest("words", 1))
     near = (F.col("character_distance") <= MAX_CHARACTER_DISTANCE) & ((F.col("common_distance") <= MAX_COMMON_DISTANCE) | (F.col("n_words") < MIN_COMMON))
-    return judged.withColumn("kept", ~F.col("base_failed") & near).drop("characters", "words")
+    # a language of too few documents has nothing to be compared with
+    alone = F.col("ref_characters").isNull()
+    if fixed:
+        alone &= F.col("lang").isNotNull() & ~F.col("lang").isin(LANGUAGES)
+    return judged.withColumn("kept", ~F.col("base_failed") & (near | F.coalesce(alone, F.lit(False)))).select("doc_id", *[c for c in measured.columns if c not in ("doc_id", "characters", "words")], "character_distance", "common_distance", "kept")
