@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 #: A comment, a declaration, or a tag with its attributes; anything else is text.
@@ -26,15 +27,34 @@ ENDS = {
 INLINE_KEPT = BLOCK | RAW | {"a"}
 
 
+class Node:
+    """An open element: its tag, its tag with its names, and the element around it. Blocks share them."""
+
+    __slots__ = ("above", "name", "score", "seen", "tag")
+
+    def __init__(self, above: Node | None, tag: str, name: str):
+        self.above, self.tag, self.name = above, tag, name
+        self.score = self.seen = None  # of whoever weighs the path
+
+
 @dataclass
 class Block:
-    """Text of one leaf block with the elements around it."""
+    """Text of one leaf block with the innermost element around it."""
 
-    path: tuple[str, ...]
+    node: Node | None
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """The elements around the block, outermost first."""
+        out, node = [], self.node
+        while node is not None:
+            out.append(node.name)
+            node = node.above
+        return tuple(reversed(out))
+
 
 def _names(attributes: str) -> str:
     """An element's class, id and role words, and whether it is hidden, as one string of features."""
@@ -53,21 +73,27 @@ def leaf_blocks(page: str) -> list[Block]:
 
     Block-level tags end a block, other tags do not; a line break is white
     space. Unclosed elements end as the element kinds above say. Scripts,
-    styles and the like have no text.
+    styles and the like have no text. The work is linear in the page, however
+    deep its elements nest.
     """
-    stack: list[tuple[str, str]] = []  # tag, and tag with its names
+    stack: list[Node] = []
+    open_tags: Counter[str] = Counter()
     blocks: list[Block] = []
     current: Block | None = None
-    anchors = 0
     at, size = 0, len(page)
 
+    def cut(k: int) -> None:
+        """End the elements from place ``k`` on."""
+        for node in stack[k:]:
+            open_tags[node.tag] -= 1
+        del stack[k:]
+
     def close(tag: str) -> None:
-        nonlocal anchors
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] == tag:
-                anchors -= sum(t == "a" for t, _ in stack[k:])
-                del stack[k:]
-                return
+        if open_tags[tag]:
+            k = len(stack) - 1
+            while stack[k].tag != tag:
+                k -= 1
+            cut(k)
 
     while at < size:
         found = MARKUP.search(page, at)
@@ -75,12 +101,12 @@ def leaf_blocks(page: str) -> list[Block]:
         if stop > at:
             piece = page[at:stop]
             if current is None and not piece.isspace():
-                current = Block(tuple(name for _, name in stack))
+                current = Block(stack[-1] if stack else None)
                 blocks.append(current)
             if current is not None:
                 text = html.unescape(piece) if "&" in piece else piece
                 current.parts.append(text)
-                if anchors:
+                if open_tags["a"]:
                     current.linked += len(text)
         if found is None:
             break
@@ -101,21 +127,19 @@ def leaf_blocks(page: str) -> list[Block]:
             current.parts.append(" ")
         if tag in BLOCK:
             current = None
-            if any(t == "p" for t, _ in stack):
+            if open_tags["p"]:
                 close("p")
-            elif tag in ENDS:
+            elif tag in ENDS and any(open_tags[t] for t in ENDS[tag][0]):
                 own, limit = ENDS[tag]
                 for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in own:
-                        anchors -= sum(t == "a" for t, _ in stack[k:])
-                        del stack[k:]
+                    if stack[k].tag in own:
+                        cut(k)
                         break
-                    if stack[k][0] in limit:
+                    if stack[k].tag in limit:
                         break
         if tag not in VOID and tag in INLINE_KEPT:
-            if tag == "a":
-                anchors += 1
-            stack.append((tag, f"{tag} {_names(found[3] or found[6] or '')}".strip()))
+            stack.append(Node(stack[-1] if stack else None, tag, f"{tag} {_names(found[3] or found[6] or '')}".strip()))
+            open_tags[tag] += 1
     out = []
     for block in blocks:
         block.text = " ".join("".join(block.parts).split())

@@ -26,17 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendwatch.llm.domblocks import Block, leaf_blocks
+from spendwatch.llm.domblocks import Block, Node, leaf_blocks
 
 PAGES = 600
 EPOCHS = 300
 RATE = 0.5
 PENALTY = 3e-4
 SEED = 23
-#: Pages decoded together.
+#: Pages decoded together, and places of their common table: a page with more blocks is decoded alone.
 TOGETHER = 64
-#: Remembered ancestor paths per task; beyond, the memory starts afresh.
-REMEMBERED = 20_000
+PLACES = 1 << 16
 
 
 def features(block: Block) -> list[str]:
@@ -73,20 +72,29 @@ class Chain:
 
     def __init__(self, index: dict[str, int], weights: np.ndarray, moves: np.ndarray, begin: np.ndarray):
         self.index, self.weights, self.moves, self.begin = index, weights, moves, begin
-        self.paths: dict[tuple[str, ...], np.ndarray] = {}
 
     def emissions(self, blocks: list[Block]) -> np.ndarray:
         """Score of either state for each block."""
         out = np.zeros((len(blocks), 2))
-        if len(self.paths) > REMEMBERED:
-            self.paths = {}
-        known = self.paths
         for k, block in enumerate(blocks):
-            if block.path not in known:
-                known[block.path] = self._sum(_path_features(block.path))
-            out[k] = known[block.path] + self._sum(_text_features(block))
+            out[k] = self._around(block.node) + self._sum(_text_features(block))
         return out
 
+    def _around(self, node: Node | None) -> np.ndarray:
+        """Weights of the elements around a block. What an element adds to the one above is worked out once for each element."""
+        todo, above = [], node
+        while above is not None and above.score is None:
+            todo.append(above)
+            above = above.above
+        for one in reversed(todo):
+            tag, *names = one.name.split(" ")
+            score, seen = (one.above.score, one.above.seen) if one.above is not None else (self._sum([]), frozenset())
+            new = ({"in:" + tag} | {"name:" + n for n in names}) & self.index.keys() | ({"named"} if names else set())
+            one.score, one.seen = (score, seen) if new <= seen else (score + self._sum(new - seen), seen | new)
+        if node is None:
+            return self._sum(["names:none"])
+        return node.score + self._sum(["own:" + node.tag, *([] if "named" in node.seen else ["names:none"])])
+
     def _sum(self, names: Iterable[str]) -> np.ndarray:
         at = [self.index[n] for n in names if n in self.index]
         return self.weights[at].sum(axis=0)
@@ -267,6 +275,17 @@ def trained() -> Chain:
     return fit(labelled_pages())
 
 
+def _alike(sizes: list[int]) -> list[list[int]]:
+    """Pages in groups whose table, padded to the longest, has at most ``PLACES`` places."""
+    groups: list[list[int]] = []
+    for k in sorted(range(len(sizes)), key=sizes.__getitem__):
+        if groups and (len(groups[-1]) + 1) * sizes[k] <= PLACES:
+            groups[-1].append(k)
+        else:
+            groups.append([k])
+    return groups
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages``."""
     chain = trained()
@@ -278,7 +297,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             for start in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(start, TOGETHER)
                 blocks = [leaf_blocks(page or "") for page in part.column("_html").to_pylist()]
-                states = here.decode([here.emissions(b) for b in blocks])
+                states: list[np.ndarray] = [np.zeros(0, bool)] * len(blocks)
+                for group in _alike([len(b) for b in blocks]):
+                    for k, state in zip(group, here.decode([here.emissions(blocks[k]) for k in group])):
+                        states[k] = state
                 texts = ["\n\n".join(b.text for b, s in zip(page, state) if s) for page, state in zip(blocks, states)]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

@@ -1,5 +1,7 @@
 """Classifier, personal data and page extraction: held-out accuracy and brute force."""
 
+import time
+
 import numpy as np
 import pytest
 from llm_brute import base_personal, rows, sha
@@ -165,3 +167,27 @@ def test_odd_pages(spark):
     assert by_id[4] == "A & B\n\nOne two three\n\nFour."
     assert {t for k, t in made.items() if k[0] == 5} == {"Yes it is, and this is all of it.", "\n\n".join(["Long text here."] * 3_000)}
     assert extraction.extract(frame.limit(0)).collect() == []
+
+
+def test_deep_pages_take_linear_work():
+    """Unclosed elements nest as deep as the page is long; blocks share them instead of copying the path."""
+    chain = extraction.trained()
+
+    def seconds(n: int) -> float:
+        start = time.perf_counter()
+        blocks = leaf_blocks("<div>ab " * n)
+        assert len(blocks) == n and len(chain.decode([chain.emissions(blocks)])[0]) == n
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(16_000) < 9 * min(seconds(4_000) for _ in range(3))  # 16 times if it were quadratic
+    for page in ("<ul><li>" + "<div>x" * 5_000 + "<li>y" * 5_000, "<div>a</p>" * 5_000, "<a>b<td>c" * 5_000):
+        assert leaf_blocks(page)
+
+
+def test_long_pages_are_decoded_alone():
+    sizes = [3, 10**6, 5, 0, 70_000, 4]
+    groups = extraction._alike(sizes)
+    assert sorted(k for g in groups for k in g) == list(range(6))
+    assert all(len(g) == 1 or len(g) * max(sizes[k] for k in g) <= extraction.PLACES for g in groups)
+    assert [k for g in groups if len(g) == 1 for k in g] == [4, 1]
