@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from spendwatch.session import cut_lineage
 
@@ -33,3 +33,13 @@ def written(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
                 conf.unset(name)
             else:
                 conf.set(name, value)
+
+
+#: Rows with whole texts in one Arrow batch.
+TEXT_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
+    """Lower the session's Arrow batches to ``rows`` rows, for plans over whole texts; smaller ones stay."""
+    if int(spark.conf.get(BATCH)) > rows or int(spark.conf.get(BATCH)) <= 0:
+        spark.conf.set(BATCH, str(rows))
