@@ -3,7 +3,8 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
 writes what a stage returns as Parquet in the shared folder and rereads it as
 the next stage's documents. All stages but the last keep the columns of
-``documents`` (and any others that the table has).
+``documents`` (and any others that the table has). Rows hold whole texts, so the
+stages lower the session's Arrow batches to a bounded number of rows.
 
 Nulls: a null text is an empty text in every stage, is scored like one, has no
 near copies, passages or secrets, and packs to the end token alone. An empty
@@ -21,7 +22,7 @@ from spendwatch.llm.factorise import accepted
 from spendwatch.llm.nearcopies import one_of_each
 from spendwatch.llm.ownership import redacted
 from spendwatch.llm.packing import pack
-from spendwatch.llm.scratch import written
+from spendwatch.llm.scratch import small_batches, written
 
 #: Near copies: five-word shingles, 80 percent similarity.
 SHINGLE_WORDS = 5
@@ -33,16 +34,19 @@ END_ID = 2
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    small_batches(spark)
     return accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
+    small_batches(spark)
     return one_of_each(docs, SHINGLE_WORDS, SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
+    small_batches(spark)
     return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -53,6 +57,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences: where each lies in which sequence."""
+    small_batches(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"), CONTEXT, END_ID)
 
 
