@@ -12,6 +12,7 @@ _MODULES = (
     "density_queries",
     "detector_queries",
     "analytics_queries",
+    "backtest_queries",
 )
 
 
