@@ -56,11 +56,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Delete what this process wrote to the shared folder, once its results are no longer read."""
+def scratch_mark() -> int:
+    """Where the paths handed out from now on begin, for :func:`release_scratch`."""
+    return len(_handed_out)
+
+
+def release_scratch(spark: SparkSession, since: int = 0, keep_last: bool = False) -> None:
+    """Delete what this process wrote to the shared folder, once its results are no longer read.
+
+    ``since`` leaves what was handed out before that mark, ``keep_last`` the
+    newest path, which a chain of steps still reads.
+    """
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _handed_out:
-        path = jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+    paths = _handed_out[since:]
+    kept = paths[-1:] if keep_last else []
+    _handed_out[since:] = kept
+    for name in paths[: len(paths) - len(kept)]:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
 
 
