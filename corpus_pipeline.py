@@ -23,6 +23,7 @@ from spendwatch.llm.nearcopies import one_of_each
 from spendwatch.llm.ownership import redacted
 from spendwatch.llm.packing import pack
 from spendwatch.llm.scratch import small_batches, written
+from spendwatch.session import release_scratch, scratch_mark
 
 #: Near copies: five-word shingles, 80 percent similarity.
 SHINGLE_WORDS = 5
@@ -76,6 +77,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    mark = scratch_mark()
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir))
+        release_scratch(spark, mark, keep_last=True)  # what the stage read and made on the way
     return STAGES[-1][1](spark, docs, sf_dir)
