@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,27 @@ def drain(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
     return spark.read.schema(df.schema).parquet(f"{root}/out")
 
 
+def advance(count: int, total: float, keys: np.ndarray, times: np.ndarray, amounts: np.ndarray, watermark_ms: int) -> tuple:
+    """One client's rows (times in microseconds) that the watermark has passed, and what stays.
+
+    Returns the passed rows in time order as keys, amounts, earlier counts and
+    earlier sums; the new count and sum; the waiting rows; and the time in
+    milliseconds of the first of them.
+    """
+    passed = times // 1000 < watermark_ms
+    later = ~passed
+    leaving, at, block = keys[passed], times[passed], amounts[passed]
+    order = np.lexsort((pd.factorize(leaving, sort=True)[0] if leaving.dtype == object else leaving, at))
+    leaving, block = leaving[order], block[order]
+    known = ~np.isnan(block)
+    spent = np.where(known, block, 0.0)
+    seen = (np.cumsum(known) - known + count).astype(np.int64)
+    summed = np.cumsum(spent) - spent + total
+    held = (keys[later].tolist(), times[later].tolist(), [None if a != a else a for a in amounts[later].tolist()])
+    next_ms = int(times[later].min() // 1000) if later.any() else None
+    return (leaving, block, seen, summed), (int(count + known.sum()), float(total + spent.sum())), held, next_ms
+
+
 def running_client_mean(df: DataFrame, client: str, ts: str, amount: str, key: str, delay: str) -> DataFrame:
     """Mean of the client's *earlier* amounts, and the spending ratio to it.
 
@@ -69,25 +91,25 @@ def running_client_mean(df: DataFrame, client: str, ts: str, amount: str, key: s
     def update(
         client_key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        count, total, keys, times, amounts = state.get if state.exists else (0, 0.0, [], [], [])
-        waiting = pd.DataFrame({"key": list(keys), "time": list(times), "amount": pd.Series(list(amounts), dtype="float64")})
-        if not state.hasTimedOut:
+        # Plain arrays, since most clients have few rows in a batch and a table costs more than they do.
+        count, total, *waiting = state.get if state.exists else (0, 0.0, [], [], [])
+        keys, times, amounts = waiting[0], np.array(waiting[1], np.int64), np.array(waiting[2], np.float64)
+        if state.hasTimedOut:
+            keys = pd.Series(list(keys)).to_numpy()
+        else:
             new = pd.concat(list(batches))
             micros = new["ts"].astype("datetime64[us, UTC]" if new["ts"].dt.tz is not None else "datetime64[us]").astype("int64")
-            arrived = pd.DataFrame({"key": new["key"], "time": micros, "amount": new["amount"]})
-            waiting = pd.concat([waiting, arrived]) if len(waiting) else arrived
-        passed = waiting["time"] // 1000 < state.getCurrentWatermarkMs()
-        block, waiting = waiting[passed].sort_values(["time", "key"]), waiting[~passed]
-        known = block["amount"].notna()
-        seen = known.cumsum() - known + count
-        summed = block["amount"].fillna(0.0).cumsum() - block["amount"].fillna(0.0) + total
-        held = (waiting["key"].tolist(), waiting["time"].tolist(), [None if pd.isna(a) else float(a) for a in waiting["amount"]])
-        state.update((int(count + known.sum()), float(total + block["amount"].sum()), *held))
-        if len(waiting):
-            state.setTimeoutTimestamp(int(waiting["time"].min() // 1000))
+            arrived = new["key"].to_numpy()
+            keys = np.concatenate((pd.Series(list(keys)).to_numpy(), arrived)) if len(keys) else arrived
+            times = np.concatenate((times, micros.to_numpy()))
+            amounts = np.concatenate((amounts, new["amount"].to_numpy(np.float64)))
+        (leaving, block, seen, summed), total_spent, held, next_ms = advance(count, total, keys, times, amounts, state.getCurrentWatermarkMs())
+        state.update((*total_spent, *held))
+        if next_ms is not None:
+            state.setTimeoutTimestamp(next_ms)
         yield pd.DataFrame(
-            {"key": block["key"], "client": [client_key[0]] * len(block), "amount": block["amount"],
-             "prior_count": seen.astype("int64"), "prior_total": summed}
+            {"key": leaving, "client": [client_key[0]] * len(block), "amount": block,
+             "prior_count": seen, "prior_total": summed}
         )
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}

@@ -101,3 +101,14 @@ def test_enrichment_is_an_inner_join(spark, purchases):
     users = spark.createDataFrame([(1, "a"), (2, "b")], "uid long, gender string")
     out = streams.drain(streams.enrich(source, users, "client", "uid"), "enrich")
     assert out.count() == rows.filter("client IN (1, 2)").count() and "uid" not in out.columns
+
+
+def test_a_client_advances_to_the_watermark_in_time_order():
+    keys, times = np.array([4, 2, 9, 1]), np.array([3_000_000, 1_000_000, 8_000_000, 1_000_000])
+    amounts = np.array([5.0, np.nan, 7.0, 2.0])
+    rows, state, waiting, following = streams.advance(2, 10.0, keys, times, amounts, 5_000)
+    assert [list(c) for c in (rows[0], rows[2], rows[3])] == [[1, 2, 4], [2, 3, 3], [10.0, 12.0, 12.0]]
+    assert rows[1][0] == 2.0 and np.isnan(rows[1][1]) and rows[1][2] == 5.0
+    assert state == (4, 17.0) and waiting == ([9], [8_000_000], [7.0]) and following == 8_000
+    names = np.array(["b", "a"], dtype=object)
+    assert streams.advance(0, 0.0, names, np.array([0, 0]), np.array([1.0, 2.0]), 1)[0][0].tolist() == ["a", "b"]
