@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from spendwatch.functions.hashing import unit_draw, unit_hash
 from spendwatch.operators.quantiles import exact_quantiles
 from spendwatch.operators.sampling import rows_at_positions
+from spendwatch.session import cut_lineage
 
 # Parameters of the two forests in use.
 PRODUCTION_FOREST = dict(trees=150, max_features=0.8, bootstrap=True, contamination=0.1, seed=42)
@@ -229,6 +230,7 @@ def fit_forest(
     nodes, used = fit_nodes(matrix, key, features, trees, max_features, bootstrap, sub_sample, seed)
     records = tuple(tuple(r) for r in nodes.collect())
     raw = Forest(tuple(features), records, trees, used, 0.0, contamination)
-    scores = with_scores(matrix, raw).select("score")
+    # written once: the quantile takes several passes, each of which would score all rows again
+    scores = cut_lineage(with_scores(matrix, raw).select("score"))
     offset = exact_quantiles(scores, ["score"], [contamination]).first()["quantile"]
     return Forest(raw.features, raw.nodes, raw.trees, raw.sub_sample, offset, contamination)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from spendwatch.functions import decisions
 from spendwatch.operators import iforest, scoring
+from spendwatch.plans import eval_queries
 from spendwatch.sources import registry
 
 
@@ -163,3 +164,27 @@ def test_artifact_listing(spark, tmp_path):
     listed = registry.list_artifacts(spark, str(tmp_path))
     assert registry.latest_artifact(listed).first()["name"] == "isolation_forest_1.joblib"
     assert {r["name"] for r in registry.matching_artifacts(listed).collect()} == {"isolation_forest_1.joblib", "lof_1.joblib"}
+
+
+def _planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scores_are_written_before_the_quantile_reads_them(spark, monkeypatch):
+    seen = []
+    real = iforest.exact_quantiles
+    monkeypatch.setattr(iforest, "exact_quantiles", lambda df, *a, **k: seen.append(df) or real(df, *a, **k))
+    rows = spark.range(300).selectExpr("id AS row_key", "cast(id % 17 AS float) AS a", "cast(id % 23 AS float) AS b")
+    iforest.fit_forest(rows, "row_key", ["a", "b"], 5, 0.1, sub_sample=32)
+    assert "Python" not in _planned(seen[0])  # every pass scored all rows again
+
+
+def test_labels_are_written_before_they_are_described(spark, monkeypatch):
+    slow = F.udf(lambda x: 1 if x % 5 else -1, "int")
+    rows = spark.range(50).select(slow("id").alias("prediction"), *[(F.col("id") * 1.5).alias(c) for c in eval_queries._PROFILED])
+    seen = []
+    real = eval_queries.profile.describe
+    monkeypatch.setattr(eval_queries, "explored", lambda *a, **k: rows)
+    monkeypatch.setattr(eval_queries.profile, "describe", lambda df, *a, **k: seen.append(df) or real(df, *a, **k))
+    assert eval_queries.describe_by_label(spark, "").count() == 8
+    assert "Python" not in _planned(seen[0])
