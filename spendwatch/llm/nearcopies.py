@@ -4,7 +4,8 @@ Each different shingle set is one class, with a signature of minwise tokens. An
 independent tree starts from one chosen coordinate: classes whose minwise token
 there is equal share a node. A node above ``SMALL`` classes branches: it chooses
 ``BRANCHES`` further coordinates by a hash of its own path, and a class goes to
-one child for each. From ``FIRST_LEVELS`` on only nodes above ``LARGE`` branch.
+one child for each. From ``FIRST_LEVELS`` on only nodes above ``LARGE`` branch,
+and only if the first wave has not connected all their classes.
 A link of similarity s survives one tree with probability s x, where x is 1 for
 a root that is small and 1 - (1 - s x)^2 one level deeper: at least 0.82 at the
 threshold of 0.85, so ten independent trees miss such a link about once in 10^7.
@@ -19,8 +20,8 @@ proved so far. A leaf or group whose members are already connected is left out.
 2. The same for the other trees. Of a larger leaf only members outside its
    largest component are dealt, with leaders of that component in every chunk.
 3. Of larger leaves that still have several components, all members outside the
-   largest one meet all members, block by block, by a byte of each minwise
-   token. Members with a partner in another component meet again on full sets.
+   largest one meet all members, in blocks of ``BLOCK_SIGNED``, by a byte of
+   each minwise token. Members with a partner in another component meet again on full sets.
 
 Full sets in one cell are compared by one product of incidence matrices. What
 leaves a task is the smallest class that a class is connected with: never the
@@ -55,9 +56,11 @@ SMALL = 48
 FIRST_LEVELS = 3
 LEVELS = 8
 LARGE = 4_096
-#: Shingles and classes in one chunk or block of a larger leaf.
+#: Shingles and classes in one chunk of a larger leaf, or on one side of a cell of the third wave.
 BLOCK_SHINGLES = 400_000
 BLOCK_CLASSES = 768
+#: Classes of a larger leaf that meet by signature at once.
+BLOCK_SIGNED = 4_096
 #: Classes of a larger leaf that are in all its chunks.
 LEADERS = 32
 #: Rows with whole shingle sets in one Arrow batch, and rows without.
@@ -124,33 +127,40 @@ def signatures(docs: DataFrame, size: int, tokens: int = TOKENS) -> DataFrame:
     return docs.mapInArrow(sign, f"id {kind}, n_shingles bigint, cls binary, sig array<int>, bytes binary")
 
 
-def leaves_of_trees(classes: DataFrame, trees: int = TREES) -> DataFrame:
-    """``key, tree, doc, n``: the leaves with several classes, and their sizes.
-
-    ``classes`` has ``doc, sig``. Node sizes are counted with partial sums and
-    joined back, so a node that holds most classes is never gathered.
-    """
+def _children(nodes: DataFrame) -> DataFrame:
+    """The classes of ``nodes``, once for each child of their node; reads ``key, sig``."""
 
-    def child(key, choice: int):
+    def child(choice: int):
         # the coordinate is chosen by the node's path, so it is the same for all its classes
-        place = F.pmod(F.xxhash64(key, F.lit(choice)), F.lit(TOKENS))
-        return F.xxhash64(key, F.lit(choice), F.element_at("sig", place.cast("int") + 1))
+        place = F.pmod(F.xxhash64("key", F.lit(choice)), F.lit(TOKENS))
+        return F.xxhash64("key", F.lit(choice), F.element_at("sig", place.cast("int") + 1))
+
+    return nodes.withColumn("key", F.explode(F.array(*[child(c) for c in range(BRANCHES)])))
+
+
+def leaves_of_trees(classes: DataFrame, trees: int = TREES) -> DataFrame:
+    """``key, tree, doc, n, n_shingles, bytes, sig``: the nodes with several classes in which the first levels end, and their sizes.
 
+    ``classes`` has ``doc, n_shingles, sig, bytes``. Node sizes are counted with
+    partial sums and joined back, so a node that holds most classes is never
+    gathered. What later steps read of a class is joined once and then carried,
+    the signature only where the node may branch.
+    """
     step = TOKENS // trees
     roots = F.array(*[F.xxhash64(F.lit(t), F.element_at("sig", t * step + 1)) for t in range(trees)])
     rows = classes.select("doc", F.posexplode(roots).alias("tree", "key"))
     done = None
-    for level in range(1, LEVELS + 1):
-        sizes = rows.groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("n")).filter("n > 1")
-        sized = written(rows.join(sizes, F.col("key") == F.col("_k")).select("key", "tree", "doc", "n"))
+    for level in range(1, FIRST_LEVELS + 1):
+        sizes = rows.groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("_n")).filter("_n > 1")
+        sized = rows.join(sizes, F.col("key") == F.col("_k"))
+        if level == 1:
+            sized = sized.join(classes.select("doc", "n_shingles", "bytes", "sig"), "doc")
         most = SMALL if level < FIRST_LEVELS else LARGE
-        leaves = sized if level == LEVELS else sized.filter(F.col("n") <= most)
+        sized = written(sized.select("key", "tree", "doc", F.col("_n").alias("n"), "n_shingles", "bytes", F.when(F.col("_n") > most, F.col("sig")).alias("sig")))
+        leaves = sized if level == FIRST_LEVELS else sized.filter(F.col("n") <= SMALL)
         done = leaves if done is None else done.union(leaves)
-        large = sized.filter(F.col("n") > most)
-        if level == LEVELS or large.isEmpty():
-            break
-        children = F.array(*[child(F.col("key"), c) for c in range(BRANCHES)])
-        rows = large.select("key", "tree", "doc").join(classes, "doc").select("doc", "tree", F.explode(children).alias("key"))
+        if level < FIRST_LEVELS:
+            rows = written(_children(sized.filter(F.col("n") > SMALL)).drop("n"), PLAIN_ROWS)
     return done
 
 
@@ -194,7 +204,7 @@ def tokens_to_agree(percent: int) -> int:
     return max(1, int(TOKENS * share - SLACK * (TOKENS * share * (1 - share)) ** 0.5))
 
 
-def similar_groups(leaves: DataFrame, marks: DataFrame, agree: int) -> DataFrame:
+def similar_groups(leaves: DataFrame, agree: int) -> DataFrame:
     """``cell, tree, doc``: groups of classes of small leaves that at least ``agree`` equal tokens connect, each group once, of its first tree."""
 
     def group(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,106 +233,152 @@ def similar_groups(leaves: DataFrame, marks: DataFrame, agree: int) -> DataFrame
             arrays = [pa.array([b"".join(m) for m in groups], pa.binary()), pa.array(list(trees.values()), pa.int32()), pa.array(groups, pa.list_(pa.binary()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["all", "tree", "docs"])
 
-    dealt = leaves.join(marks, "doc").select("key", "tree", "doc", "bytes").repartition("key").sortWithinPartitions("key")
+    dealt = leaves.select("key", "tree", "doc", "bytes").repartition("key").sortWithinPartitions("key")
     made = dealt.mapInArrow(group, "all binary, tree int, docs array<binary>").select(F.md5("all").alias("cell"), "tree", "docs")
     return made.groupBy("cell").agg(F.min("tree").alias("tree"), F.first("docs").alias("docs")).select("cell", "tree", F.explode("docs").alias("doc"))
 
 
-def _blocks_needed() -> F.Column:
-    """Blocks for the rows of an aggregate, by their shingles and their number."""
-    return F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_CLASSES))
+def _blocks_needed(shingles: F.Column, count: F.Column) -> F.Column:
+    """Blocks for so many classes with so many shingles in all."""
+    return F.greatest(F.ceil(shingles / BLOCK_SHINGLES), F.ceil(count / BLOCK_CLASSES))
 
 
-def chunks(members: DataFrame, heads: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``cell, doc``: ``members`` of larger leaves dealt to chunks, with the leaf's ``heads`` in each."""
-    weighed = members.join(sizes, "doc")
-    leaf = weighed.groupBy(F.col("key").alias("_k")).agg(_blocks_needed().alias("_b"))
-    dealt = weighed.join(leaf, F.col("key") == F.col("_k")).withColumn("_mine", F.pmod(F.xxhash64("doc", "key"), F.col("_b")))
-    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_b") - 1)).alias("_mine")
-    everywhere = heads.select("key", "doc").join(leaf, F.col("key") == F.col("_k")).select("key", "doc", each)
-    both = dealt.select("key", "doc", "_mine").union(everywhere).distinct()
+def chunks(members: DataFrame, heads: DataFrame) -> DataFrame:
+    """``cell, doc``: ``members`` of larger leaves dealt to their leaf's ``chunks``, with the leaf's ``heads`` in each. Both are ``key, doc, chunks``."""
+    dealt = members.select("key", "doc", F.pmod(F.xxhash64("doc", "key"), F.col("chunks")).alias("_mine"))
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("_mine")
+    both = dealt.union(heads.select("key", "doc", each)).distinct()
     return both.select(F.md5(F.concat_ws(":", "key", "_mine").cast("binary")).alias("cell"), "doc")
 
 
-def open_cells(cells: DataFrame, cell: str, labels: DataFrame) -> DataFrame:
-    """The rows of those cells whose classes have several labels; a class without one is its own."""
-    named = cells.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    several = named.groupBy(F.col(cell).alias("_c")).agg(F.min("label").alias("_l"), F.max("label").alias("_h")).filter("_l <> _h").select("_c")
-    return named.join(several, F.col(cell) == F.col("_c"), "left_semi")
+def leaders(members: DataFrame) -> DataFrame:
+    """``key, label, doc``: the smallest class of each of a few parts of a leaf's label, mostly the same in all leaves that hold it."""
+    part = F.pmod(F.xxhash64("doc", F.lit("leader")), F.lit(LEADERS))
+    return members.groupBy("key", "label", part.alias("_part")).agg(F.min("doc").alias("doc")).select("key", "label", "doc")
 
 
-def open_leaves(named: DataFrame) -> DataFrame:
-    """``key, _most``: the leaves of ``key, doc, label`` that have several labels, and the label of most members."""
-    sized = named.groupBy("key", "label").agg(F.count("*").alias("members"))
-    most = sized.groupBy("key").agg(F.max(F.struct("members", "label"))["label"].alias("_most"), F.count("*").alias("_labels"))
-    return most.filter("_labels > 1").select(F.col("key").alias("_k"), "_most")
+def named(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the label of each class; a class without one is its own."""
+    return rows.drop("label").join(labels, "doc", "left").withColumn("label", F.coalesce("label", F.xxhash64("doc")))
 
 
-def labelled(leaves: DataFrame, labels: DataFrame) -> DataFrame:
-    """``key, doc, label``; a class without a label is its own."""
-    return leaves.select("key", "doc").join(labels, "doc", "left").select("key", "doc", F.coalesce("label", "doc").alias("label"))
+def open_cells(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    """``cell, doc``: the rows of those cells whose classes have several labels."""
+    told = named(cells, labels)
+    several = told.groupBy(F.col("cell").alias("_c")).agg(F.min("label").alias("_l"), F.max("label").alias("_h")).filter("_l <> _h").select("_c")
+    return told.join(several, F.col("cell") == F.col("_c"), "left_semi").select("cell", "doc")
 
 
-def outside(named: DataFrame, leaves: DataFrame) -> DataFrame:
-    """``key, doc``: the classes outside the largest label of their open leaf."""
-    return named.join(leaves, (F.col("key") == F.col("_k")) & (F.col("label") != F.col("_most"))).select("key", "doc")
+MEMBER = ("key", "doc", "n_shingles", "bytes", "label")
 
 
-def leaders(named: DataFrame) -> DataFrame:
-    """``key, label, doc``: the smallest class of each of a few parts of a leaf's label, mostly the same in all leaves that hold it."""
-    part = F.pmod(F.xxhash64("doc", F.lit("leader")), F.lit(LEADERS))
-    return named.groupBy("key", "label", part.alias("_part")).agg(F.min("doc").alias("doc")).select("key", "label", "doc")
+def open_nodes(members: DataFrame) -> DataFrame:
+    """``_k, _most, n, others, chunks``: the nodes with several labels, the label of most members, how many members
+    there are, how many of other labels, and the chunks that those need."""
+    sized = members.groupBy("key", "label").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("weight"))
+    most = F.max(F.struct("members", "label", "weight")).alias("most")
+    nodes = sized.groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("labels"), F.sum("members").alias("n"), F.sum("weight").alias("w"), most)
+    others = F.col("n") - F.col("most.members")
+    needed = _blocks_needed(F.col("w") - F.col("most.weight"), others)
+    return nodes.filter("labels > 1").select("_k", F.col("most.label").alias("_most"), "n", others.alias("others"), needed.alias("chunks"))
 
 
-def outsiders(named: DataFrame, leaves: DataFrame, marks: DataFrame, agree: int) -> DataFrame:
-    """``cell, doc``: classes of an open leaf that agree in ``agree`` tokens with one of another label, by blocks.
+def lower_leaves(members: DataFrame) -> DataFrame | None:
+    """``MEMBER`` of the leaves below nodes of more than ``LARGE`` classes.
+
+    A node whose classes are connected by now ends there, so a group of copies
+    does not multiply on its way through the levels.
+    """
+    done = None
+    for level in range(FIRST_LEVELS, LEVELS + 1):
+        if members.isEmpty():
+            break
+        nodes = written(open_nodes(members).select("_k", "n"))
+        members = written(members.join(nodes, F.col("key") == F.col("_k")).select(*MEMBER, "sig", "n"))
+        leaves = (members if level == LEVELS else members.filter(F.col("n") <= LARGE)).select(*MEMBER)
+        done = leaves if done is None else done.union(leaves)
+        members = _children(members.filter(F.col("n") > LARGE).drop("n"))
+    return done
+
+
+def _parts(found: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
+    """``found`` cut into parts of at most ``BLOCK_CLASSES`` classes and about ``BLOCK_SHINGLES`` shingles."""
+    number = np.maximum(np.cumsum(weight[found]) // BLOCK_SHINGLES, np.arange(len(found)) // BLOCK_CLASSES)
+    return np.split(found, np.flatnonzero(np.diff(number)) + 1)
+
+
+def outsiders(members: DataFrame, nodes: DataFrame, agree: int) -> DataFrame:
+    """``cell, doc``: classes of the open leaves ``nodes`` that agree in ``agree`` tokens with one of another label.
 
     Of any two labels one is not the leaf's largest, so only members outside
-    the largest meet all members. Two classes that share several leaves meet in
-    the one with the smallest key only.
+    the largest meet all members, ``BLOCK_SIGNED`` against as many at once. Two
+    classes that share several leaves meet in the one with the smallest key
+    only. Classes that agree, directly or through others, share cells of bounded
+    size.
     """
-    keys = named.join(leaves, F.col("key") == F.col("_k"), "left_semi").groupBy("doc").agg(F.collect_list("key").alias("keys"))  # leaves of a class: as many as the trees allow
-    told = named.join(leaves, F.col("key") == F.col("_k")).drop("_k").withColumn("_out", F.col("label") != F.col("_most")).join(marks, "doc").join(keys, "doc")
-    told = told.withColumn("keys", F.filter("keys", lambda k: k < F.col("key")))
-    out_shingles, out_classes = F.sum(F.when(F.col("_out"), F.col("n_shingles"))), F.sum(F.col("_out").cast("int"))
-    few = F.greatest(F.ceil(out_shingles / BLOCK_SHINGLES), F.ceil(out_classes / BLOCK_CLASSES))
-    needed = told.groupBy(F.col("key").alias("_k")).agg(_blocks_needed().alias("_all"), few.alias("_few"))
-    dealt = told.join(needed, F.col("key") == F.col("_k"))
-
-    def side(left: bool) -> DataFrame:
+    told = members.join(nodes, F.col("key") == F.col("_k")).withColumn("out", F.col("label") != F.col("_most"))
+    told = written(told.select(*MEMBER, "out", "n", "others"), PLAIN_ROWS)
+    keys = told.groupBy("doc").agg(F.collect_list("key").alias("keys"))  # leaves of a class: as many as the trees allow
+    told = told.join(keys, "doc").withColumn("keys", F.filter("keys", lambda k: k < F.col("key")))
+    told = told.withColumn("_few", F.ceil(F.col("others") / BLOCK_SIGNED)).withColumn("_all", F.ceil(F.col("n") / BLOCK_SIGNED))
+
+    def cells(left: bool) -> F.Column:
         mine, others = ("_few", "_all") if left else ("_all", "_few")
         own = F.pmod(F.xxhash64("doc", F.lit(mine)), F.col(mine))
-        other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(others) - 1))
-        rows = (dealt.filter("_out") if left else dealt).select("key", "doc", "label", "bytes", "keys", own.alias("_o"), other.alias("_p"))
-        cell = F.concat_ws(":", "key", "_o", "_p") if left else F.concat_ws(":", "key", "_p", "_o")
-        return rows.select(F.md5(cell.cast("binary")).alias("cell"), F.lit(left).alias("left"), "doc", "label", "bytes", "keys")
+
+        def cell(other: F.Column) -> F.Column:
+            name = F.concat_ws(":", "key", own, other) if left else F.concat_ws(":", "key", other, own)
+            return F.struct(name.alias("cell"), F.lit(left).alias("left"))
+
+        return F.transform(F.sequence(F.lit(0).cast("bigint"), F.col(others) - 1), cell)
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs((b for b in batches if b.num_rows), "cell"):
             cell, names = table.column("cell").to_pylist(), table.column("doc").to_pylist()
-            label = np.unique(np.array(table.column("label").to_pylist(), object), return_inverse=True)[1]
+            label, weight = table.column("label").to_numpy(), table.column("n_shingles").to_numpy()
             sig = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(len(cell), -1)
             left = np.array(table.column("left").to_pylist(), bool)
             earlier = table.column("keys").combine_chunks()
             flat, upto = earlier.flatten().to_numpy(), np.cumsum([0, *pc.list_value_length(earlier).to_pylist()])
             edges = [0, *(k for k in range(1, len(cell)) if cell[k] != cell[k - 1]), len(cell)]
             for start, stop in zip(edges, edges[1:]):
-                # which earlier leaves each class is in
+                count, length = stop - start, np.diff(upto[start : stop + 1])
+                # the earlier leaves of each class, by number; the last number is no leaf
                 kinds, which = np.unique(flat[upto[start] : upto[stop]], return_inverse=True)
-                there_too = np.zeros((stop - start, len(kinds)), bool)
-                there_too[np.repeat(np.arange(stop - start), np.diff(upto[start : stop + 1])), which] = True
-                right = start + np.flatnonzero(~left[start:stop])
-                there = np.zeros(stop - start, bool)
-                for k in (start + np.flatnonzero(left[start:stop])).tolist():
-                    partner = right[(label[right] != label[k]) & ((sig[right] == sig[k]).sum(axis=1) >= agree)]
-                    partner = partner[~(there_too[partner - start] & there_too[k - start]).any(axis=1)]  # not met before
-                    there[partner - start] = True
-                    there[k - start] |= len(partner) > 0
-                found = sorted({names[start + k] for k in np.flatnonzero(there).tolist()})
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array([cell[start]] * len(found)), pa.array(found, pa.binary())], names=["cell", "doc"])
-
-    both = side(True).union(side(False)).repartition("cell").sortWithinPartitions("cell")
+                places = np.full((count, int(length.max(initial=0)) + 1), len(kinds))
+                places[np.repeat(np.arange(count), length), np.arange(len(which)) - np.repeat(upto[start:stop] - upto[start], length)] = which
+                right = np.flatnonzero(~left[start:stop])
+                group = np.arange(count)  # rows that agree, directly or through others
+                there = np.zeros(count, bool)
+                for k in np.flatnonzero(left[start:stop]).tolist():
+                    partner = right[(label[start + right] != label[start + k]) & ((sig[start + right] == sig[start + k]).sum(axis=1) >= agree)]
+                    mine = np.zeros(len(kinds) + 1, bool)
+                    mine[places[k]] = True
+                    mine[-1] = False
+                    partner = partner[~mine[places[partner]].any(axis=1)]  # not met before
+                    if len(partner):
+                        there[partner] = there[k] = True
+                        joined = np.zeros(count, bool)
+                        joined[group[partner]] = joined[group[k]] = True
+                        group[joined[group]] = group[k]
+                made_cells, made = [], []
+                for top in np.unique(group[there]).tolist():
+                    own = np.flatnonzero(there & (group == top))
+                    sides = [own[left[start + own]], own[~left[start + own]]]
+                    one = _parts(own, weight[start : stop])
+                    pairs = [(one[0],)] if len(one) == 1 else [(a, b) for a in _parts(sides[0], weight[start:stop]) for b in _parts(sides[1], weight[start:stop])]
+                    for number, pair in enumerate(pairs):
+                        found = sorted({names[start + k] for part in pair for k in part.tolist()})
+                        made_cells += [f"{cell[start]}:{top}:{number}"] * len(found)
+                        made += found
+                if made:
+                    yield pa.RecordBatch.from_arrays([pa.array(made_cells), pa.array(made, pa.binary())], names=["cell", "doc"])
+
+    def rows(left: bool) -> DataFrame:
+        own = told.filter("out") if left else told
+        return own.select("doc", "label", "n_shingles", "bytes", "keys", F.explode(cells(left)).alias("_at")).select(F.md5(F.col("_at.cell").cast("binary")).alias("cell"), "_at.left", "doc", "label", "n_shingles", "bytes", "keys")
+
+    both = rows(True).union(rows(False)).repartition("cell").sortWithinPartitions("cell")
     return both.mapInArrow(meet, "cell string, doc binary")
 
 
@@ -386,30 +442,35 @@ def confirmed(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def connected(classes: DataFrame, only: DataFrame, size: int, percent: int) -> DataFrame:
     """``node, component``: the component of each class that is linked with another one."""
     agree = tokens_to_agree(percent)
-    leaves = written(leaves_of_trees(classes.select("doc", "sig")))
-    marks, sizes = classes.select("doc", "bytes", "n_shingles"), classes.select("doc", "n_shingles")
-    groups = written(similar_groups(leaves.filter(F.col("n") <= SMALL), marks, agree), PLAIN_ROWS)
+    leaves = leaves_of_trees(classes)
+    groups = written(similar_groups(leaves.filter(F.col("n") <= SMALL), agree), PLAIN_ROWS)
     large = leaves.filter(F.col("n") > SMALL)
     involved = groups.select("doc").union(large.select("doc")).distinct()
     sets = written(_full_sets(only, classes.join(involved, "doc", "left_semi").select("doc", "least"), size), SET_ROWS)
 
-    one = large.filter("tree = 0").select("key", "doc", F.lit(b"").alias("label"))
-    first = groups.filter("tree = 0").select("cell", "doc").union(chunks(one.select("key", "doc"), leaders(one), sizes))
-    links = written(confirmed(first, sets, percent).distinct(), SET_ROWS)
+    one = large.filter("tree = 0").select("key", "doc", "n_shingles", F.lit(0).alias("label"))
+    needed = one.groupBy(F.col("key").alias("_k")).agg(_blocks_needed(F.sum("n_shingles"), F.count("*")).alias("chunks"))
+    first = chunks(one.join(needed, F.col("key") == F.col("_k")), leaders(one).join(needed, F.col("key") == F.col("_k")))
+    links = written(confirmed(groups.filter("tree = 0").select("cell", "doc").union(first), sets, percent).distinct(), SET_ROWS)
     # equal labels are connected; that connected classes may have different ones only costs work
-    labels = written(links.union(links.select("b", "b")).groupBy(F.col("a").alias("doc")).agg(F.min("b").alias("label")))
-    small = open_cells(groups.filter("tree > 0"), "cell", labels).select("cell", "doc")
-    named = written(labelled(large, labels))
-    leaf = written(open_leaves(named))
-    heads = leaders(named).join(leaf, (F.col("key") == F.col("_k")) & (F.col("label") == F.col("_most")))
-    second = small.union(chunks(outside(named, leaf), heads, sizes))
+    labels = links.union(links.select("b", "b")).groupBy(F.col("a").alias("doc")).agg(F.min("b").alias("b"))
+    labels = written(labels.select("doc", F.xxhash64("b").alias("label")))
+    small = open_cells(groups.filter("tree > 0").select("cell", "doc"), labels)
+    members = written(named(large.filter(F.col("n") <= LARGE), labels).select(*MEMBER))
+    lower = lower_leaves(named(large.filter(F.col("n") > LARGE), labels).select(*MEMBER, "sig"))
+    members = members if lower is None else members.union(lower)
+    nodes = written(open_nodes(members))
+    outside = members.join(nodes, (F.col("key") == F.col("_k")) & (F.col("label") != F.col("_most")))
+    heads = leaders(members).join(nodes, (F.col("key") == F.col("_k")) & (F.col("label") == F.col("_most")))
+    second = small.union(chunks(outside, heads))
     links = links.union(written(confirmed(second, sets, percent).distinct(), SET_ROWS))
     component = components_of(links)
 
-    named = written(labelled(large, component.select(F.col("node").alias("doc"), F.col("component").alias("label"))))
-    leaf = written(open_leaves(named))
-    if not leaf.isEmpty():
-        cells = written(outsiders(named, leaf, marks, agree), PLAIN_ROWS)
+    labels = component.select(F.col("node").alias("doc"), F.xxhash64("component").alias("label"))
+    members = written(named(members, labels).select(*MEMBER))
+    nodes = written(open_nodes(members))
+    if not nodes.isEmpty():
+        cells = written(outsiders(members, nodes, agree), PLAIN_ROWS)
         last = written(confirmed(cells, sets, percent).distinct(), SET_ROWS)
         if not last.isEmpty():
             component = components_of(links.union(last))

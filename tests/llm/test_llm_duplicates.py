@@ -153,6 +153,27 @@ def test_work_grows_linearly_with_a_group(spark, monkeypatch):
     assert total[4_000] <= 10 * 4_000
 
 
+def test_connected_groups_do_not_multiply_in_the_trees(spark, monkeypatch):
+    """All rows written on the way, for near copies of one text in nodes far above the size that branches."""
+    count, kept = [], nearcopies.written
+    monkeypatch.setattr(nearcopies, "SMALL", 8)
+    monkeypatch.setattr(nearcopies, "LARGE", 20)
+    monkeypatch.setattr(nearcopies, "written", lambda df, *more: (made := kept(df, *more), count.append(made.count()))[0])
+    total = {}
+    for copies in (100, 400):
+        rng = np.random.default_rng(copies)
+        made = []
+        for k in range(copies):
+            copy = [f"w{k}" for k in range(120)]
+            copy[rng.integers(0, 120)] = f"new{k}"
+            made.append((k, " ".join(copy)))
+        count.clear()
+        found = near_copies(spark.createDataFrame(made, "doc_id bigint, text string").repartition(4), 3, 85)
+        assert found.filter("component_id <> 0").isEmpty()
+        total[copies] = sum(count)
+    assert total[400] <= 5 * total[100]
+
+
 def test_one_of_each_keeps_columns(odd, odd_texts):
     kept = one_of_each(odd, 5, 80)
     assert kept.columns == odd.columns
