@@ -10,7 +10,9 @@ maximal exact repeats.
 Both comparisons run bucketed by hash. Windows travel packed, many in one row,
 and each task first settles what repeats inside its own text block: a passage
 in a third of all documents reaches a bucket once per text block, not once per
-document. The number of buckets follows the measured size of the corpus.
+document. The number of buckets follows the measured size of the corpus. Tasks
+take texts in Arrow batches of ``BATCH_ROWS`` rows, so what they hold does not
+grow with a partition.
 
 Order of documents is the order of integer ids. A null id neither takes part
 as an earlier document nor loses words; rows with one id are no repeats of each
@@ -41,6 +43,8 @@ SHARD_BUCKETS = 4
 TASK_BYTES = 4 << 20
 ANCHOR = np.uint32(1 << 31)
 LOW31 = np.uint32((1 << 31) - 1)
+#: Rows with whole texts, or lists of windows, in one Arrow batch.
+BATCH_ROWS = 2_000
 #: A second hash, independent of the first, deals full windows to buckets.
 SECOND_BASE = 0xC2B2AE3D27D4EB4F
 
@@ -304,10 +308,10 @@ def removed_words(docs: DataFrame, repeat: int = REPEAT, block: int = BLOCK, id_
     only = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
     size = only.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0)).alias("n")).first()["n"]
     buckets = max(8, -(-size // BUCKET_BYTES))
-    hits = written(anchor_hits(only, buckets, repeat, block)).withColumnRenamed("id", "_hit")
+    hits = written(anchor_hits(only, buckets, repeat, block), BATCH_ROWS).withColumnRenamed("id", "_hit")
     met = only.join(hits, F.col("_id") == F.col("_hit"), "left").select("_id", F.xxhash64("_text").alias("_digest"), "_text", "hits")
-    stage = written(extended(met, buckets, repeat, block))
-    later = written(later_windows(stage, buckets)).withColumnRenamed("id", "_i").withColumnRenamed("digest", "_d")
+    stage = written(extended(met, buckets, repeat, block), BATCH_ROWS)
+    later = written(later_windows(stage, buckets), BATCH_ROWS).withColumnRenamed("id", "_i").withColumnRenamed("digest", "_d")
     open_docs = stage.filter("kind = 0 AND text IS NOT NULL").select("id", "digest", "text", "near")
     open_docs = open_docs.join(later, (F.col("id") == F.col("_i")) & (F.col("digest") == F.col("_d")), "left").select("id", F.col("text").alias("_text"), "near", "later")
 
@@ -330,4 +334,5 @@ def removed_words(docs: DataFrame, repeat: int = REPEAT, block: int = BLOCK, id_
 
     result = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     settled = stage.filter("kind = 0 AND text IS NULL").select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
-    return settled.unionByName(open_docs.mapInArrow(cover, result))
+    # written here, so that the bound on batches holds wherever the result is read
+    return settled.unionByName(written(open_docs.mapInArrow(cover, result), BATCH_ROWS))

@@ -37,6 +37,22 @@ def test_repeats_meet_across_blocks_and_buckets(spark, monkeypatch):
     assert rows(repeats.removed_words(docs), *REPEATS) == sorted(without_repeats(made), key=repr)
 
 
+def test_repeats_read_texts_in_bounded_batches(spark, monkeypatch):
+    """All documents in one partition: no task is given more rows at once than the bound."""
+    kept = repeats.blocks
+
+    def bounded(batches, *more):
+        for batch in batches:
+            assert batch.num_rows <= 50
+            yield from kept([batch], *more)
+
+    monkeypatch.setattr(repeats, "BATCH_ROWS", 50, raising=False)
+    monkeypatch.setattr(repeats, "blocks", bounded)
+    made = [(k, f"own{k} " * (k % 5) + PASSAGE * (k % 3 > 0)) for k in range(300)]
+    docs = spark.createDataFrame(made, "doc_id bigint, text string").coalesce(1)
+    assert rows(repeats.removed_words(docs), *REPEATS) == sorted(without_repeats(made), key=repr)
+
+
 def test_repeats_of_an_empty_table(nothing):
     assert repeats.removed_words(nothing).collect() == []
 
