@@ -2,23 +2,24 @@
 
 Each different shingle set is one class, with a signature of minwise tokens. An
 independent tree starts from one chosen coordinate: classes whose minwise token
-there is equal share a node. A node above ``SMALL`` classes branches: it chooses
-``BRANCHES`` further coordinates by a hash of its own path, and a class goes to
-one child for each. From ``FIRST_LEVELS`` on only nodes above ``LARGE`` branch,
-and only if the first wave has not connected all their classes.
+there is equal share a node. After the first wave a node above ``LARGE`` classes
+branches, if that wave has not connected them: it chooses ``BRANCHES`` further
+coordinates by a hash of its own path, and a class goes to one child for each.
+So a group of copies does not multiply on its way down: only a node too large to
+be compared at once makes further rows.
 A link of similarity s survives one tree with probability s x, where x is 1 for
-a root that is small and 1 - (1 - s x)^2 one level deeper: at least 0.82 at the
-threshold of 0.85, so ten independent trees miss such a link about once in 10^7.
+a root that does not branch and 1 - (1 - s x)^2 one level deeper: at least 0.82 at
+the threshold of 0.85, so ten independent trees miss such a link about once in 10^7.
 
 Nodes are compared exhaustively inside tasks, in three waves that use what is
 proved so far. A leaf or group whose members are already connected is left out.
 
-1. Leaves of the first tree. In a small leaf the signatures give the groups
-   worth confirming on full sets. A larger leaf is dealt to chunks of bounded
-   total size; the leaf's few leaders are in every chunk, so copies of one text
-   become members of their leader in one pass over the leaf.
-2. The same for the other trees. Of a larger leaf only members outside its
-   largest component are dealt, with leaders of that component in every chunk.
+1. Roots of the first tree. In a small node the signatures give the groups
+   worth confirming on full sets. A larger node is dealt to chunks of bounded
+   total size; the node's few leaders are in every chunk, so copies of one text
+   become members of their leader in one pass over the node.
+2. Leaves of all trees. Of a larger leaf only members outside its largest
+   component are dealt, with leaders of that component in every chunk.
 3. Of larger leaves that still have several components, all members outside the
    largest one meet all members, in blocks of ``BLOCK_SIGNED``, by a byte of
    each minwise token. Members with a partner in another component meet again on full sets.
@@ -52,10 +53,9 @@ TREES = 10
 BRANCHES = 2
 #: Classes of one node that are compared by signature at once.
 SMALL = 48
-#: Levels at which nodes above ``SMALL`` branch, and all levels.
-FIRST_LEVELS = 3
-LEVELS = 8
+#: Nodes above this size branch, so many levels deep at most.
 LARGE = 4_096
+LEVELS = 8
 #: Shingles and classes in one chunk of a larger leaf, or on one side of a cell of the third wave.
 BLOCK_SHINGLES = 400_000
 BLOCK_CLASSES = 768
@@ -138,8 +138,8 @@ def _children(nodes: DataFrame) -> DataFrame:
     return nodes.withColumn("key", F.explode(F.array(*[child(c) for c in range(BRANCHES)])))
 
 
-def leaves_of_trees(classes: DataFrame, trees: int = TREES) -> DataFrame:
-    """``key, tree, doc, n, n_shingles, bytes, sig``: the nodes with several classes in which the first levels end, and their sizes.
+def roots_of_trees(classes: DataFrame, trees: int = TREES) -> DataFrame:
+    """``key, tree, doc, n, n_shingles, bytes, sig``: the roots with several classes, and their sizes.
 
     ``classes`` has ``doc, n_shingles, sig, bytes``. Node sizes are counted with
     partial sums and joined back, so a node that holds most classes is never
@@ -149,19 +149,9 @@ def leaves_of_trees(classes: DataFrame, trees: int = TREES) -> DataFrame:
     step = TOKENS // trees
     roots = F.array(*[F.xxhash64(F.lit(t), F.element_at("sig", t * step + 1)) for t in range(trees)])
     rows = classes.select("doc", F.posexplode(roots).alias("tree", "key"))
-    done = None
-    for level in range(1, FIRST_LEVELS + 1):
-        sizes = rows.groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("_n")).filter("_n > 1")
-        sized = rows.join(sizes, F.col("key") == F.col("_k"))
-        if level == 1:
-            sized = sized.join(classes.select("doc", "n_shingles", "bytes", "sig"), "doc")
-        most = SMALL if level < FIRST_LEVELS else LARGE
-        sized = written(sized.select("key", "tree", "doc", F.col("_n").alias("n"), "n_shingles", "bytes", F.when(F.col("_n") > most, F.col("sig")).alias("sig")))
-        leaves = sized if level == FIRST_LEVELS else sized.filter(F.col("n") <= SMALL)
-        done = leaves if done is None else done.union(leaves)
-        if level < FIRST_LEVELS:
-            rows = written(_children(sized.filter(F.col("n") > SMALL)).drop("n"), PLAIN_ROWS)
-    return done
+    sizes = rows.groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("_n")).filter("_n > 1")
+    sized = rows.join(sizes, F.col("key") == F.col("_k")).join(classes.select("doc", "n_shingles", "bytes", "sig"), "doc")
+    return written(sized.select("key", "tree", "doc", F.col("_n").alias("n"), "n_shingles", "bytes", F.when(F.col("_n") > LARGE, F.col("sig")).alias("sig")))
 
 
 def _runs(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -252,9 +242,9 @@ def chunks(members: DataFrame, heads: DataFrame) -> DataFrame:
 
 
 def leaders(members: DataFrame) -> DataFrame:
-    """``key, label, doc``: the smallest class of each of a few parts of a leaf's label, mostly the same in all leaves that hold it."""
+    """``key, doc, chunks``: the smallest class of each of a few parts of a leaf's members, mostly the same in all leaves that hold them."""
     part = F.pmod(F.xxhash64("doc", F.lit("leader")), F.lit(LEADERS))
-    return members.groupBy("key", "label", part.alias("_part")).agg(F.min("doc").alias("doc")).select("key", "label", "doc")
+    return members.groupBy("key", "chunks", part.alias("_part")).agg(F.min("doc").alias("doc")).select("key", "doc", "chunks")
 
 
 def named(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -283,21 +273,23 @@ def open_nodes(members: DataFrame) -> DataFrame:
     return nodes.filter("labels > 1").select("_k", F.col("most.label").alias("_most"), "n", others.alias("others"), needed.alias("chunks"))
 
 
-def lower_leaves(members: DataFrame) -> DataFrame | None:
-    """``MEMBER`` of the leaves below nodes of more than ``LARGE`` classes.
+def open_leaves(members: DataFrame) -> DataFrame:
+    """``MEMBER`` with what :func:`open_nodes` tells of the leaf: the leaves at and below the nodes of ``members`` (``MEMBER, sig``).
 
-    A node whose classes are connected by now ends there, so a group of copies
-    does not multiply on its way through the levels.
+    A node whose classes are connected by now ends, and one with few classes
+    outside its largest component is a leaf, whatever its size.
     """
     done = None
-    for level in range(FIRST_LEVELS, LEVELS + 1):
-        if members.isEmpty():
-            break
-        nodes = written(open_nodes(members).select("_k", "n"))
-        members = written(members.join(nodes, F.col("key") == F.col("_k")).select(*MEMBER, "sig", "n"))
-        leaves = (members if level == LEVELS else members.filter(F.col("n") <= LARGE)).select(*MEMBER)
+    for level in range(1, LEVELS + 1):
+        leaf = F.lit(level == LEVELS) | (F.col("n") <= LARGE) | (F.col("others") <= SMALL)
+        told = members.join(open_nodes(members), F.col("key") == F.col("_k")).withColumn("leaf", leaf)
+        told = written(told.select(*MEMBER, F.when(~F.col("leaf"), F.col("sig")).alias("sig"), "_most", "n", "others", "chunks", "leaf"))
+        leaves = told.filter("leaf").drop("sig", "leaf")
         done = leaves if done is None else done.union(leaves)
-        members = _children(members.filter(F.col("n") > LARGE).drop("n"))
+        above = told.filter("NOT leaf").select(*MEMBER, "sig")
+        if above.isEmpty():
+            break
+        members = written(_children(above))
     return done
 
 
@@ -442,27 +434,25 @@ def confirmed(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def connected(classes: DataFrame, only: DataFrame, size: int, percent: int) -> DataFrame:
     """``node, component``: the component of each class that is linked with another one."""
     agree = tokens_to_agree(percent)
-    leaves = leaves_of_trees(classes)
-    groups = written(similar_groups(leaves.filter(F.col("n") <= SMALL), agree), PLAIN_ROWS)
-    large = leaves.filter(F.col("n") > SMALL)
+    roots = roots_of_trees(classes)
+    groups = written(similar_groups(roots.filter(F.col("n") <= SMALL), agree), PLAIN_ROWS)
+    large = roots.filter(F.col("n") > SMALL)
     involved = groups.select("doc").union(large.select("doc")).distinct()
     sets = written(_full_sets(only, classes.join(involved, "doc", "left_semi").select("doc", "least"), size), SET_ROWS)
 
-    one = large.filter("tree = 0").select("key", "doc", "n_shingles", F.lit(0).alias("label"))
+    one = large.filter("tree = 0").select("key", "doc", "n_shingles")
     needed = one.groupBy(F.col("key").alias("_k")).agg(_blocks_needed(F.sum("n_shingles"), F.count("*")).alias("chunks"))
-    first = chunks(one.join(needed, F.col("key") == F.col("_k")), leaders(one).join(needed, F.col("key") == F.col("_k")))
+    one = one.join(needed, F.col("key") == F.col("_k"))
+    first = chunks(one, leaders(one))
     links = written(confirmed(groups.filter("tree = 0").select("cell", "doc").union(first), sets, percent).distinct(), SET_ROWS)
     # equal labels are connected; that connected classes may have different ones only costs work
     labels = links.union(links.select("b", "b")).groupBy(F.col("a").alias("doc")).agg(F.min("b").alias("b"))
     labels = written(labels.select("doc", F.xxhash64("b").alias("label")))
-    small = open_cells(groups.filter("tree > 0").select("cell", "doc"), labels)
-    members = written(named(large.filter(F.col("n") <= LARGE), labels).select(*MEMBER))
-    lower = lower_leaves(named(large.filter(F.col("n") > LARGE), labels).select(*MEMBER, "sig"))
-    members = members if lower is None else members.union(lower)
-    nodes = written(open_nodes(members))
-    outside = members.join(nodes, (F.col("key") == F.col("_k")) & (F.col("label") != F.col("_most")))
-    heads = leaders(members).join(nodes, (F.col("key") == F.col("_k")) & (F.col("label") == F.col("_most")))
-    second = small.union(chunks(outside, heads))
+    leaves = open_leaves(written(named(large, labels).select(*MEMBER, "sig")))
+    lower = similar_groups(leaves.filter(F.col("n") <= SMALL).withColumn("tree", F.lit(1)), agree)
+    small = open_cells(groups.filter("tree > 0").union(written(lower, PLAIN_ROWS)).select("cell", "doc").distinct(), labels)
+    members = leaves.filter(F.col("n") > SMALL)
+    second = small.union(chunks(members.filter("label <> _most"), leaders(members.filter("label = _most"))))
     links = links.union(written(confirmed(second, sets, percent).distinct(), SET_ROWS))
     component = components_of(links)
 

@@ -190,6 +190,22 @@ def test_connected_groups_do_not_multiply_in_the_trees(spark, monkeypatch):
     assert total[400] <= 5 * total[100]
 
 
+def test_leaves_that_can_meet_at_once_do_not_branch(spark, monkeypatch):
+    """Texts that share half their words, mostly not linked, in nodes above the smallest size: no class is repeated for child nodes."""
+    made, kept = [], nearcopies._children
+    monkeypatch.setattr(nearcopies, "SMALL", 8)
+    monkeypatch.setattr(nearcopies, "_children", lambda nodes: made.append(nodes.count()) or kept(nodes))
+    rng = np.random.default_rng(5)
+    texts = []
+    for k in range(60):
+        copy = [f"s{i}" for i in range(60)] + [f"g{k // 3}w{i}" for i in range(30)]
+        copy[rng.integers(60, 90)] = f"new{k}"
+        texts.append((k, " ".join(copy)))
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    assert rows(near_copies(docs, 3, 85), *NEAR) == sorted(near_groups(texts, 3, 85), key=repr)
+    assert not made
+
+
 def test_one_of_each_keeps_columns(odd, odd_texts):
     kept = one_of_each(odd, 5, 80)
     assert kept.columns == odd.columns
