@@ -15,7 +15,7 @@ from spendwatch.functions.sqltext import ident
 from spendwatch.operators.neighbors import BLOCK_ROWS, CELL_ROWS, MAX_GROUPS, distances, distinct_points, nearest
 from spendwatch.operators.quantiles import exact_quantiles
 from spendwatch.operators.skew import held, spread_join
-from spendwatch.session import cut_lineage
+from spendwatch.session import cut_lineage, release, shuffles_freed
 
 # Parameters of the two detectors, and the density guard.
 LOF_NEIGHBORS = 25
@@ -35,8 +35,13 @@ class LofModel:
 
 
 def to_points(df: DataFrame, key: str, features: Sequence[str], group: Column | None = None) -> DataFrame:
-    """Rows as ``(id, grp, x)``; without a group all rows are neighbours of each other."""
-    x = "array(" + ", ".join(f"cast({ident(f)} as double)" for f in features) + ")"
+    """Rows as ``(id, grp, x)``; without a group all rows are neighbours of each other.
+
+    Features that are all 32-bit stay so, at half the size; distances are in 64 bits either way.
+    """
+    types = dict(df.dtypes)
+    kind = "float" if all(types.get(f) == "float" for f in features) else "double"
+    x = "array(" + ", ".join(f"cast({ident(f)} as {kind})" for f in features) + ")"
     return df.select(F.col(key).alias("id"), (F.lit(0) if group is None else group).cast("bigint").alias("grp"), F.expr(x).alias("x"))
 
 
@@ -48,15 +53,18 @@ def fit_lof(
 
     Per group a point has ``k`` neighbours, or all others when there are fewer.
     """
-    refs = cut_lineage(distinct_points(points))
-    queries = refs.select(F.col("rid").alias("qid"), "grp", "x")
-    lists = cut_lineage(nearest(queries, refs, k, True, block_rows, cell_rows))
-    reach = lists.filter(F.size("near") > 0).select(
-        F.col("qid").alias("rid"), F.element_at("near", -1)["d"].alias("k_distance")
-    )
-    density = cut_lineage(_density(lists, reach).withColumnRenamed("qid", "rid").join(reach, "rid"))
-    factors = _factor(lists, density).withColumnRenamed("qid", "rid")
-    fitted = cut_lineage(refs.join(density, "rid").join(factors, "rid"))
+    with shuffles_freed(points.sparkSession):
+        refs = cut_lineage(distinct_points(points))
+        queries = refs.select(F.col("rid").alias("qid"), "grp", "x")
+        lists = nearest(queries, refs, k, True, block_rows, cell_rows)
+        reach = lists.filter(F.size("near") > 0).select(
+            F.col("qid").alias("rid"), F.element_at("near", -1)["d"].alias("k_distance")
+        )
+        density = cut_lineage(_density(lists, reach).withColumnRenamed("qid", "rid").join(reach, "rid"))
+        factors = cut_lineage(_factor(lists, density).withColumnRenamed("qid", "rid"))
+        release(lists)
+        fitted = cut_lineage(refs.join(density, "rid").join(factors, "rid"))
+        release(refs, density, factors)
     # Every copy of a point counts in the quantile, as a weight.
     scores = fitted.select("grp", (-F.col("factor")).alias("score"), "w")
     cuts = exact_quantiles(scores, ["score"], [contamination], ["grp"], weight="w")
@@ -96,28 +104,31 @@ def score_lof(
 
     Rows of a group without a model are normal.
     """
-    distinct = cut_lineage(distinct_points(points))
-    queries = distinct.select(F.col("rid").alias("qid"), "grp", "x")
-    refs = model.points.select("rid", "grp", "x", "w")
-    lists = cut_lineage(nearest(queries, refs, model.k, False, block_rows, cell_rows))
-    known = model.points.select("rid", "k_distance", "density")
-    own = _density(lists, known.select("rid", "k_distance")).withColumnRenamed("qid", "rid")
-    both = known.select("rid", "density")
-    pairs = lists.select("qid", F.explode("near").alias("n")).select("qid", "n.rid", "n.w")
-    mean = spread_join(pairs, both, ["rid"]).groupBy("qid").agg(
-        (F.sum(F.col("w") * F.col("density")) / F.sum("w")).alias("mean_density")
-    )
-    factor = mean.join(own.withColumnRenamed("rid", "qid"), "qid").select(
-        "qid", (-F.col("mean_density") / F.col("density")).alias("score")
-    )
-    scored = (
-        distinct.join(factor, distinct["rid"] == factor["qid"], "left")
-        .join(held(model.offsets, MAX_GROUPS, "groups"), "grp", "left")
-        .select("grp", "x", "score", (F.col("score") - F.col("offset")).alias("decision"))
-    )
-    label = F.coalesce(label_from_decision(F.col("decision")), F.lit(NORMAL))
-    labelled = scored.select("grp", "x", "score", "decision", label.alias("prediction"))
-    return spread_join(points, labelled, ["grp", "x"]).select("id", "grp", "score", "decision", "prediction")
+    with shuffles_freed(points.sparkSession):
+        distinct = cut_lineage(distinct_points(points))
+        queries = distinct.select(F.col("rid").alias("qid"), "grp", "x")
+        refs = model.points.select("rid", "grp", "x", "w")
+        lists = nearest(queries, refs, model.k, False, block_rows, cell_rows)
+        known = model.points.select("rid", "k_distance", "density")
+        own = cut_lineage(_density(lists, known.select("rid", "k_distance")))
+        both = known.select("rid", "density")
+        pairs = lists.select("qid", F.explode("near").alias("n")).select("qid", "n.rid", "n.w")
+        mean = spread_join(pairs, both, ["rid"]).groupBy("qid").agg(
+            (F.sum(F.col("w") * F.col("density")) / F.sum("w")).alias("mean_density")
+        )
+        factor = cut_lineage(mean.join(own, "qid").select("qid", (-F.col("mean_density") / F.col("density")).alias("score")))
+        release(lists, own)
+        scored = (
+            distinct.join(factor, distinct["rid"] == factor["qid"], "left")
+            .join(held(model.offsets, MAX_GROUPS, "groups"), "grp", "left")
+            .select("grp", "x", "score", (F.col("score") - F.col("offset")).alias("decision"))
+        )
+        label = F.coalesce(label_from_decision(F.col("decision")), F.lit(NORMAL))
+        labelled = cut_lineage(scored.select("grp", "x", "score", "decision", label.alias("prediction")))
+        release(distinct, factor)
+        labels = cut_lineage(spread_join(points, labelled, ["grp", "x"]).select("id", "grp", "score", "decision", "prediction"))
+        release(labelled)
+    return labels
 
 
 def nearest_centroid(df: DataFrame, features: Sequence[str], centroids: dict[int, Sequence[float]]) -> Column:

@@ -20,7 +20,7 @@ from spendwatch.functions.decisions import ANOMALY, NORMAL, label_from_decision
 from spendwatch.operators.iforest import Forest, with_scores
 from spendwatch.operators.lof import LofModel, score_lof, to_points
 from spendwatch.operators.ocsvm import OneClassSvm, decision
-from spendwatch.session import scratch_path
+from spendwatch.session import scratch_path, shuffles_freed
 from spendwatch.sources.modelstore import Model, Threshold
 
 BUCKETS = 16
@@ -50,8 +50,9 @@ def label_tables(df: DataFrame, key: str, models: Mapping[str, tuple[Model, Sequ
         table = f"labels_{uuid.uuid4().hex}"
         labels = label_rows(df, key, model, features).select(key, F.col("prediction").cast("int").alias("prediction"))
         # one file for each bucket, so that a bucket is already sorted
-        dealt = labels.repartition(buckets, key)
-        dealt.write.bucketBy(buckets, key).sortBy(key).option("path", scratch_path(df.sparkSession, table)).saveAsTable(table)
+        with shuffles_freed(df.sparkSession):
+            dealt = labels.repartition(buckets, key)
+            dealt.write.bucketBy(buckets, key).sortBy(key).option("path", scratch_path(df.sparkSession, table)).saveAsTable(table)
         names[name] = table
     return names
 

@@ -14,7 +14,7 @@ from spendwatch.plans import forest_sql
 from spendwatch.plans.catalog import query
 from spendwatch.plans.datasets import sql_draw
 from spendwatch.plans.eval_queries import VECTOR, vectors
-from spendwatch.session import cut_lineage, scratch_path
+from spendwatch.session import cut_lineage, release, scratch_path
 from spendwatch.sources import modelstore
 
 RUN = "20240131_000000"
@@ -88,7 +88,9 @@ def trained_models(spark: SparkSession, folder: str) -> tuple[DataFrame, str]:
     seen, root = rows.filter("NOT is_test"), scratch_path(spark, "detectors")
     forest = iforest.fit_forest(seen, "vec_id", VECTOR, TREES, SHARE, sub_sample=TREE_ROWS)
     modelstore.save(spark, forest, tuple(VECTOR), root, "isolation_forest", RUN)
-    modelstore.save(spark, lof.fit_lof(lof.to_points(seen, "vec_id", VECTOR), NEIGHBORS, SHARE), tuple(VECTOR), root, "lof", RUN)
+    outliers = lof.fit_lof(lof.to_points(seen, "vec_id", VECTOR), NEIGHBORS, SHARE)
+    modelstore.save(spark, outliers, tuple(VECTOR), root, "lof", RUN)
+    release(outliers.points)
     modelstore.save(spark, ocsvm.fit_averaged(seen, VECTOR, **SVM), tuple(VECTOR), root, "one_class_svm", RUN)
     cut = exact_quantiles(seen.select(F.col(SCORE).cast("double").alias(SCORE)), [SCORE], [SHARE]).first()["quantile"]
     modelstore.save(spark, modelstore.Threshold(SCORE, cut), (SCORE,), root, "score_only", RUN)

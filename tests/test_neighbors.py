@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,8 @@ from spendwatch.operators import lof, neighbors
 from spendwatch.operators.components import connected_components
 from spendwatch.operators.dbscan import dbscan
 from spendwatch.operators.neighbors import distinct_points, nearest
+from spendwatch.operators.sampling import split_exact
+from spendwatch.session import cut_lineage
 
 
 def _points(seed, n, d=2, copies=0):
@@ -149,3 +153,63 @@ def test_points_with_missing_or_endless_entries(spark):
     for i in range(60):
         away = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
         assert got[i] == [j for j in np.lexsort((np.arange(60), away)) if j != i][:3]
+
+
+@pytest.mark.parametrize("turn_bytes", [1 << 26, 150 * 40])
+@pytest.mark.parametrize("d, cell_rows, copies", [(16, 10, 0), (16, 10**9, 60), (2, 12, 60)])
+def test_points_are_dealt_out_a_few_times_and_no_neighbour_is_lost(spark, monkeypatch, d, cell_rows, copies, turn_bytes):
+    dealt, kept = [], type(spark.range(0)).repartition
+
+    def counted(df, *args):
+        dealt.append(df.count())
+        return kept(df, *args)
+
+    monkeypatch.setattr(type(spark.range(0)), "repartition", counted)
+    monkeypatch.setattr(neighbors, "TURN_BYTES", turn_bytes, raising=False)
+    x = np.round(np.random.default_rng(17).normal(0, 1, (400, d)), 3)
+    x[:copies] = x[0]
+    refs = cut_lineage(distinct_points(_frame(spark, x)))
+    held = _scratch(spark)
+    lists = nearest(refs.select(F.col("rid").alias("qid"), "grp", "x"), refs, 5, True, 20, cell_rows)
+    got = {r["qid"]: r["near"] for r in lists.collect()}
+    assert max(dealt) <= 3 * 400  # in one cell, a copy for each block of 50 before
+    assert all(p in "".join(lists.inputFiles()) for p in _scratch(spark) - held)  # only what is returned stays
+    assert len(got) == (401 - copies if copies else 400)
+    for i in got:
+        away = neighbors.distances(x[i : i + 1], x)[0]
+        want = {}
+        for j in [j for j in np.lexsort((np.arange(400), away)) if j != i][:5]:
+            want[0 if j < copies else j] = want.get(0 if j < copies else j, 0) + 1
+        assert {n["rid"]: n["w"] for n in got[i]} == want
+        assert [n["d"] for n in got[i]] == sorted(away[j] for j in want)
+
+
+def _scratch(spark):
+    return set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+
+
+def test_pivots_are_drawn_from_what_a_split_leaves(spark):
+    rows = split_exact(_frame(spark, _points(19, 600)), "id").filter("NOT is_test")
+    assert len(neighbors._pivots(distinct_points(rows), 20, 42)[0][1]) > 10  # one before: the split's test rows had all small draws
+
+
+def test_shuffle_files_go_with_the_writes(spark):
+    def files():
+        kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum("shuffle_" in kept.apply(i).getName() for i in range(kept.size()))
+
+    points = _frame(spark, _points(23, 200))
+    before = files()
+    model = lof.fit_lof(points, k=8, block_rows=32, cell_rows=40)
+    lof.score_lof(points, model, 32, 40)
+    assert files() <= before + 20
+
+
+def test_32_bit_features_stay_so_and_give_the_same_factors(spark):
+    x = _points(29, 120, d=3).astype(np.float32)
+    rows = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "id bigint, a float, b float, c float")
+    points = lof.to_points(rows, "id", ["a", "b", "c"])
+    assert dict(points.dtypes)["x"] == "array<float>"
+    assert dict(lof.to_points(rows.withColumn("a", F.col("a").cast("int")), "id", ["a", "b"]).dtypes)["x"] == "array<double>"
+    got = {r["id"]: r["factor"] for r in lof.fitted_labels(points, lof.fit_lof(points, 10, 0.1, 32, 40)).collect()}
+    assert np.allclose([got[i] for i in range(120)], _lof_by_hand(x.astype(float), 10), rtol=1e-12)
